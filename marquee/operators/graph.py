@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import titled_year, typed_null, year_text
 from ..session import cut_lineage
 from .serving import GRAPH_JOBS, leading_films, profile_cast, profile_crew
-from .skew import SALTS, hot_keys, salt_few, salt_many, skew_join, top_per_group
+from .skew import hot_keys, skew_join, top_per_group
 
 
 def _node_id(kind: str, key: str) -> Column:
@@ -126,9 +126,7 @@ def shortest_hops(credits: DataFrame, starts: DataFrame, max_films: int = 6, sto
     once per start, so people with very many films cost their edges, never their pairs.
     """
     edges = cut_lineage(credits.select("film_id", "person_id").distinct())
-    hot_films, hot_people = cut_lineage(hot_keys(edges, ["film_id"])), cut_lineage(hot_keys(edges, ["person_id"]))
-    by_film = cut_lineage(salt_many(edges, hot_films, ["film_id"], SALTS))
-    by_person = cut_lineage(salt_many(edges, hot_people, ["person_id"], SALTS))
+    hot_films, hot_people = hot_keys(edges, "film_id"), hot_keys(edges, "person_id")
     reached = starts.select(
         F.col("film_id").alias("start_id"), "film_id", F.lit(0).alias("hops"),
         typed_null("bigint").alias("via_person"), typed_null("bigint").alias("from_film"),
@@ -137,7 +135,7 @@ def shortest_hops(credits: DataFrame, starts: DataFrame, max_films: int = 6, sto
     known_people = None
     for hop in range(1, max_films + 1):
         people = (
-            by_film.join(salt_few(frontier.select("start_id", "film_id"), hot_films, ["film_id"], SALTS), ["film_id", "_salt"])
+            skew_join(edges, frontier.select("start_id", "film_id"), ["film_id"], hot=hot_films)
             .groupBy("start_id", "person_id")
             .agg(F.min("film_id").alias("from_film"))
         )
@@ -145,7 +143,7 @@ def shortest_hops(credits: DataFrame, starts: DataFrame, max_films: int = 6, sto
             people = people.join(known_people, ["start_id", "person_id"], "left_anti")
         people = cut_lineage(people)
         steps = (
-            by_person.join(salt_few(people, hot_people, ["person_id"], SALTS), ["person_id", "_salt"])
+            skew_join(edges, people, ["person_id"], hot=hot_people)
             .groupBy("start_id", "film_id")
             .agg(F.min(F.struct("person_id", "from_film")).alias("s"))
             .join(reached.select("start_id", "film_id"), ["start_id", "film_id"], "left_anti")

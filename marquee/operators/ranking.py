@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .skew import skew_join
+from .skew import HOT_ROWS, skew_join
 
 
 def _bucket(value, bounds: list):
@@ -35,6 +35,13 @@ def _positions(df: DataFrame, column: str, bounds: list) -> DataFrame:
     )
 
 
+def _hot_values(placed: DataFrame, column: str) -> list:
+    """Values held by very many rows; the counts are already there, one row per value."""
+    partitions = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = placed.filter(F.col("_n") >= HOT_ROWS).orderBy(F.desc("_n"), column).limit(4 * partitions)
+    return [r[column] for r in top.select(column).collect()]
+
+
 def add_ranks(df: DataFrame, ranks: dict[str, str], buckets: int | None = None) -> DataFrame:
     """Adds ``rank() over (order by column desc nulls last)`` for each ``name: column``.
 
@@ -48,8 +55,9 @@ def add_ranks(df: DataFrame, ranks: dict[str, str], buckets: int | None = None)
     found = df.agg(*[F.percentile_approx(c, shares).alias(c) for c in columns]).first()
     for name, column in ranks.items():
         bounds = sorted(set(found[column] or []))
-        ranked = _positions(df, column, bounds).select(column, (F.col("_larger") + 1).alias(name))
-        df = skew_join(df, ranked, [column], "left", null_safe=True)
+        placed = cut_lineage(_positions(df, column, bounds))
+        ranked = placed.select(column, (F.col("_larger") + 1).alias(name))
+        df = skew_join(df, ranked, [column], "left", _hot_values(placed, column), null_safe=True)
     return df
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 32
@@ -10,50 +10,33 @@ SALTS = 32
 HOT_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """The most frequent keys, at most four per shuffle partition.
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
+    """The most frequent values of a key column, at most four per shuffle partition.
 
-    A key that is not among the top ``H`` holds at most ``1/H`` of the rows, i.e. a
-    quarter of an average shuffle partition, so the list is complete for balancing
-    and its size has a fixed bound, which makes it safe to broadcast.
+    A value outside the top ``H`` holds at most ``1/H`` of the rows, i.e. a quarter of an
+    average shuffle partition, so this bounded list is all that balancing needs. Runs one
+    counting job; call it on stored or checkpointed data.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(4 * partitions)
-        .select(*keys)
-    )
+    counts = df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= min_rows)
+    return [r[key] for r in counts.orderBy(F.desc("_rows"), key).limit(4 * partitions).collect()]
 
 
-def _flag_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    flagged = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias("_hot"))
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
-    return df.join(F.broadcast(flagged), match, "left").drop(*[f"_h_{k}" for k in keys])
+def _is_hot(key: str, hot: list) -> Column:
+    known = F.col(key).isin([h for h in hot if h is not None])
+    return F.col(key).isNull() | known if None in hot else F.coalesce(known, F.lit(False))
 
 
-def salt_many(df: DataFrame, hot: DataFrame, keys: list[str], salts: int = SALTS) -> DataFrame:
+def salt_many(df: DataFrame, key: str, hot: list, salts: int = SALTS) -> DataFrame:
     """Adds ``_salt``: rows of hot keys are dealt over ``salts`` buckets, others get 0."""
     dealt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
-    return (
-        _flag_hot(df, hot, keys)
-        .withColumn("_salt", F.when(F.col("_hot"), dealt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
+    return df.withColumn("_salt", F.when(_is_hot(key, hot), dealt).otherwise(F.lit(0)))
 
 
-def salt_few(df: DataFrame, hot: DataFrame, keys: list[str], salts: int = SALTS) -> DataFrame:
+def salt_few(df: DataFrame, key: str, hot: list, salts: int = SALTS) -> DataFrame:
     """Adds ``_salt``: rows of hot keys are copied to every bucket, others get 0."""
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    return (
-        _flag_hot(df, hot, keys)
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
+    return df.withColumn("_salt", F.explode(F.when(_is_hot(key, hot), every).otherwise(F.array(F.lit(0)))))
 
 
 def skew_join(
@@ -61,24 +44,31 @@ def skew_join(
     few: DataFrame,
     keys: list[str],
     how: str = "inner",
+    hot: list | None = None,
     null_safe: bool = False,
-    min_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join where ``many`` may repeat a key a third of the time and ``few`` holds
-    few rows per key. Hot keys are split on the many side and copied on the few side;
-    the result is the plain join's. ``how`` is inner, left, left_semi or left_anti."""
-    hot = hot_keys(many, keys, min_rows)
-    left = salt_many(many, hot, keys, salts)
-    right = salt_few(few, hot, keys, salts)
+    """Equi-join where ``many`` may repeat a key a third of the time and ``few`` holds few
+    rows per key. ``how`` is inner, left, left_semi or left_anti.
+
+    ``hot`` lists the values of the first key to split: their rows are dealt over buckets
+    on the many side and copied on the few side. Where no list is known the join is left
+    to adaptive execution, which splits the partition of a hot key at run time
+    (``marquee.session.prepare`` turns that on for every join); the rows are the same.
+    """
+    salted = bool(hot)
+    if salted:
+        many, few = salt_many(many, keys[0], hot, salts), salt_few(few, keys[0], hot, salts)
+    on = [*keys, "_salt"] if salted else keys
     if not null_safe:
-        return left.join(right, [*keys, "_salt"], how).drop("_salt")
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys or c == "_salt" else F.col(c) for c in right.columns])
-    match = F.col("_salt") == F.col("_r__salt")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    joined = left.join(renamed, match, how)
-    return joined.drop("_salt", "_r__salt", *[f"_r_{k}" for k in keys])
+        joined = many.join(few, on, how)
+    else:
+        renamed = few.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in few.columns])
+        match = F.lit(True)
+        for k in on:
+            match = match & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        joined = many.join(renamed, match, how).drop(*[f"_r_{k}" for k in on])
+    return joined.drop("_salt")
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list, k: int, rank_col: str | None = None) -> DataFrame:

@@ -194,8 +194,8 @@ def er_candidates(t: Tables):
 
 @query(f"WITH {_CANDIDATES} SELECT tconst, name_a, name_b FROM cand", "er_people er_crew er_bridge er_principals er_names")
 def er_candidates_hot_blocks(t: Tables):
-    """The same pairs when every film is treated as too crowded to pair its names."""
-    return R.candidate_names(*_sides(t), block_pairs=0)
+    """The same pairs when films with more than a few names count as too crowded to pair them."""
+    return R.candidate_names(*_sides(t), block_pairs=12)
 
 
 @query()

@@ -126,16 +126,16 @@ def sink_overwrite_guarded(t: Tables):
     return t.spark.read.parquet(path)
 
 
-@query("""SELECT cast(cast(l_shipdate AS date) AS string) AS snapshot_date, count(*) AS n, cast(sum(l_linenumber) AS bigint) AS lines
-    FROM lineitem WHERE l_shipdate >= '1999-01-01' GROUP BY ALL""")
+@query("""SELECT cast(cast(ts AS date) AS string) AS snapshot_date, count(*) AS n, sum(user_id)::bigint AS users
+    FROM events WHERE ts >= '2024-01-15' GROUP BY ALL""")
 def sink_partitioned_batches(t: Tables):
     """Snapshots land by date; the date filter reads only the folders it names."""
     path = scratch_path(t.spark, "daily")
-    dated = t.lineitem.select("l_linenumber", F.date_format("l_shipdate", "yyyy-MM-dd").alias("snapshot_date"))
-    writers.land_json(dated.repartition("snapshot_date"), path, 10_000, ["snapshot_date"])
-    landed = t.spark.read.schema("l_linenumber int, snapshot_date string").json(path)
-    recent = landed.filter(F.col("snapshot_date") >= "1999-01-01")
-    return recent.groupBy("snapshot_date").agg(F.count("*").alias("n"), F.sum("l_linenumber").alias("lines"))
+    dated = t.events.select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("snapshot_date"))
+    writers.land_json(dated, path, 10_000, ["snapshot_date"])
+    landed = t.spark.read.schema("user_id bigint, snapshot_date string").json(path)
+    recent = landed.filter(F.col("snapshot_date") >= "2024-01-15")
+    return recent.groupBy("snapshot_date").agg(F.count("*").alias("n"), F.sum("user_id").alias("users"))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders")

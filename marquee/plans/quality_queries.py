@@ -446,10 +446,11 @@ def join_suite(t: Tables):
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, p_name, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey""")
 def skewed_join(t: Tables):
-    """Join that splits part keys with very many lines."""
+    """Join that splits the part keys with the most lines."""
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return skew.skew_join(lines, parts, ["l_partkey"], min_rows=35).select("l_orderkey", "l_linenumber", "l_partkey", "p_name", "l_quantity")
+    hot = skew.hot_keys(lines, "l_partkey", min_rows=35)
+    return skew.skew_join(lines, parts, ["l_partkey"], hot=hot).select("l_orderkey", "l_linenumber", "l_partkey", "p_name", "l_quantity")
 
 
 @query("""

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import prepare
 from ..sources.readers import table
 from .stage import view, with_views
 
@@ -39,7 +40,7 @@ def query(sql: str | None = None, views: str = "", name: str | None = None):
         key = name or fn.__name__
         if key in QUERIES:
             raise ValueError(f"query {key} registered twice")
-        QUERIES[key] = lambda spark, folder: fn(Tables(spark, folder))
+        QUERIES[key] = lambda spark, folder: fn(Tables(prepare(spark), folder))
         if sql is not None:
             ORACLES[key] = with_views(views, sql) if views else sql
         return fn

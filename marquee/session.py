@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot partition even where that costs the next step its partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -34,6 +36,14 @@ def local_session(cpus: int | str = "*", app: str = "marquee", **conf: str) -> S
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Turns on what the operators count on in a session made elsewhere."""
+    for key, value in DEFAULTS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

@@ -98,7 +98,7 @@ def alternate_titles(akas: DataFrame, bridge: DataFrame, k: int = 8) -> DataFram
     """Titles with a region, the original one first."""
     original = F.coalesce(F.col("isOriginalTitle").try_cast("boolean"), F.lit(False))
     regional = akas.filter(F.col("region").isNotNull()).withColumnRenamed("titleId", "tconst").join(bridge, "tconst")
-    order = [F.when(original, 0).otherwise(1), F.col("ordering").try_cast("int"), F.col("title")]
+    order = [F.when(original, 0).otherwise(1), F.col("ordering").try_cast("int"), F.col("title"), F.col("region"), F.col("language")]
     return top_per_group(regional, ["film_id"], order, k, "position").select(
         "film_id", "position", "title", "region", "language", "isOriginalTitle"
     )

@@ -1 +1,227 @@
-"""Queries."""
+"""Embedding space, clusters and the film-person graph."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import clustering as C
+from ..operators import graph as G
+from ..operators import neighbours as K
+from .page_queries import adaptations, connections, filmography, related
+from .registry import Tables, query
+
+_ROLES = """roles AS (SELECT person_id, name, film_id, CASE WHEN lower(job) = 'director' THEN 'Director' ELSE 'Cinematographer' END AS role,
+        vote_average, vote_count, title FROM film_crew JOIN people USING (person_id) JOIN movies USING (film_id)
+        WHERE lower(job) IN ('director', 'director of photography', 'cinematographer') AND vote_count >= 100 AND name IS NOT NULL)"""
+_ROLE_VIEWS = "film_crew people movies"
+
+
+def roles(t: Tables):
+    return C.person_film_roles(t.film_crew, t.people, t.movies)
+
+
+@query(f"WITH {_ROLES} SELECT * FROM roles", _ROLE_VIEWS)
+def person_film_roles(t: Tables):
+    return roles(t).select("person_id", "name", "film_id", "role", "vote_average", "vote_count", "title")
+
+
+_POSITIONS = f"""{_ROLES}, positions AS (SELECT person_id, name, max(role) AS role, count(*) AS film_count, round(avg(x), 5) AS x, round(avg(y), 5) AS y,
+        min(struct_pack(v := -vote_average, f := film_id, t := title)) AS best FROM roles JOIN film_xy USING (film_id) GROUP BY person_id, name
+        HAVING count(*) >= CASE WHEN max(role) = 'Director' THEN 3 ELSE 2 END)"""
+
+
+@query(f"""WITH {_POSITIONS} SELECT person_id, name, role, film_count, x, y, best.f AS top_film_id, best.t AS top_film_title FROM positions""",
+       _ROLE_VIEWS + " film_xy")
+def person_positions(t: Tables):
+    return positions(t)
+
+
+def positions(t: Tables):
+    return C.person_positions(roles(t), t.film_xy)
+
+
+@query(f"""WITH {_ROLES} SELECT person_id, film_id AS top_film_id, title AS top_film_title FROM (
+    SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY vote_average DESC, film_id) AS rn FROM roles) WHERE rn = 1""", _ROLE_VIEWS)
+def top_film_per_person(t: Tables):
+    return C.top_film_per_person(roles(t))
+
+
+@query("""WITH e AS (SELECT label, unnest(embedding)::double AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)
+    SELECT label, cast(dim AS int) AS dim, round(avg(v), 6) AS mean FROM e GROUP BY label, dim""")
+def style_vectors(t: Tables):
+    means = C.mean_vectors(t.embeddings, "label", "embedding")
+    return means.select("label", F.posexplode("mean_vector").alias("dim", "mean")).withColumn("mean", F.round("mean", 6))
+
+
+@query()
+def kmeans_clusters(t: Tables):
+    """Sizes and spreads of the clusters of people."""
+    members = C.kmeans(positions(t), ["x", "y"])
+    return members.groupBy("cluster").agg(F.count("*").alias("members"), F.sum("film_count").alias("films"))
+
+
+def _themed(t: Tables):
+    """People in the cluster of their most frequent theme's number, fixed for comparison."""
+    counted = roles(t).join(t.film_xy.select("film_id", "theme"), "film_id").groupBy("person_id", "name").agg(
+        F.max("theme").alias("cluster"), F.count("*").alias("film_count")
+    )
+    return counted
+
+
+@query(f"""WITH {_ROLES}, members AS (SELECT person_id, name, max(theme) AS cluster, count(*) AS film_count FROM roles JOIN film_xy USING (film_id) GROUP BY ALL),
+    counted AS (SELECT cluster, genre_name, count(*) AS n FROM film_crew JOIN members USING (person_id) JOIN film_genres USING (film_id) JOIN genres USING (genre_id)
+        WHERE lower(job) IN ('director', 'director of photography', 'cinematographer') GROUP BY ALL)
+    SELECT cluster, string_agg(genre_name, ' & ' ORDER BY rn) AS cluster_label FROM (
+        SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, genre_name) AS rn FROM counted) WHERE rn <= 2 GROUP BY cluster""",
+       _ROLE_VIEWS + " film_xy film_genres genres")
+def cluster_labels(t: Tables):
+    return C.cluster_labels(_themed(t), t.film_crew, t.film_genres, t.genres)
+
+
+@query()
+def node_table(t: Tables):
+    members = C.kmeans(positions(t), ["x", "y"], restarts=3)
+    return C.node_table(members, C.cluster_labels(members, t.film_crew, t.film_genres, t.genres))
+
+
+def _lloyd_sql(k: int = 20, rounds: int = 40) -> str:
+    """The rounds written out one after the other."""
+    steps = [
+        f"""p AS MATERIALIZED (SELECT film_id, x, y, row_number() OVER (ORDER BY film_id) - 1 AS pos, count(*) OVER () AS n FROM film_xy),
+        c0 AS MATERIALIZED (SELECT i, p.x AS cx, p.y AS cy FROM range({k}) r(i) JOIN p ON p.pos = least(i * (n // {k}), n - 1))"""
+    ]
+    for i in range(rounds):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (SELECT film_id, x, y, arg_min(i, struct_pack(d := (x - cx) * (x - cx) + (y - cy) * (y - cy), i := i)) AS i FROM p, c{i} GROUP BY ALL),
+            c{i + 1} AS MATERIALIZED (SELECT c.i, coalesce(avg(x), any_value(cx)) AS cx, coalesce(avg(y), any_value(cy)) AS cy FROM c{i} c LEFT JOIN a{i} a ON a.i = c.i GROUP BY c.i)"""
+        )
+    return f"WITH {', '.join(steps)} SELECT film_id, cast(i AS int) AS cluster FROM a{rounds - 1}"
+
+
+@query(_lloyd_sql(), "film_xy")
+def lloyd_fixed_init(t: Tables):
+    return C.lloyd(t.film_xy, "film_id").select("film_id", "cluster")
+
+
+@query("""SELECT theme, count(*) AS n, round(avg(x), 6) AS cx, round(avg(y), 6) AS cy, round(sqrt(var_pop(x) + var_pop(y)), 6) AS spread
+    FROM film_xy GROUP BY theme""", "film_xy")
+def centroid_spread(t: Tables):
+    regions = C.centroid_spread(t.film_xy, "theme")
+    return regions.withColumns({c: F.round(c, 6) for c in ("cx", "cy", "spread")})
+
+
+@query("""WITH c AS (SELECT theme, avg(x) AS cx, avg(y) AS cy FROM film_xy GROUP BY theme)
+    SELECT film_id, arg_min(c.theme, struct_pack(d := (x - cx) * (x - cx) + (y - cy) * (y - cy), t := c.theme)) AS territory FROM film_xy p, c GROUP BY film_id""",
+       "film_xy")
+def nearest_centroid(t: Tables):
+    points = t.film_xy
+    return C.nearest_centroid(points, C.centroid_spread(points, "theme"), "theme").select("film_id", "territory")
+
+
+@query("""SELECT film_id, neighbour, position FROM (SELECT a.film_id, b.film_id AS neighbour, cast(row_number() OVER (PARTITION BY a.film_id
+        ORDER BY round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 9), b.film_id) AS int) AS position
+    FROM film_xy a JOIN film_xy b ON a.film_id <> b.film_id) WHERE position <= 8""", "film_xy")
+def knn_2d(t: Tables):
+    points = t.film_xy.withColumn("xy", F.array("x", "y"))
+    return K.nearest(points, "film_id", "xy", 8).select("film_id", "neighbour", "position")
+
+
+_EDGES = """sims AS (SELECT a.vec_id AS src, b.vec_id AS dst, list_cosine_similarity(a.embedding::double[], b.embedding::double[]) AS sim
+        FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+    edges AS (SELECT src, dst, sim FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY round(sim, 9) DESC, dst) AS rn FROM sims) WHERE rn <= 10)"""
+
+
+@query(f"WITH {_EDGES} SELECT src, dst, round(sim, 4) AS sim FROM edges")
+def thematic_edges(t: Tables):
+    return edges(t).withColumn("sim", F.round("sim", 4))
+
+
+def edges(t: Tables):
+    return K.thematic_edges(t.embeddings, "vec_id", "embedding", 10)
+
+
+_BOTH = f"""{_EDGES}, both_ways AS (SELECT src, dst, max(sim) AS sim FROM (SELECT src, dst, sim FROM edges UNION ALL SELECT dst, src, sim FROM edges) GROUP BY ALL)"""
+
+
+@query(f"WITH {_BOTH} SELECT src, dst, round(sim, 4) AS sim FROM both_ways")
+def edges_symmetric(t: Tables):
+    return K.symmetric_edges(edges(t)).withColumn("sim", F.round("sim", 4))
+
+
+@query(f"""WITH {_BOTH} SELECT src, dst, position FROM (
+    SELECT *, cast(row_number() OVER (PARTITION BY src ORDER BY round(sim, 9) DESC, dst) AS int) AS position FROM both_ways) WHERE position <= 4""")
+def top_neighbours(t: Tables):
+    return K.top_neighbours(edges(t)).select("src", "dst", "position")
+
+
+# ---- ego graphs ----------------------------------------------------------------------------
+
+
+def _ego(t: Tables) -> G.EgoParts:
+    return G.EgoParts(
+        t.movies, connections(t), adaptations(t), t.film_genres, t.genres, related(t), t.film_cast, t.film_crew, t.people
+    )
+
+
+@query()
+def ego_nodes(t: Tables):
+    return G.ego_nodes(_ego(t))
+
+
+@query()
+def ego_edges(t: Tables):
+    return G.ego_edges(_ego(t))
+
+
+@query()
+def ego_expand(t: Tables):
+    return G.ego_expand(G.ego_nodes(_ego(t)), filmography(t))
+
+
+# ---- paths, hubs, recommendations ------------------------------------------------------------
+
+
+def _bfs_sql(levels: int) -> str:
+    """Film to film over shared people, one level after the other, from the smallest film."""
+    steps = ["r0 AS MATERIALIZED (SELECT min(film_id) AS film_id, 0 AS hops FROM credits)"]
+    for i in range(1, levels + 1):
+        steps.append(
+            f"""r{i} AS MATERIALIZED (SELECT film_id, min(hops) AS hops FROM (SELECT film_id, hops FROM r{i - 1} UNION ALL
+                SELECT DISTINCT film_id, {i} FROM credits WHERE person_id IN (
+                    SELECT person_id FROM credits WHERE film_id IN (SELECT film_id FROM r{i - 1}))) GROUP BY film_id)"""
+        )
+    return f"WITH {', '.join(steps)} SELECT film_id, cast(hops AS int) AS hops FROM r{levels}"
+
+
+@query(_bfs_sql(6), "credits")
+def shortest_paths(t: Tables):
+    credits = t.credits
+    start = credits.agg(F.min("film_id").alias("film_id"))
+    return G.shortest_hops(credits, start).select("film_id", "hops")
+
+
+@query("""SELECT c.person_id, count(*) AS degree, count(DISTINCT theme) AS clusters_bridged FROM credits c LEFT JOIN film_xy x ON x.film_id = c.film_id GROUP BY c.person_id""",
+       "credits film_xy")
+def hub_scores(t: Tables):
+    return G.hub_scores(t.credits, t.film_xy.withColumnRenamed("theme", "cluster"))
+
+
+_SHARED = """reasons AS (SELECT film_id, 'person ' || person_id AS reason FROM credits
+        UNION ALL SELECT o_orderkey, 'customer ' || o_custkey FROM orders),
+    rated AS (SELECT o_orderkey AS film_id, o_totalprice AS vote_average FROM orders)"""
+
+
+def _reasons(t: Tables):
+    text = lambda kind, c: F.concat(F.lit(f"{kind} "), F.col(c).cast("string")).alias("reason")
+    people = t.credits.select("film_id", text("person", "person_id"))
+    return people.unionByName(t.orders.select(F.col("o_orderkey").alias("film_id"), text("customer", "o_custkey")))
+
+
+@query(f"""WITH {_SHARED}, pairs AS (SELECT a.film_id, b.film_id AS recommended_id, count(*) AS shared, string_agg(a.reason, '|' ORDER BY a.reason) AS reasons
+        FROM reasons a JOIN reasons b ON a.reason = b.reason AND a.film_id <> b.film_id GROUP BY ALL)
+    SELECT film_id, recommended_id, vote_average, shared, reasons, cast(rn AS int) AS position FROM (
+        SELECT p.*, vote_average, row_number() OVER (PARTITION BY p.film_id ORDER BY vote_average DESC, recommended_id) AS rn
+        FROM pairs p JOIN rated r ON r.film_id = p.recommended_id) WHERE rn <= 10""", "credits")
+def recommend(t: Tables):
+    rated = t.orders.select(F.col("o_orderkey").alias("film_id"), F.col("o_totalprice").alias("vote_average"))
+    return G.recommend(_reasons(t), rated).withColumn("reasons", F.array_join("reasons", "|"))

@@ -94,16 +94,17 @@ def lloyd(df: DataFrame, key: str, x: str = "x", y: str = "y", k: int = 20, iter
     at = [min(i * (n // k), n - 1) for i in range(k)]
     found = {r["position"]: (float(r[x]), float(r[y])) for r in rows_at(points, key, sorted(set(at))).collect()}
     centres = [found[p] for p in at]
-    assigned = None
+    assigned, held = None, points.select(x, y).persist()
     for _ in range(iterations):
         assigned = centres
         moved = list(centres)
-        sums = points.groupBy(_closest(F.col(x), F.col(y), centres).alias("c")).agg(F.avg(x).alias("cx"), F.avg(y).alias("cy"))
+        sums = held.groupBy(_closest(F.col(x), F.col(y), centres).alias("c")).agg(F.avg(x).alias("cx"), F.avg(y).alias("cy"))
         for r in sums.collect():
             moved[r["c"]] = (r["cx"], r["cy"])
         if moved == centres:
             break
         centres = moved
+    held.unpersist()
     return points.withColumn(out, _closest(F.col(x), F.col(y), assigned))
 
 

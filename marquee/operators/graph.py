@@ -152,9 +152,10 @@ def shortest_hops(credits: DataFrame, starts: DataFrame, max_films: int = 6, sto
         frontier = cut_lineage(steps)
         if frontier.isEmpty():
             break
+        # Both sets stay unions of stored levels, of which there are at most max_films.
         seen = people.select("start_id", "person_id")
-        known_people = seen if known_people is None else cut_lineage(known_people.unionByName(seen))
-        reached = cut_lineage(reached.unionByName(frontier))
+        known_people = seen if known_people is None else known_people.unionByName(seen)
+        reached = reached.unionByName(frontier)
         if stop_at is not None:
             open_pairs = starts.select(F.col("film_id").alias("start_id")).distinct().count() * stop_at.distinct().count()
             if reached.join(stop_at.distinct(), "film_id", "left_semi").count() == open_pairs:

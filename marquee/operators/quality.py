@@ -125,6 +125,23 @@ def orphans(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     return children.join(parents.select(key).distinct(), key, "left_anti")
 
 
+def match_count(raw: DataFrame, raw_key: str, bridge: DataFrame, bridge_key: str) -> DataFrame:
+    """How many raw rows an inner join with the bridge gives, and how many have a partner;
+    the two differ when the bridge repeats keys. Keys are counted before they meet."""
+    ours = raw.groupBy(F.col(raw_key).alias("_k")).agg(F.count("*").alias("_a"))
+    theirs = bridge.groupBy(F.col(bridge_key).alias("_k")).agg(F.count("*").alias("_b"))
+    joined = ours.join(theirs, "_k")
+    return joined.agg(
+        F.coalesce(F.sum(F.col("_a") * F.col("_b")), F.lit(0)).alias("joined_rows"),
+        F.coalesce(F.sum("_a"), F.lit(0)).alias("matched_rows"),
+    )
+
+
+def spot_check(df: DataFrame, key: str, value, columns: list[str]) -> DataFrame:
+    """Chosen columns of one known row."""
+    return df.filter(F.col(key) == F.lit(value)).select(*columns)
+
+
 # ---- rules of each source ---------------------------------------------------------
 
 

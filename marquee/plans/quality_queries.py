@@ -522,3 +522,9 @@ def setop_suite(t: Tables):
         row = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("op"), "n")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@query("""SELECT count(*) AS joined_rows, (SELECT count(*) FROM based_on WHERE imdb_id IN (SELECT imdb_id FROM wikidata_ids)) AS matched_rows
+    FROM based_on JOIN wikidata_ids USING (imdb_id)""", "based_on wikidata_ids")
+def match_count(t: Tables):
+    return Q.match_count(t.based_on, "imdb_id", t.wikidata_ids, "imdb_id")

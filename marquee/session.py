@@ -67,6 +67,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint: survives executor loss and shortens the plan."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Writes the rows once to the shared folder and goes on from there: the plan becomes
+    short, survives executor loss, and later steps read only the columns they need from a
+    table whose size the optimizer knows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -28,6 +28,11 @@ def overwrite_unless_empty(df: DataFrame, path: str) -> bool:
     return True
 
 
+def write_split(valid: DataFrame, quarantine: DataFrame, valid_path: str, quarantine_path: str) -> tuple[int, int]:
+    """Replaces the validated table and appends to the quarantine, whose columns may grow."""
+    return overwrite(valid, valid_path), append(quarantine, quarantine_path)
+
+
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:
     """A table whose appends brought new columns: the union of all schemas."""
     return spark.read.option("mergeSchema", True).parquet(path)

@@ -65,6 +65,16 @@ def drop_repeats(stream: DataFrame, keys: list[str], ts: str, delay: str) -> Dat
 
 
 def counts_per_window(stream: DataFrame, ts: str, window: str, delay: str) -> DataFrame:
-    """Rows per load window, final once the watermark has passed the window."""
+    """Rows per load window; windows older than the watermark are final and leave the state."""
     timed = event_time(stream, ts).withWatermark(ts, delay)
     return timed.groupBy(F.window(ts, window)).agg(F.count("*").alias("n")).select(F.col("window.start").alias("load_ts"), "n")
+
+
+def update_counts(counts: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Writes the windows each batch changed to the same kind of log as ``upsert``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
+
+    writer = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()

@@ -30,19 +30,22 @@ def json_enforced(spark: SparkSession, path: str, schema: str | T.StructType) ->
 
 
 def json_tolerant(spark: SparkSession, path: str, schema: str, glob: str | None = None) -> DataFrame:
-    """Many small landed files, one object or many per file, malformed lines skipped."""
-    reader = spark.read.schema(f"{schema}, {CORRUPT} string").option("mode", "PERMISSIVE")
-    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.json(path).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    """Many small landed files, one object or many per file, malformed lines skipped. Lines
+    are parsed by an expression, so every use of the result, a bare count included, sees
+    the same rows."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("value", f"{schema}, {CORRUPT} string", options)
+    lines = reader.text(path).filter(F.trim("value") != "").withColumn("_parsed", parsed)
+    return lines.filter(F.col("_parsed")[CORRUPT].isNull()).select("_parsed.*").drop(CORRUPT)
 
 
 def tsv(spark: SparkSession, path: str, schema: str, keep: Column | None = None, drop: list[str] = ()) -> DataFrame:
     r"""Tab-separated dump, gzipped or not: header, ``\N`` for null, and no quoting, so
-    that a stray quote never swallows the lines after it."""
-    reader = spark.read.schema(schema).options(sep="\t", header=True, nullValue="\\N", quote="", emptyValue="")
-    df = reader.csv(path)
+    that a stray quote never swallows the lines after it. All columns are text."""
+    raw = spark.read.schema(schema).options(sep="\t", header=True, nullValue="", quote="").csv(path)
+    # The reader makes empty fields null; only the marker is null here.
+    df = raw.select(*[F.when(F.coalesce(c, F.lit("")) != "\\N", F.coalesce(c, F.lit(""))).alias(c) for c in raw.columns])
     if keep is not None:
         df = df.filter(keep)
     return df.drop(*drop)

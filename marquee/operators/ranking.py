@@ -52,12 +52,15 @@ def add_ranks(df: DataFrame, ranks: dict[str, str], buckets: int | None = None)
     n = buckets or max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / n for i in range(1, n)]
     columns = list(dict.fromkeys(ranks.values()))
-    found = df.agg(*[F.percentile_approx(c, shares).alias(c) for c in columns]).first()
+    found = df.agg(F.count("*").alias("_rows"), *[F.percentile_approx(c, shares).alias(c) for c in columns]).first()
     for name, column in ranks.items():
         bounds = sorted(set(found[column] or []))
-        placed = cut_lineage(_positions(df, column, bounds))
+        placed, hot = _positions(df, column, bounds), None
+        if found["_rows"] >= HOT_ROWS:  # below that no value can be hot
+            placed = cut_lineage(placed)
+            hot = _hot_values(placed, column)
         ranked = placed.select(column, (F.col("_larger") + 1).alias(name))
-        df = skew_join(df, ranked, [column], "left", _hot_values(placed, column), null_safe=True)
+        df = skew_join(df, ranked, [column], "left", hot, null_safe=True)
     return df
 
 

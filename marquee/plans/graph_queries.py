@@ -126,9 +126,9 @@ def knn_2d(t: Tables):
     return K.nearest(points, "film_id", "xy", 8).select("film_id", "neighbour", "position")
 
 
-_EDGES = """sims AS (SELECT a.vec_id AS src, b.vec_id AS dst, list_cosine_similarity(a.embedding::double[], b.embedding::double[]) AS sim
+_EDGES = """sims AS (SELECT a.vec_id AS src, b.vec_id AS dst, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 9) AS sim
         FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
-    edges AS (SELECT src, dst, sim FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY round(sim, 9) DESC, dst) AS rn FROM sims) WHERE rn <= 10)"""
+    edges AS (SELECT src, dst, sim FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) AS rn FROM sims) WHERE rn <= 10)"""
 
 
 @query(f"WITH {_EDGES} SELECT src, dst, round(sim, 4) AS sim FROM edges")
@@ -149,7 +149,7 @@ def edges_symmetric(t: Tables):
 
 
 @query(f"""WITH {_BOTH} SELECT src, dst, position FROM (
-    SELECT *, cast(row_number() OVER (PARTITION BY src ORDER BY round(sim, 9) DESC, dst) AS int) AS position FROM both_ways) WHERE position <= 4""")
+    SELECT *, cast(row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) AS int) AS position FROM both_ways) WHERE position <= 4""")
 def top_neighbours(t: Tables):
     return K.top_neighbours(edges(t)).select("src", "dst", "position")
 

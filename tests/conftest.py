@@ -10,6 +10,8 @@ from marquee.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "tests", **{"spark.sql.shuffle.partitions": "4"})
+    # Tiny inputs: compiling stages would take longer than running them.
+    settings = {"spark.sql.shuffle.partitions": "3", "spark.sql.codegen.wholeStage": "false", "spark.ui.showConsoleProgress": "false"}
+    session = local_session(8, "tests", **settings)
     yield session
     session.stop()

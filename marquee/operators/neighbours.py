@@ -148,25 +148,25 @@ def nearest(
     """
     cosine = metric == "cosine"
     v = F.col(vector).cast("array<double>")
-    rows = df.select(F.col(key).alias("id"), v.alias("vec"))
+    rows = df.select(F.col(key).alias("_id"), v.alias("vec"))
     if cosine:
         norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
-        rows = rows.select("id", F.transform("vec", lambda x: x / norm).alias("vec"))
+        rows = rows.select("_id", F.transform("vec", lambda x: x / norm).alias("vec"))
     # One point per distinct vector, carrying as many of its ids as any answer can use.
-    numbered = top_per_group(rows, ["vec"], [F.col("id")], k + 1)
+    numbered = top_per_group(rows, ["vec"], [F.col("_id")], k + 1)
     points = cut_lineage(
-        numbered.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("vid"), "vec", "ids")
+        numbered.groupBy("vec").agg(F.sort_array(F.collect_list("_id")).alias("ids")).select(F.col("ids")[0].alias("vid"), "vec", "ids")
     )
     near = _nearest_points(points, k + 1, cosine, digits, block)
     listed = near.join(points.select(F.col("vid").alias("near"), "ids"), "near").select("vid", "d", F.explode("ids").alias("other"))
     best = top_per_group(listed, ["vid"], [F.col("d"), F.col("other")], k + 1, "_position")
     lists = best.groupBy("vid").agg(F.array_sort(F.collect_list(F.struct("_position", "other", "d"))).alias("near"))
-    mine = skew_join(rows, points.select("vid", "vec"), ["vec"]).select("id", "vid")
-    others = F.slice(F.filter("near", lambda n: n["other"] != F.col("id")), 1, k)
+    mine = skew_join(rows, points.select("vid", "vec"), ["vec"]).select("_id", "vid")
+    others = F.slice(F.filter("near", lambda n: n["other"] != F.col("_id")), 1, k)
     sign = F.lit(-1.0) if cosine else F.lit(1.0)
     return (
         skew_join(mine, lists, ["vid"])
-        .select(F.col("id").alias(key), F.posexplode(others).alias("_p", "n"))
+        .select(F.col("_id").alias(key), F.posexplode(others).alias("_p", "n"))
         .select(key, F.col("n.other").alias("neighbour"), (sign * F.col("n.d")).alias("value"), (F.col("_p") + 1).alias("position"))
     )
 

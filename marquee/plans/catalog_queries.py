@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import names as N
 from ..operators import resolve as R
 from .quality_queries import _validated_akas, _validated_ratings, raw_ties
 from .registry import Tables, query
@@ -198,7 +199,48 @@ def er_candidates_hot_blocks(t: Tables):
     return R.candidate_names(*_sides(t), block_pairs=12)
 
 
-@query()
+# The score needs the longest common subsequence, here one bit per letter of the first name
+# (names of up to 100 letters): each letter of the second name updates all bits at once.
+_LCS = """length(name_a) - bit_count(list_reduce(
+        list_prepend(full_row, list_transform(string_split(name_b, ''), lambda c: list_sum(list_transform(range(1, length(name_a) + 1),
+            lambda i: CASE WHEN name_a[i] = c THEN 1::hugeint << (i - 1)::int ELSE 0::hugeint END))::hugeint)),
+        lambda s, m: ((s + (s & m)) | (s - (s & m))) & full_row))"""
+_SCORED = f"""{_CANDIDATES},
+    pairs AS (SELECT DISTINCT name_a, name_b, (1::hugeint << length(name_a)::int) - 1 AS full_row FROM cand),
+    scores AS (SELECT name_a, name_b, (1.0::double - (length(name_a) + length(name_b) - 2 * ({_LCS}))::double / (length(name_a) + length(name_b))) * 100.0::double AS score FROM pairs),
+    credited AS (SELECT DISTINCT b.tconst, person_id, {_NORMAL.format('name')} AS name_a FROM er_crew JOIN er_bridge b USING (film_id) JOIN er_people p USING (person_id)
+        WHERE p.imdb_id IS NULL OR p.imdb_id = ''),
+    billed AS (SELECT DISTINCT q.tconst, nconst, {_NORMAL.format('"primaryName"')} AS name_b FROM er_principals q JOIN er_bridge USING (tconst) JOIN er_names USING (nconst)),
+    linked AS (SELECT person_id AS tmdb_person_id, nconst, score FROM (
+        SELECT person_id, nconst, score, row_number() OVER (PARTITION BY person_id ORDER BY score DESC, nconst) AS rn
+        FROM credited JOIN billed USING (tconst) JOIN scores USING (name_a, name_b) WHERE score >= 90) WHERE rn = 1)"""
+_ER_VIEWS = "er_people er_crew er_bridge er_principals er_names"
+_RESOLVED = f"""{_SCORED},
+    both_passes AS (SELECT person_id AS tmdb_person_id, imdb_id AS nconst, 'imdb_id_direct' AS method, 1.0::double AS confidence FROM er_people WHERE imdb_id <> ''
+        UNION ALL SELECT tmdb_person_id, nconst, 'film_anchored', score / 100.0::double FROM linked),
+    settled AS (SELECT tmdb_person_id, nconst, method, confidence FROM (
+        SELECT *, row_number() OVER (PARTITION BY nconst ORDER BY confidence DESC, tmdb_person_id) AS rn FROM both_passes) WHERE rn = 1),
+    everyone AS (SELECT * FROM settled
+        UNION ALL SELECT DISTINCT person_id, NULL, 'tmdb_only', NULL FROM (SELECT * FROM er_crew UNION ALL SELECT * FROM er_cast) JOIN er_bridge USING (film_id)
+            WHERE person_id NOT IN (SELECT tmdb_person_id FROM settled)
+        UNION ALL SELECT DISTINCT NULL, nconst, 'imdb_only', NULL FROM er_principals JOIN er_bridge USING (tconst) WHERE nconst NOT IN (SELECT nconst FROM settled)),
+    resolved AS (SELECT *, CASE WHEN method IN ('imdb_id_direct', 'film_anchored') THEN 'both' ELSE method END AS source FROM everyone)"""
+
+
+@query(f"""WITH pairs AS (SELECT nconst, {_NORMAL.format('name')} AS name_a, {_NORMAL.format('"primaryName"')} AS name_b
+        FROM er_people JOIN er_names ON nconst = 'nm' || person_id),
+    masked AS (SELECT *, (1::hugeint << length(name_a)::int) - 1 AS full_row FROM pairs)
+    SELECT nconst, round((1.0::double - (length(name_a) + length(name_b) - 2 * ({_LCS}))::double / (length(name_a) + length(name_b))) * 100.0::double, 6) AS score FROM masked""",
+       "er_people er_names")
+def token_sort(t: Tables):
+    """Similarity of every person's two spellings."""
+    ours = t.er_people.select(F.concat(F.lit("nm"), F.col("person_id").cast("string")).alias("nconst"), "name")
+    both = ours.join(t.er_names, "nconst")
+    score = N.token_sort_ratio(N.normalise_name("name"), N.normalise_name("primaryName"))
+    return both.select("nconst", F.round(score, 6).alias("score"))
+
+
+@query(f"WITH {_SCORED} SELECT tmdb_person_id, nconst, round(score, 6) AS score FROM linked", _ER_VIEWS)
 def er_scored(t: Tables):
     return R.fuzzy_links(*_sides(t)).withColumn("score", F.round("score", 6))
 
@@ -208,18 +250,20 @@ def resolved_people(t: Tables):
     return R.complete_scope(settled, t.er_crew, t.er_cast, t.er_principals, t.er_bridge)
 
 
-@query()
+@query(f"WITH {_RESOLVED} SELECT tmdb_person_id, nconst, method, round(confidence, 6) AS confidence, source FROM resolved", _ER_VIEWS + " er_cast")
 def er_resolved(t: Tables):
     return resolved_people(t).withColumn("confidence", F.round("confidence", 6))
 
 
-@query()
+@query(f"WITH {_RESOLVED} SELECT method, source, count(*) AS n FROM resolved GROUP BY ALL", _ER_VIEWS + " er_cast")
 def er_breakdown(t: Tables):
     from ..operators.quality import value_distribution
 
     return value_distribution(resolved_people(t), ["method", "source"])
 
 
-@query()
+@query(f"""WITH {_RESOLVED} SELECT tmdb_person_id, p.name AS tmdb_name, r.nconst, n."primaryName" AS imdb_name, round(confidence, 6) AS confidence
+    FROM (SELECT * FROM resolved WHERE method = 'film_anchored' ORDER BY confidence, tmdb_person_id LIMIT 20) r
+    JOIN er_people p ON p.person_id = tmdb_person_id JOIN er_names n ON n.nconst = r.nconst""", _ER_VIEWS + " er_cast")
 def er_review_queue(t: Tables):
-    return R.review_queue(resolved_people(t), t.er_people, t.er_names)
+    return R.review_queue(resolved_people(t), t.er_people, t.er_names).withColumn("confidence", F.round("confidence", 6))

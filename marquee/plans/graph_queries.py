@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import clustering as C
 from ..operators import graph as G
 from ..operators import neighbours as K
-from .page_queries import adaptations, connections, filmography, related
+from .page_queries import _LINKS, adaptations, connections, filmography, related
 from .registry import Tables, query
 
 _ROLES = """roles AS (SELECT person_id, name, film_id, CASE WHEN lower(job) = 'director' THEN 'Director' ELSE 'Cinematographer' END AS role,
@@ -163,17 +163,59 @@ def _ego(t: Tables) -> G.EgoParts:
     )
 
 
-@query()
+_AROUND = f"""{_LINKS}, conns AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY center_id, person_id ORDER BY vote_average DESC, film_id) AS rn FROM links) WHERE rn <= 5),
+    k AS (SELECT DISTINCT s.film_id, source_wikidata_id AS source_id, source_label, title, year FROM based_on JOIN spine s ON tconst = imdb_id),
+    adapt AS (SELECT * FROM (SELECT a.film_id AS center_id, a.source_id, a.source_label, b.film_id, b.title, b.year,
+            row_number() OVER (PARTITION BY a.film_id ORDER BY a.source_label, b.year, b.film_id, a.source_id) AS rn
+        FROM k a JOIN k b ON a.source_id = b.source_id AND a.film_id <> b.film_id) WHERE rn <= 60),
+    lone AS (SELECT film_id AS center_id FROM movies WHERE film_id NOT IN (SELECT center_id FROM conns)),
+    tags AS (SELECT l.center_id, genre_id, genre_name FROM lone l JOIN film_genres f ON f.film_id = l.center_id JOIN genres USING (genre_id)),
+    rel AS (SELECT * FROM (SELECT p.center_id, m.film_id, title, row_number() OVER (PARTITION BY p.center_id ORDER BY vote_count DESC, m.film_id) AS rn
+        FROM (SELECT DISTINCT a.film_id AS center_id, b.film_id FROM film_genres a JOIN film_genres b USING (genre_id) WHERE a.film_id <> b.film_id) p
+        JOIN movies m ON m.film_id = p.film_id JOIN lone l ON l.center_id = p.center_id WHERE vote_count >= 500) WHERE rn <= 15),
+    billed AS (SELECT film_id AS center_id, person_id, name, character FROM (
+        SELECT *, row_number() OVER (PARTITION BY film_id ORDER BY cast_order, person_id, character) AS rn FROM film_cast) JOIN people USING (person_id) WHERE rn <= 10),
+    staff AS (SELECT film_id AS center_id, person_id, name, job FROM film_crew JOIN people USING (person_id)
+        WHERE job IN ('Director', 'Screenplay', 'Writer', 'Director of Photography', 'Original Music Composer'))"""
+_AROUND_VIEWS = "films_raw basics film_crew people movies based_on film_genres genres film_cast"
+_NODES = """all_nodes AS (
+    SELECT film_id AS center_id, 'film_' || film_id AS node_id, 0 AS o, 'center' AS kind, title || ' (' || coalesce(left(release_date::string, 4), '') || ')' AS label, NULL::string AS role FROM movies
+    UNION ALL SELECT center_id, 'person_' || person_id, 1, 'crew_bridge', person_name, role FROM conns
+    UNION ALL SELECT center_id, 'crew_film_' || film_id, 2, 'crew_film', title || ' (' || coalesce(year, '') || ')', NULL FROM conns
+    UNION ALL SELECT center_id, 'source_' || source_id, 3, 'source', source_label, NULL FROM adapt
+    UNION ALL SELECT center_id, 'source_film_' || film_id, 4, 'source_film', title || ' (' || coalesce(year::string, '') || ')', NULL FROM adapt
+    UNION ALL SELECT center_id, 'genre_' || genre_id, 5, 'genre', genre_name, NULL FROM tags
+    UNION ALL SELECT center_id, 'film_' || film_id, 6, 'related', title, NULL FROM rel
+    UNION ALL SELECT center_id, 'person_' || person_id, 7, 'person', name, character FROM billed
+    UNION ALL SELECT center_id, 'person_' || person_id, 8, 'person', name, job FROM staff),
+    nodes AS (SELECT center_id, node_id, kind, label, role FROM (
+        SELECT *, row_number() OVER (PARTITION BY center_id, node_id ORDER BY o, label, role NULLS FIRST) AS rn FROM all_nodes) WHERE rn = 1)"""
+
+
+@query(f"WITH {_AROUND}, {_NODES} SELECT * FROM nodes", _AROUND_VIEWS)
 def ego_nodes(t: Tables):
     return G.ego_nodes(_ego(t))
 
 
-@query()
+@query(f"""WITH {_AROUND}
+    SELECT DISTINCT center_id, 'film_' || center_id AS source, 'person_' || person_id AS target, role AS label FROM conns
+    UNION SELECT center_id, 'person_' || person_id, 'crew_film_' || film_id, NULL FROM conns
+    UNION SELECT center_id, 'film_' || center_id, 'source_' || source_id, NULL FROM adapt
+    UNION SELECT center_id, 'source_' || source_id, 'source_film_' || film_id, NULL FROM adapt
+    UNION SELECT center_id, 'film_' || center_id, 'genre_' || genre_id, NULL FROM tags
+    UNION SELECT r.center_id, 'genre_' || g, 'film_' || film_id, NULL FROM rel r JOIN (SELECT center_id, min(genre_id) AS g FROM tags GROUP BY 1) USING (center_id)
+    UNION SELECT center_id, 'film_' || center_id, 'person_' || person_id, NULL FROM billed
+    UNION SELECT center_id, 'film_' || center_id, 'person_' || person_id, job FROM staff""", _AROUND_VIEWS)
 def ego_edges(t: Tables):
     return G.ego_edges(_ego(t))
 
 
-@query()
+@query(f"""WITH {_AROUND}, {_NODES},
+    c AS (SELECT film_id, person_id, job, NULL::string AS character FROM film_crew WHERE job <> 'Editor' UNION SELECT film_id, person_id, NULL, character FROM film_cast),
+    work AS (SELECT DISTINCT person_id, film_id, title, year FROM (SELECT c.person_id, c.film_id, title, left(release_date::string, 4) AS year, row_number() OVER (PARTITION BY c.person_id
+        ORDER BY release_date DESC NULLS LAST, c.film_id, job NULLS LAST, character NULLS LAST) AS rn FROM c JOIN movies m ON m.film_id = c.film_id WHERE vote_count >= 200) WHERE rn <= 10)
+    SELECT center_id, 'pfilm_' || film_id AS node_id, min(title || ' (' || coalesce(year, '') || ')') AS label, count(*) AS people
+    FROM nodes JOIN work ON node_id = 'person_' || person_id GROUP BY center_id, film_id""", _AROUND_VIEWS)
 def ego_expand(t: Tables):
     return G.ego_expand(G.ego_nodes(_ego(t)), filmography(t))
 

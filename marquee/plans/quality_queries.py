@@ -395,14 +395,6 @@ def name_normalise(t: Tables):
     return t.documents.select("doc_id", N.normalise_name("text").alias("name"))
 
 
-@query()
-def token_sort(t: Tables):
-    """Similarity of every person's two spellings."""
-    ours = t.er_people.select(F.concat(F.lit("nm"), F.col("person_id").cast("string")).alias("nconst"), "name")
-    both = ours.join(t.er_names, "nconst")
-    return both.select("nconst", F.round(N.token_sort_ratio(N.normalise_name("name"), N.normalise_name("primaryName")), 6).alias("score"))
-
-
 # ---- joins, aggregates, set operations -------------------------------------------------------
 
 

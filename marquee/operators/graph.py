@@ -192,7 +192,7 @@ def recommend(relations: DataFrame, films: DataFrame, k: int = 10) -> DataFrame:
     ``k + 1`` best films, which contain every film it can put among a film's best ``k``;
     the reasons of the chosen films are then looked up in full.
     """
-    once = relations.select("film_id", "reason").distinct()
+    once = cut_lineage(relations.select("film_id", "reason").distinct())
     rated = skew_join(once, films.select("film_id", "vote_average"), ["film_id"])
     best = [F.desc("vote_average"), F.col("film_id")]
     lists = leading_films(rated, ["reason"], best, k + 1, ["film_id", "vote_average"])
@@ -203,7 +203,7 @@ def recommend(relations: DataFrame, films: DataFrame, k: int = 10) -> DataFrame:
         .filter("recommended_id != film_id")
         .distinct()
     )
-    chosen = top_per_group(offered, ["film_id"], [F.desc("vote_average"), F.col("recommended_id")], k, "position")
+    chosen = cut_lineage(top_per_group(offered, ["film_id"], [F.desc("vote_average"), F.col("recommended_id")], k, "position"))
     pairs = chosen.select("film_id", "recommended_id")
     theirs = once.withColumnRenamed("film_id", "recommended_id")
     explained = (

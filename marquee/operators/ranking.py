@@ -48,20 +48,20 @@ def add_ranks(df: DataFrame, ranks: dict[str, str], buckets: int | None = None)
     One pass finds the range bounds of all columns; then each column's ranks are
     computed on its distinct values and joined back.
     """
-    df = cut_lineage(df)
-    n = buckets or max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    base = out = cut_lineage(df)
+    n = buckets or max(4, int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / n for i in range(1, n)]
     columns = list(dict.fromkeys(ranks.values()))
-    found = df.agg(F.count("*").alias("_rows"), *[F.percentile_approx(c, shares).alias(c) for c in columns]).first()
+    found = base.agg(F.count("*").alias("_rows"), *[F.percentile_approx(c, shares).alias(c) for c in columns]).first()
     for name, column in ranks.items():
         bounds = sorted(set(found[column] or []))
-        placed, hot = _positions(df, column, bounds), None
+        placed, hot = _positions(base, column, bounds), None
         if found["_rows"] >= HOT_ROWS:  # below that no value can be hot
             placed = cut_lineage(placed)
             hot = _hot_values(placed, column)
         ranked = placed.select(column, (F.col("_larger") + 1).alias(name))
-        df = skew_join(df, ranked, [column], "left", hot, null_safe=True)
-    return df
+        out = skew_join(out, ranked, [column], "left", hot, null_safe=True)
+    return out
 
 
 def rows_at(df: DataFrame, order_col: str, positions: list[int], buckets: int | None = None) -> DataFrame:

@@ -197,8 +197,9 @@ def crew_connections(
     lists = leading_films(
         worked_on, ["person_id"], [F.desc("vote_average"), F.col("film_id")], k + 1, ["film_id", "title", "release_date", "vote_average"]
     )
-    totals = worked_on.groupBy("person_id").agg(F.count("*").alias("_films"))
-    about = lists.join(totals, "person_id").join(people.select("person_id", "name"), "person_id")
+    if row_limit is not None:
+        lists = lists.join(worked_on.groupBy("person_id").agg(F.count("*").alias("_films")), "person_id")
+    about = lists.join(people.select("person_id", "name"), "person_id")
     centers = (
         crew.filter(F.col("job").isin(BRIDGE_JOBS))
         .groupBy(F.col("film_id").alias("center_id"), "person_id")

@@ -14,6 +14,7 @@ from ..operators import gold as G
 from ..operators import incremental as I
 from ..operators import quality as Q
 from ..operators import resolve as R
+from ..session import cut_lineage
 from ..sources import lineage, readers, schemas
 
 DOCUMENTS = {
@@ -179,7 +180,7 @@ def merge_relations(tables: Tables, fresh: Tables) -> Tables:
 
 def unify_sources(films_valid: DataFrame, second: Tables, third: Tables, silver: Tables) -> Tables:
     """Spine, bridges, resolved people and the unified table."""
-    films = R.film_spine(films_valid, second["basics"])
+    films = cut_lineage(R.film_spine(films_valid, second["basics"]))  # every bridge below starts from it
     bridge = R.key_bridge(films)
     relate = lambda name, key, label: R.relation_bridge(third[name], bridge, key, label)
     out = {

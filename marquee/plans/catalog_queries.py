@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..operators import resolve as R
+from ..session import cut_lineage
 from .quality_queries import _validated_akas, _validated_ratings, raw_ties
 from .registry import Tables, query
 
@@ -71,7 +72,7 @@ def relation_dim(t: Tables):
        "films_raw basics movements festivals based_on influences")
 def relation_bridge(t: Tables):
     out = None
-    for df in relations(t, bridge(t)).values():
+    for df in relations(t, cut_lineage(bridge(t))).values():
         part = df.toDF("film_id", "tconst", "rel_id", "label")
         out = part if out is None else out.unionByName(part)
     return out
@@ -110,8 +111,8 @@ def akas_scoped(t: Tables):
     return R.akas_of_films(_validated_akas(t), bridge(t))
 
 
-def unified(t: Tables):
-    spine = films(t)
+def unified(t: Tables, spine=None):
+    spine = cut_lineage(films(t)) if spine is None else spine  # used by every join below
     keys = R.key_bridge(spine)
     rel = relations(t, keys)
     ratings = R.latest_ratings(_validated_ratings(t), keys)
@@ -150,8 +151,9 @@ def unified_wide(t: Tables):
            based_on IS NOT NULL AS has_based_on, influences IS NOT NULL AS has_influences, crew_count IS NOT NULL AS has_crew, aka_count IS NOT NULL AS has_akas
     FROM unified LEFT JOIN crew USING (film_id) LEFT JOIN aka USING (film_id)""", UNIFIED_VIEWS + " principals akas")
 def unified_flags(t: Tables):
-    keys = bridge(t)
-    rich = R.enrich(unified(t), R.crew_of_films(t.principals, keys), R.akas_of_films(_validated_akas(t), keys))
+    spine = cut_lineage(films(t))
+    keys = R.key_bridge(spine)
+    rich = R.enrich(unified(t, spine), R.crew_of_films(t.principals, keys), R.akas_of_films(_validated_akas(t), keys))
     flags = [c for c in rich.columns if c.startswith("has_")]
     return rich.select("film_id", "display_title", "runtime", "release_year", "crew_count", "aka_count", *flags)
 

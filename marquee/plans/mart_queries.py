@@ -11,6 +11,7 @@ from ..operators import quality as Q
 from ..operators import resolve as R
 from ..operators import serving as V
 from ..operators.dedup import latest_per_key
+from ..session import cut_lineage
 from .quality_queries import _validated_ratings
 from .registry import Tables, query
 
@@ -160,7 +161,7 @@ _HEAD = "SELECT '{0}' AS page, b.film_id, b.title, b.year, b.revenue, b.{1} AS r
 @query(f"""WITH {FACTS}, {_BOARD} {_HEAD.format('rated', 'rank_combined_rating', 'imdb_votes >= 40')}
     UNION ALL {_HEAD.format('revenue', 'rank_revenue', 'revenue > 0')} UNION ALL {_HEAD.format('popular', 'rank_popularity', 'true')}""", _VIEWS)
 def analytics_top_films(t: Tables):
-    board = G.film_leaderboard(unified(t))
+    board = cut_lineage(G.film_leaderboard(unified(t)))  # the pages read the stored mart
     pages = {
         "rated": (V.top_rated(board, t.movies, 40), "rank_combined_rating"),
         "revenue": (V.top_revenue(board, t.movies), "rank_revenue"),
@@ -180,7 +181,7 @@ _TABLE = """SELECT '{0}' AS sort_key, person_id, name, film_count, {0} AS rank F
 @query(f"WITH {FACTS}, {_DIRECTORS} " + " UNION ALL ".join(_TABLE.format(k) for k in ("rank_film_count", "rank_avg_rating", "rank_revenue")),
        _VIEWS + " film_crew people")
 def analytics_people(t: Tables):
-    board = G.director_leaderboard(unified(t), t.film_crew, t.people)
+    board = cut_lineage(G.director_leaderboard(unified(t), t.film_crew, t.people))
     out = None
     for key in ("rank_film_count", "rank_avg_rating", "rank_revenue"):
         part = V.top_people(board, key).select(F.lit(key).alias("sort_key"), "person_id", "name", "film_count", F.col(key).alias("rank"))

@@ -97,11 +97,10 @@ def dq_split_collapsed(t: Tables):
     return _split_events(t, dedup_first=True).quarantine.select("event_id", "fail_reason")
 
 
-@query("SELECT count(*) FILTER (kind IS NOT NULL) AS valid, count(*) FILTER (kind IS NULL OR id IS NULL) AS quarantined "
-       f"FROM (WITH {_DIRTY} SELECT id, kind FROM dirty WHERE id IS NOT NULL OR kind IS NULL)")
+@query(f"""WITH {_DIRTY} SELECT count(*) FILTER (WHERE id IS NOT NULL AND kind IS NOT NULL) AS valid,
+    count(*) FILTER (WHERE id IS NULL OR kind IS NULL) AS quarantined FROM dirty""")
 def dq_required_keys(t: Tables):
-    rows = dirty_events(t).filter("id is not null or kind is null")
-    sides = Q.split_required(rows, ["id", "kind"], RUN_DATE)
+    sides = Q.split_required(dirty_events(t), ["id", "kind"], RUN_DATE)
     valid = sides.valid.select(F.lit(1).alias("v"), F.lit(0).alias("q"))
     bad = sides.quarantine.select(F.lit(0).alias("v"), F.lit(1).alias("q"))
     return valid.union(bad).agg(F.sum("v").alias("valid"), F.sum("q").alias("quarantined"))

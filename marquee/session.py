@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +19,8 @@ DEFAULTS = {
     # Split a hot partition even where that costs the next step its partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Bounds what one batch of long texts takes in a Python worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(24 << 20),
 }
 
 
@@ -41,9 +46,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in DEFAULTS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors, once per Spark context, so that functions that run in Python
+    workers find it wherever the session was started."""
+    context = spark.sparkContext
+    if getattr(context, "_marquee_shipped", False):
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="marquee-code-"), "marquee.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(archive)
+    context._marquee_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

@@ -41,7 +41,7 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def _ranges(kind: str, end: int = 0x250) -> str:
+def _ranges(kind: str, end: int = 0x180) -> str:
     """Characters below ``end`` of a Unicode category, as the inside of a character class."""
     codes = [c for c in range(end) if unicodedata.category(chr(c))[0] == kind]
     starts = [c for c in codes if c - 1 not in codes]
@@ -53,4 +53,4 @@ def _ranges(kind: str, end: int = 0x250) -> str:
 LETTER, NUMBER, SPACE = _ranges("L"), _ranges("N"), "\t-\r \x85\xa0"
 #: Finds a character outside the blocks for which those classes hold (and where normal forms or case maps
 #: would matter); texts without one may take the fast patterns.
-NOT_PLAIN = re.compile("[^\t-\r -~\xa0-įı-ɏ‐-‧€]").search
+NOT_PLAIN = re.compile("[^\t-\r -~\xa0-įı-ſ‐-‧€]").search

@@ -20,7 +20,7 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Bounds what one batch of long texts takes in a Python worker.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(24 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import prepare
 from ..sources.readers import table
-from . import bpe, tokencount
+from . import bpe, decontam, knn, langid, substring, suffixdedup, tokencount, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,9 +21,64 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def query(fn: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[fn.__name__] = lambda spark, folder: fn(prepare(spark), folder)
-    return fn
+def query(sql: str | None = None):
+    def register(fn: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[fn.__name__] = lambda spark, folder: fn(prepare(spark), folder)
+        if sql:
+            ORACLES[fn.__name__] = sql
+        return fn
+
+    return register
+
+
+@query()
+def op1_greedy_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "n_tiled", "n_words", F.round("coverage", 6).alias("coverage"), F.size("tiles").alias("n_tiles"))
+
+
+def repeated_bytes(docs: DataFrame) -> DataFrame:
+    return suffixdedup.remove_repeats(docs, 400).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    """
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS x FROM documents),
+    w AS (SELECT rid, i, md5(hex(x[i + 1:i + 400])) AS h FROM (SELECT rid, x, unnest(range(0, octet_length(x) - 399)) AS i FROM d)),
+    often AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+    hit AS (SELECT rid, i, i - row_number() OVER (PARTITION BY rid ORDER BY i) AS g FROM w SEMI JOIN often USING (h)),
+    run AS (SELECT rid, min(i) AS s, max(i) + 400 AS e FROM hit GROUP BY rid, g),
+    edge AS (SELECT rid, s, e, CASE WHEN s <= max(e) OVER (PARTITION BY rid ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM run),
+    span AS (SELECT rid, min(s) AS s, max(e) AS e FROM (SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY s) AS k FROM edge) GROUP BY rid, k),
+    piece AS (SELECT rid, e AS a, lead(s) OVER (PARTITION BY rid ORDER BY s) AS b FROM (SELECT rid, s, e FROM span UNION ALL SELECT rid, -1, 0 FROM d)),
+    kept AS (SELECT rid, string_agg(hex(x[a + 1:coalesce(b, octet_length(x))]), '' ORDER BY a) AS k FROM piece JOIN d USING (rid) GROUP BY rid)
+    SELECT doc_id, octet_length(x)::BIGINT AS n_bytes, (octet_length(x) - len(k) // 2)::BIGINT AS n_removed,
+           (SELECT count(*) FROM span WHERE span.rid = d.rid)::BIGINT AS n_spans, sha256(unhex(k)) AS kept_sha256
+    FROM d JOIN kept USING (rid)
+    """
+)
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_bytes(table(spark, folder, "documents"))
+
+
+def repeated_words(docs: DataFrame) -> DataFrame:
+    return substring.remove_repeats(docs, 35).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS x FROM documents),
+    w AS (SELECT rid, i, md5(array_to_string(x[i:i + 34], ' ')) AS h FROM (SELECT rid, x, unnest(range(1, len(x) - 33)) AS i FROM d)),
+    often AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+    hit AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS i FROM w SEMI JOIN often USING (h)),
+    word AS (SELECT rid, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS v FROM d),
+    kept AS (SELECT rid, count(*) AS n, string_agg(v, ' ' ORDER BY i) AS k FROM word ANTI JOIN hit USING (rid, i) GROUP BY rid)
+    SELECT doc_id, len(x)::BIGINT AS n_words, (len(x) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (rid)
+    """
+)
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_words(table(spark, folder, "documents"))
 
 
 def byte_bpe(docs: DataFrame) -> DataFrame:
@@ -39,11 +94,48 @@ def byte_bpe(docs: DataFrame) -> DataFrame:
     )
 
 
-@query
+@query()
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe(table(spark, folder, "documents"))
 
 
-@query
+def language(docs: DataFrame) -> DataFrame:
+    """Learns from the rows that aren't held out; the prediction reads texts alone."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = langid.learn(docs, ~held_out)
+    named = langid.identify(docs, model)
+    return named.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("lang").alias("lang_pred"), "score",
+        F.size("spans").alias("n_spans"),
+    )
+
+
+@query()
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language(table(spark, folder, "documents"))
+
+
+@query()
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.token_counts(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query()
+def op9_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    chain = toxicity.train(docs, table(spark, folder, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), chain)
+    return scored.select("doc_id", F.col("p_quality").alias("p_quality"), F.col("p_toxic").alias("p_toxic"), (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+@query(
+    """
+    WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+               WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+    """
+)
+def op10_block_knn(spark: SparkSession, folder: str) -> DataFrame:
+    return knn.nearest(table(spark, folder, "embeddings"), F.pmod(F.col("vec_id"), F.lit(20)) == 0, 20)

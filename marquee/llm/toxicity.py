@@ -1,15 +1,21 @@
 """Toxicity by a classifier chain.
 
 The categories of the labels are predicted one after the other. Each has a linear model over the presence of
-words; from the second on, the model also sees the probabilities of the categories before it. So that it learns
+features; from the second on, the model also sees the probabilities of the categories before it. So that it learns
 from probabilities like those it will meet, these are predicted out of fold: each fold by a model trained on the
 others. Models are fitted on a bounded sample of labelled documents and applied to every document.
+
+Features are terms, which are words and their first four letters, and marks of terms that are frequent in the
+document (at least twice, and one or three in a hundred words).
 """
 
 from __future__ import annotations
 
 import math
 import re
+import uuid
+from collections import Counter
+from itertools import chain as chained
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +27,27 @@ from .common import id_and_text, per_batch, texts_of
 
 WORD = re.compile(r"[^\W\d_]{2,}")
 FOLDS = 5
+#: Shares of a document's words from which a term counts as frequent; each adds a "+" to its name.
+FREQUENT = (0.01, 0.03)
+#: Words a worker remembers the features of.
+CACHE = 300_000
+
+
+def terms(word: str) -> list[str]:
+    return [word, f"^{word[:4]}"] if len(word) > 4 else [word]
+
+
+def marks(counts: Counter, n: int) -> list[str]:
+    return [t + "+" * k for t, c in counts.items() for k in range(1 + (c > 1) * sum(c >= share * n for share in FREQUENT))]
+
+
+def features(text: str) -> list[str]:
+    words = WORD.findall(text.lower())
+    counts: Counter = Counter()
+    for word, n in Counter(words).items():
+        for t in terms(word):
+            counts[t] += n
+    return sorted(marks(counts, len(words)))
 
 
 def _sparse(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +132,7 @@ def fit_chain(words: list[list[str]], labels: list[list[float | None]], folds: l
     return {"words": {names[i]: k for k, i in enumerate(chosen)}, "models": models}
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("quality", "toxic"), max_labelled: int = 16_000, id_col: str = "doc_id", text_col: str = "text") -> dict:
+def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("quality", "toxic"), max_labelled: int = 8_000, id_col: str = "doc_id", text_col: str = "text") -> dict:
     """The chain, fitted on at most about ``max_labelled`` labelled documents, chosen by a hash of their id.
 
     Labels with a null id or no text are left out; a document labelled twice differently counts with the larger
@@ -120,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("qu
     sample = text.join(F.broadcast(marks), "_labelled").dropDuplicates(["_labelled"])
 
     def shrink(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = [sorted(set(WORD.findall(t.lower()))) for t in texts_of(batch)]
+        words = [features(t) for t in texts_of(batch)]
         return pa.RecordBatch.from_arrays([batch.column("_labelled"), pa.array(words, pa.list_(pa.string())), *(batch.column(f"_y{i}") for i in range(len(categories)))], names=["_labelled", "words", *(f"_y{i}" for i in range(len(categories)))])
 
     ys = ", ".join(f"_y{i} double" for i in range(len(categories)))
@@ -142,27 +169,54 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("qu
     return {"words": {w: i for i, w in enumerate(found[0]["words"])}, "models": [np.array(m) for m in found[0]["models"]]}
 
 
-def probabilities(texts: list[str], chain: dict) -> np.ndarray:
-    """One row per text, one column per category."""
-    number, width = chain["words"], len(chain["words"])
-    features = set(number)
-    columns, lengths = _sparse([[number[w] for w in features.intersection(WORD.findall(t.lower()))] for t in texts])
-    rows, dense = np.repeat(np.arange(len(texts)), lengths), np.zeros((len(texts), 0))
-    for model in chain["models"]:
-        p = _predict(model, columns, rows, len(texts), width, dense)
-        dense = np.concatenate([dense, p[:, None]], axis=1)
-    return dense
+class Scorer:
+    """A fitted chain in one Python worker, with the terms of the words met so far that are features."""
+
+    def __init__(self, chain: dict):
+        self.number, self.models = chain["words"], chain["models"]
+        self.known = {w.rstrip("+") for w in self.number}
+        self.cache: dict[str, tuple[str, ...]] = {}
+
+    def counts(self, words: list[str]) -> Counter:
+        got = list(map(self.cache.get, words))
+        if None in got:
+            for w, found in zip(words, got):
+                if found is None and w not in self.cache:
+                    self.cache[w] = tuple(t for t in terms(w) if t in self.known)
+            got = map(self.cache.__getitem__, words)
+        return Counter(chained.from_iterable(filter(None, got)))
+
+    def probabilities(self, texts: list[str]) -> np.ndarray:
+        """One row per text, one column per category."""
+        if len(self.cache) > CACHE:
+            self.cache.clear()
+        found = []
+        for text in texts:
+            words = WORD.findall(text.lower())
+            found.append([self.number[m] for m in marks(self.counts(words), len(words)) if m in self.number])
+        columns, lengths = _sparse(found)
+        rows, dense, width = np.repeat(np.arange(len(texts)), lengths), np.zeros((len(texts), 0)), len(self.number)
+        for model in self.models:
+            p = _predict(model, columns, rows, len(texts), width, dense)
+            dense = np.concatenate([dense, p[:, None]], axis=1)
+        return dense
+
+
+_SCORERS: dict[str, Scorer] = {}
 
 
 def score(docs: DataFrame, chain: dict, categories: tuple[str, ...] = ("quality", "toxic"), text_col: str = "text", prefix: str = "p_") -> DataFrame:
     """All columns of the input and one probability column per category, named ``prefix`` + category (which
     must not be among them). Null and empty texts have no words and get the models' base rates; rows are
     neither dropped nor merged."""
-    sent = docs.sparkSession.sparkContext.broadcast(chain)
+    sent, key = docs.sparkSession.sparkContext.broadcast(chain), uuid.uuid4().hex
     names = [prefix + c for c in categories]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        p = probabilities(texts_of(batch, text_col), sent.value)
+        if key not in _SCORERS:
+            _SCORERS.clear()
+            _SCORERS[key] = Scorer(sent.value)
+        p = _SCORERS[key].probabilities(texts_of(batch, text_col))
         return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p[:, i]) for i in range(len(names)))], names=[*batch.schema.names, *names])
 
     clash = set(names) & set(docs.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import prepare
 from ..sources.readers import table
-from . import bpe, decontam, knn, langid, substring, suffixdedup, tokencount, toxicity
+from . import bpe, decontam, knn, langid, minhash, substring, suffixdedup, tokencount, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,8 @@ def op9_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op10_block_knn(spark: SparkSession, folder: str) -> DataFrame:
     return knn.nearest(table(spark, folder, "embeddings"), F.pmod(F.col("vec_id"), F.lit(20)) == 0, 20)
+
+
+@query()
+def op3_minhash_near(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.members(table(spark, folder, "documents"))

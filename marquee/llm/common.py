@@ -7,6 +7,7 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +55,19 @@ LETTER, NUMBER, SPACE = _ranges("L"), _ranges("N"), "\t-\r \x85\xa0"
 #: Finds a character outside the blocks for which those classes hold (and where normal forms or case maps
 #: would matter); texts without one may take the fast patterns.
 NOT_PLAIN = re.compile("[^\t-\r -~\xa0-įı-ſ‐-‧€]").search
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``key, doc_id, text``) with texts as compressed UTF-8, for a shuffle."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        press = zstandard.ZstdCompressor(level=3).compress
+        texts = pa.array([press(t.encode()) for t in texts_of(batch)], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), texts], names=["key", "doc_id", "text"])
+
+    return per_batch(rows.select("key", "doc_id", "text"), work, "key binary, doc_id bigint, text binary")
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    press = zstandard.ZstdDecompressor().decompress
+    return [press(t) for t in column.to_pylist()]

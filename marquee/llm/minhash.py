@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import id_and_text, per_batch, text_key
+from .common import id_and_text, packed, per_batch, text_key, unpacked
 from .components import components
 from .routing import Words, mix
 
@@ -224,10 +224,10 @@ def classes(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str
     pairs = cut_lineage(agreeing(pairs.select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b")).distinct()))
     ends = bands.select("key").distinct().join(known.select("key", "pick"), "key")
     # The texts that share a band with another one, one row of each.
-    texts = cut_lineage(rows.withColumn("pick", F.coalesce("doc_id", F.lit(-(1 << 63)))).join(ends, ["key", "pick"]).select("key", "text"))
+    texts = cut_lineage(packed(rows).withColumn("pick", F.coalesce("doc_id", F.lit(-(1 << 63)))).join(ends, ["key", "pick"]).select("key", "text"))
 
     def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
-        left, right = (batch.column(c).to_pylist() for c in ("text_a", "text_b"))
+        left, right = ([t.decode() for t in unpacked(batch.column(c))] for c in ("text_a", "text_b"))
         score = [similarities([words_of(t) for t in left[p]], [words_of(t) for t in right[p]], idf.value, size) for p in _slices(left)]
         good = pa.array(np.concatenate(score) >= threshold)
         return pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import id_and_text, text_key
+from .common import packed, text_key, texts_of, unpacked
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Units handled at a time in a worker, and windows in one segment at most.
@@ -165,10 +165,6 @@ def anchors(units: np.ndarray, window: int, kind) -> tuple[np.ndarray, np.ndarra
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def _binary(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
-    return ["".encode() if t is None else t for t in batch.column(column).to_pylist()]
-
-
 _ANCHOR = "array<struct<h:bigint,a:int,m:int,c:int>>"
 _SEGMENT = "h bigint, seg binary, key binary, a int, w int"
 
@@ -176,7 +172,7 @@ _SEGMENT = "h bigint, seg binary, key binary, a int, w int"
 def _anchored(rows: DataFrame, window: int, kind) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [anchors(kind.units(t), window, kind) for t in _binary(batch)]
+            made = [anchors(kind.units(t.encode()), window, kind) for t in texts_of(batch)]
             ends = np.concatenate([[0], np.cumsum([len(m[0]) for m in made])]).astype(np.int32)
             h, *rest = (np.concatenate([x[i] for x in made]) if made else np.zeros(0, np.int64) for i in range(4))
             fields = [pa.array(h), *(pa.array(x.astype(np.int32)) for x in rest)]
@@ -194,7 +190,7 @@ def _cut(rows: DataFrame, window: int, kind, hot: bool) -> DataFrame:
         for batch in batches:
             held: list[list] = [[], [], [], [], []]
             size = 0
-            for text, key, n, found in zip(_binary(batch), *(batch.column(c).to_pylist() for c in ("key", "n", "found"))):
+            for text, key, n, found in zip(unpacked(batch.column("text")), *(batch.column(c).to_pylist() for c in ("key", "n", "found"))):
                 units = kind.units(text)
                 for x in found:
                     if x["hot"] != hot:
@@ -231,16 +227,16 @@ def repeated(docs: DataFrame, window: int, kind, index: Callable[[list[np.ndarra
     """``key, spans`` of every text (by ``text_key``) with units under a window that starts anywhere else too.
     ``docs`` has ``doc_id, text``. ``index`` gets distinct segments, how often each occurs (2: more than
     once) and the window, and returns the spans of repeated windows in each."""
-    rows = docs.select(text_key("text").alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"))
-    scanned = cut_lineage(_anchored(rows, window, kind).filter(F.size("anchors") > 0))
-    texts = scanned.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.first("anchors").alias("anchors"))
-    exploded = cut_lineage(texts.select("key", "n", "doc_id", F.inline("anchors")))
+    rows = docs.select(text_key("text").alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), "text")
+    scanned = _anchored(rows, window, kind).filter(F.size("anchors") > 0)
+    texts = cut_lineage(scanned.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.first("anchors").alias("anchors")))
+    exploded = texts.select("key", "n", "doc_id", F.inline("anchors"))
     shared = exploded.groupBy("h").agg(F.sum(F.col("n") * F.col("c")).alias("rows"), F.count("*").alias("texts")).filter("rows > 1")
     wanted = exploded.join(shared.select("h", (F.col("texts") > crowd).alias("hot")), "h")
     wanted = wanted.groupBy("key", "doc_id").agg(F.max("n").alias("n"), F.collect_list(F.struct("h", "a", "m", "hot")).alias("found"))
     wanted = cut_lineage(wanted.withColumn("hot", F.exists("found", lambda x: x["hot"])))
     # Of rows with the same text only one is cut: the join is on the id too, which also spreads the copies.
-    carried = rows.join(wanted, ["key", "doc_id"])
+    carried = packed(rows).join(wanted, ["key", "doc_id"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, int] = {}
@@ -329,12 +325,12 @@ def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def apply_spans(docs: DataFrame, spans: DataFrame, work: Callable[[bytes, list[tuple[int, int]]], tuple], schema: str) -> DataFrame:
     """``work`` on the bytes of every text and its merged spans; ``schema`` names what it returns after doc_id."""
-    rows = docs.select(text_key("text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"))
-    joined = rows.join(spans, "key", "left").drop("key")
+    rows = docs.select(text_key("text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    joined = packed(rows).join(spans, "key", "left").drop("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [work(t, merged(s)) for t, s in zip(_binary(batch), batch.column("spans").to_pylist())]
+            made = [work(t, merged(s)) for t, s in zip(unpacked(batch.column("text")), batch.column("spans").to_pylist())]
             if made:
                 columns = [pa.array(c) for c in zip(*made)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *(c.split()[0] for c in schema.split(", "))])

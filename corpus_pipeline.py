@@ -1,11 +1,65 @@
-"""The corpus pipeline: documents in, encoded documents out."""
+"""The corpus pipeline: toxic documents out, one document of each group of near-duplicates, contaminated
+documents out, personal data masked, texts encoded."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from marquee.llm import decontam, minhash, pii, toxicity
+from marquee.llm.queries import byte_bpe
+from marquee.session import cut_lineage, prepare
+from marquee.sources.readers import table
+
+#: The stages have no common SQL: two are learned models and one is a randomised search.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents whose probability of being toxic is below one half. The chain learns from the
+    labelled documents of the table it is given."""
+    prepare(spark)
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, chain, prefix="_chain_")
+    return scored.filter("_chain_toxic < 0.5").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each class of near-duplicates."""
+    prepare(spark)
+    return minhash.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents that hold no benchmark item."""
+    prepare(spark)
+    flagged = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"), keep="_clean")
+    return flagged.filter("_clean").select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by its kind; keeps every document."""
+    prepare(spark)
+    return pii.mask(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, as counts and digests, and of what they decode to."""
+    prepare(spark)
+    return byte_bpe(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("personal_data", mask_personal_data),
+    ("byte_bpe", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents; each reads what the one before has written to the shared folder."""
+    docs = table(prepare(spark), sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = cut_lineage(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import prepare
 from ..sources.readers import table
-from . import bpe, decontam, knn, langid, minhash, substring, suffixdedup, tokencount, toxicity
+from . import bpe, decontam, knn, langid, minhash, pii, substring, suffixdedup, tokencount, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +144,22 @@ def op10_block_knn(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_minhash_near(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.members(table(spark, folder, "documents"))
+
+
+def personal_data(docs: DataFrame) -> DataFrame:
+    """Counts and a digest of what the forms find, and all spans."""
+    found = pii.extract(docs)
+    kinds = F.array(*(F.lit(k) for k in pii.KINDS))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(kinds, x["kind"] + 1), x["start"], x["end"])), ",")
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        F.size("added").alias("n_added"),
+    )
+
+
+@query()
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(table(spark, folder, "documents"))

@@ -181,18 +181,20 @@ class _Worker:
 
     def label(self, texts: list[str], penalty: float) -> list[tuple[str, float, list]]:
         model = self.model
+        if not model.langs:
+            return [("und", 0.0, [])] * len(texts)
         if len(self.rows) > CACHE:
             self.code, self.rows = {}, []
         words = [WORD.findall(t) for t in texts]
         sizes = np.array([len(w) for w in words], np.int64)
         codes = np.concatenate([self.codes(w) for w in words]) if len(words) else np.zeros(0, np.int64)
-        scores = np.array(self.rows, np.float32)[codes] if len(codes) else np.zeros((0, max(1, len(model.langs))), np.float32)
+        scores = np.array(self.rows, np.float32)[codes] if len(codes) else np.zeros((0, len(model.langs)), np.float32)
         labels = viterbi(scores, sizes, penalty)
         letters = np.fromiter((len(x) for w in words for x in w), np.int64, count=len(codes))
-        out, start, n = [], 0, max(1, len(model.langs))
+        out, start, n = [], 0, len(model.langs)
         for text, own, size in zip(texts, words, sizes.tolist()):
             mine, end = labels[start : start + size], start + size
-            if not size or not model.langs:
+            if not size:
                 out.append(("und", 0.0, []))
             else:
                 share = np.bincount(mine, weights=letters[start:end], minlength=n) / letters[start:end].sum()

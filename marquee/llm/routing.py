@@ -68,19 +68,31 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: i
 class Bytes:
     """Units are the bytes of the text as UTF-8."""
 
-    gram, dtype = 32, np.uint8
+    gram = 64
 
     @staticmethod
     def units(text: bytes) -> np.ndarray:
         return np.frombuffer(text, np.uint8)
 
+    @staticmethod
+    def cutter(text: bytes) -> Callable[[int, int], bytes]:
+        return lambda start, end: text[start:end]
+
+    @staticmethod
+    def load(segments: list[bytes]) -> list[np.ndarray]:
+        return [np.frombuffer(s, np.uint8) for s in segments]
+
+    @staticmethod
+    def size(segment: bytes) -> int:
+        return len(segment)
+
     @classmethod
     def grams(cls, units: np.ndarray) -> np.ndarray:
         raw = np.concatenate([units, np.zeros(8, np.uint8)])
         eight = np.ndarray((len(units),), "<u8", raw, strides=(1,)).copy()
         n = len(units) - cls.gram + 1
         h = eight[:n].copy()
-        for shift in (8, 16, 24):
+        for shift in range(8, cls.gram, 8):
             h ^= h >> np.uint64(31)
             h *= _C1
             h += eight[shift : shift + n]
@@ -90,7 +102,21 @@ class Bytes:
 class Words:
     """Units are words, runs of bytes other than ASCII white space, each as a 64-bit hash."""
 
-    gram, dtype = 6, np.uint64
+    gram = 6
+
+    @staticmethod
+    def cutter(text: bytes) -> Callable[[int, int], bytes]:
+        words = text.split()  # at ASCII white space
+        return lambda start, end: b" ".join(words[start:end])
+
+    @staticmethod
+    def load(segments: list[bytes]) -> list[np.ndarray]:
+        ends = np.cumsum([Words.size(s) for s in segments])
+        return np.split(Words.units(b" ".join(segments)), ends[:-1])
+
+    @staticmethod
+    def size(segment: bytes) -> int:
+        return segment.count(b" ") + 1
 
     @staticmethod
     def units(text: bytes) -> np.ndarray:
@@ -191,14 +217,13 @@ def _cut(rows: DataFrame, window: int, kind, hot: bool) -> DataFrame:
             held: list[list] = [[], [], [], [], []]
             size = 0
             for text, key, n, found in zip(unpacked(batch.column("text")), *(batch.column(c).to_pylist() for c in ("key", "n", "found"))):
-                units = kind.units(text)
+                units, cut = (kind.units(text), None) if hot else (None, kind.cutter(text))
                 for x in found:
                     if x["hot"] != hot:
                         continue
-                    a, m = x["a"], x["m"]
-                    piece, w = units[a : a + m + window - 1], min(n, 2)
+                    a, m, w = x["a"], x["m"], min(n, 2)
                     if hot:
-                        at = np.arange(m)
+                        piece, at = units[a : a + m + window - 1], np.arange(m)
                         held[0] += span_hashes(piece, at, at + window, 0).view(np.int64).tolist()
                         held[1] += span_hashes(piece, at, at + window, 1).view(np.int64).tolist()
                         held[2] += [key] * m
@@ -206,7 +231,7 @@ def _cut(rows: DataFrame, window: int, kind, hot: bool) -> DataFrame:
                         held[4] += [w] * m
                         size += 40 * m
                     else:
-                        for row, v in zip(held, (x["h"], piece.tobytes(), key, a, w)):
+                        for row, v in zip(held, (x["h"], cut(a, a + m + window - 1), key, a, w)):
                             row.append(v)
                         size += len(held[1][-1])
                     if size > 4 << 20:
@@ -229,11 +254,13 @@ def repeated(docs: DataFrame, window: int, kind, index: Callable[[list[np.ndarra
     once) and the window, and returns the spans of repeated windows in each."""
     rows = docs.select(text_key("text").alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), "text")
     scanned = _anchored(rows, window, kind).filter(F.size("anchors") > 0)
-    texts = cut_lineage(scanned.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.first("anchors").alias("anchors")))
-    exploded = texts.select("key", "n", "doc_id", F.inline("anchors"))
+    texts = scanned.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.first("anchors").alias("anchors"))
+    texts = cut_lineage(texts.withColumn("t", F.monotonically_increasing_id()))  # stored, so the numbers stay
+    exploded = texts.select("t", "n", F.inline("anchors"))
     shared = exploded.groupBy("h").agg(F.sum(F.col("n") * F.col("c")).alias("rows"), F.count("*").alias("texts")).filter("rows > 1")
-    wanted = exploded.join(shared.select("h", (F.col("texts") > crowd).alias("hot")), "h")
-    wanted = wanted.groupBy("key", "doc_id").agg(F.max("n").alias("n"), F.collect_list(F.struct("h", "a", "m", "hot")).alias("found"))
+    wanted = exploded.select("t", "h", "a", "m").join(shared.select("h", (F.col("texts") > crowd).alias("hot")), "h")
+    wanted = wanted.groupBy("t").agg(F.collect_list(F.struct("h", "a", "m", "hot")).alias("found"))
+    wanted = texts.select("t", "key", "doc_id", "n").join(wanted, "t").drop("t")
     wanted = cut_lineage(wanted.withColumn("hot", F.exists("found", lambda x: x["hot"])))
     # Of rows with the same text only one is cut: the join is on the id too, which also spreads the copies.
     carried = packed(rows).join(wanted, ["key", "doc_id"])
@@ -245,7 +272,7 @@ def repeated(docs: DataFrame, window: int, kind, index: Callable[[list[np.ndarra
         size, last = 0, None
 
         def found() -> pa.RecordBatch | None:
-            spans = index([np.frombuffer(s, kind.dtype) for s in held], np.array(weights), window)
+            spans = index(kind.load(list(held)), np.array(weights), window)
             out = [(key, a + s, a + e) for i, key, a in places for s, e in spans[i]]
             if not out:
                 return None
@@ -263,7 +290,7 @@ def repeated(docs: DataFrame, window: int, kind, index: Callable[[list[np.ndarra
                 i = held.setdefault(seg, len(held))
                 if i == len(weights):
                     weights.append(w)
-                    size += len(seg) // np.dtype(kind.dtype).itemsize
+                    size += kind.size(seg)
                 else:
                     weights[i] = 2
                 places.append((i, key, a))

@@ -103,7 +103,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     texts shorter than a window stay whole; extra columns are not read. Words are compared by 64-bit hashes.
     """
     rows = id_and_text(docs, id_col, text_col)
-    spans = routing.repeated(rows, window, routing.Words, repeated_windows, chunk=600_000)
+    spans = routing.repeated(rows, window, routing.Words, repeated_windows, chunk=400_000)
 
     def work(text: bytes, cut: list[tuple[int, int]]) -> tuple:
         words = text.split()

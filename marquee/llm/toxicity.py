@@ -159,6 +159,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("qu
             ids += batch.column("_labelled").to_pylist()
             words += [[names.setdefault(w, w) for w in row] for row in batch.column("words").to_pylist()]
             marked += list(zip(*(batch.column(f"_y{i}").to_pylist() for i in range(len(categories)))))
+        if not ids:
+            return
         order = sorted(range(len(ids)), key=ids.__getitem__)
         made = fit_chain([words[i] for i in order], [list(marked[i]) for i in order], [k % FOLDS for k in range(len(order))])
         yield pa.RecordBatch.from_arrays([pa.array([list(made["words"])], pa.list_(pa.string())), pa.array([[m.tolist() for m in made["models"]]], pa.list_(pa.list_(pa.float64())))], names=["words", "models"])

@@ -23,9 +23,11 @@ def _fold_to_ascii(names: pd.Series) -> pd.Series:
 def normalise_name(c: Column | str) -> Column:
     """Lower-case ASCII letters and digits separated by single spaces; null becomes ''.
 
-    Only the compatibility decomposition leaves the JVM: Spark has no built-in for it.
+    Only the compatibility decomposition leaves the JVM: Spark has no built-in for it. Text
+    that is ASCII already goes there as null and back.
     """
-    folded = _fold_to_ascii(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")))
+    text = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+    folded = F.coalesce(_fold_to_ascii(F.when(F.octet_length(text) > F.length(text), text)), text)
     spaced = F.lower(F.regexp_replace(folded, "[^a-zA-Z0-9]+", " "))
     return F.trim(spaced)
 

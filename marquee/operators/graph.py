@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,14 +119,15 @@ def ego_expand(nodes: DataFrame, filmography: DataFrame) -> DataFrame:
 # ---- paths ------------------------------------------------------------------------
 
 
-def shortest_hops(credits: DataFrame, starts: DataFrame, max_films: int = 6, stop_at: DataFrame | None = None) -> DataFrame:
+def shortest_hops(credits: DataFrame, starts: DataFrame, max_films: int | None = None, stop_at: DataFrame | None = None) -> DataFrame:
     """Breadth-first search from each starting film over shared people.
 
     Returns (start_id, film_id, hops, via_person, from_film): the fewest film-to-film
     steps and the smallest person and film of a step that gets there, from which paths
     are read backwards. ``starts`` and ``stop_at`` hold ``film_id``; with ``stop_at`` the
-    search ends once all of those films are reached. A level visits each person and film
-    once per start, so people with very many films cost their edges, never their pairs.
+    search ends once all of those films are reached; otherwise it goes on until no new film
+    is found, or for ``max_films`` steps where that is given. A level visits each person and
+    film once per start, so people with very many films cost their edges, never their pairs.
     """
     edges = cut_lineage(credits.select("film_id", "person_id").distinct())
     hot_films, hot_people = hot_keys(edges, "film_id"), hot_keys(edges, "person_id")
@@ -133,7 +137,7 @@ def shortest_hops(credits: DataFrame, starts: DataFrame, max_films: int = 6, sto
     ).distinct()
     reached = frontier = cut_lineage(reached)
     known_people = None
-    for hop in range(1, max_films + 1):
+    for hop in itertools.count(1) if max_films is None else range(1, max_films + 1):
         people = (
             skew_join(edges, frontier.select("start_id", "film_id"), ["film_id"], hot=hot_films)
             .groupBy("start_id", "person_id")
@@ -152,7 +156,7 @@ def shortest_hops(credits: DataFrame, starts: DataFrame, max_films: int = 6, sto
         frontier = cut_lineage(steps)
         if frontier.isEmpty():
             break
-        # Both sets stay unions of stored levels, of which there are at most max_films.
+        # Both sets are unions of stored levels.
         seen = people.select("start_id", "person_id")
         known_people = seen if known_people is None else known_people.unionByName(seen)
         reached = reached.unionByName(frontier)
@@ -163,17 +167,25 @@ def shortest_hops(credits: DataFrame, starts: DataFrame, max_films: int = 6, sto
     return reached
 
 
-def trace_path(reached: DataFrame, start_id: int, target_id: int) -> list[dict]:
-    """One shortest path as its steps, read back from the target: one row per hop."""
-    steps, film = [], target_id
+def connection_paths(reached: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The steps of one shortest path for each (start_id, target_id) of ``pairs``.
+
+    Returns (start_id, target_id, step, film_id, via_person), step 0 being the start, read
+    backwards through what ``shortest_hops`` returned: one join per level for all pairs
+    together. Pairs that aren't connected have no rows.
+    """
+    stored = cut_lineage(reached)
+    wanted = pairs.select("start_id", "target_id", F.col("target_id").alias("film_id")).distinct()
+    levels = []
     while True:
-        row = reached.filter((F.col("start_id") == start_id) & (F.col("film_id") == film)).first()
-        if row is None:
-            return []
-        steps.append(row.asDict())
-        if row["hops"] == 0:
-            return steps[::-1]
-        film = row["from_film"]
+        level = cut_lineage(skew_join(wanted, stored, ["start_id", "film_id"]))
+        if level.isEmpty():
+            break
+        levels.append(level.select("start_id", "target_id", F.col("hops").alias("step"), "film_id", "via_person"))
+        wanted = level.filter("hops > 0").select("start_id", "target_id", F.col("from_film").alias("film_id"))
+    if not levels:
+        return level.select("start_id", "target_id", F.col("hops").alias("step"), "film_id", "via_person")
+    return functools.reduce(DataFrame.unionByName, levels)
 
 
 def hub_scores(credits: DataFrame, clusters: DataFrame) -> DataFrame:

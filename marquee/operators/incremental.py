@@ -88,11 +88,14 @@ def scd2_history(snapshots: DataFrame, key: str, ts: str, ties: list | None = No
     """Every snapshot once, with the newest of each key flagged ``is_current``.
 
     The flag is a join on (key, time) rather than a window over the key, so a key with a
-    very long history is spread over tasks like any other.
+    very long history is spread over tasks like any other. A null key is a key like any
+    other; a row without a time is current only where its key has no other row.
     """
     once = first_per_key(snapshots, [key, ts], ties)
-    newest = once.groupBy(key).agg(F.max(ts).alias(ts)).withColumn("_newest", F.lit(True))
-    return once.join(newest, [key, ts], "left").withColumn("is_current", F.coalesce("_newest", F.lit(False))).drop("_newest")
+    newest = once.groupBy(F.col(key).alias("_key")).agg(F.max(ts).alias("_ts")).withColumn("_newest", F.lit(True))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(ts).eqNullSafe(F.col("_ts"))
+    flagged = once.join(newest, same, "left").withColumn("is_current", F.coalesce("_newest", F.lit(False)))
+    return flagged.drop("_newest", "_key", "_ts")
 
 
 def previous_in_time(df: DataFrame, key: str, ts: str, columns: list[str], unit: str = "day") -> DataFrame:
@@ -100,17 +103,19 @@ def previous_in_time(df: DataFrame, key: str, ts: str, columns: list[str], unit:
 
     Works on time chunks: a window inside each (key, chunk), and for the first row of a
     chunk the last row of the key's preceding chunk, found among one row per chunk. No
-    task sees a key's whole history. ``ts`` must be unique within a key.
+    task sees more of a key's history than one chunk. ``ts`` must be unique within a key; null
+    keys and times are values, and a row without a time comes before all others of its key.
     """
     chunked = df.withColumn("_chunk", F.date_trunc(unit, F.col(ts)))
     inside = Window.partitionBy(key, "_chunk").orderBy(ts)
     state = F.struct(*columns)
     stepped = chunked.withColumn("_prev", F.lag(state).over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
-    last_rows = chunked.groupBy(key, "_chunk").agg(F.max_by(state, F.col(ts)).alias("_last"))
+    last_rows = chunked.groupBy(key, "_chunk").agg(F.max(F.struct(F.col(ts).isNotNull().alias("_has"), F.col(ts).alias("_at"), state.alias("_row")))["_row"].alias("_last"))
     carried = last_rows.select(
-        key, "_chunk", F.lag("_last").over(Window.partitionBy(key).orderBy("_chunk")).alias("_carried")
+        F.col(key).alias("_key"), F.col("_chunk").alias("_of"), F.lag("_last").over(Window.partitionBy(key).orderBy("_chunk")).alias("_carried")
     )
-    joined = stepped.join(carried, [key, "_chunk"])
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(F.col("_of"))
+    joined = stepped.join(carried, same, "left")
     before = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_prev"))
     return joined.select(
         *df.columns,

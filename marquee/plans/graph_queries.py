@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import clustering as C
 from ..operators import graph as G
 from ..operators import neighbours as K
+from ..session import cut_lineage
 from .page_queries import _LINKS, adaptations, connections, filmography, related
 from .registry import Tables, query
 
@@ -223,25 +224,37 @@ def ego_expand(t: Tables):
 # ---- paths, hubs, recommendations ------------------------------------------------------------
 
 
-def _bfs_sql(levels: int) -> str:
-    """Film to film over shared people, one level after the other, from the smallest film."""
-    steps = ["r0 AS MATERIALIZED (SELECT min(film_id) AS film_id, 0 AS hops FROM credits)"]
-    for i in range(1, levels + 1):
-        steps.append(
-            f"""r{i} AS MATERIALIZED (SELECT film_id, min(hops) AS hops FROM (SELECT film_id, hops FROM r{i - 1} UNION ALL
-                SELECT DISTINCT film_id, {i} FROM credits WHERE person_id IN (
-                    SELECT person_id FROM credits WHERE film_id IN (SELECT film_id FROM r{i - 1}))) GROUP BY film_id)"""
-        )
-    return f"WITH {', '.join(steps)} SELECT film_id, cast(hops AS int) AS hops FROM r{levels}"
+#: Film to film over shared people from the smallest film, until no new film is found.
+_BFS = """r(film_id, hops) USING KEY (film_id) AS (
+        SELECT min(film_id), 0 FROM credits
+        UNION SELECT b.film_id, min(r.hops) + 1 FROM r JOIN credits a USING (film_id) JOIN credits b ON a.person_id = b.person_id
+            LEFT JOIN recurring.r k ON k.film_id = b.film_id WHERE k.film_id IS NULL GROUP BY b.film_id)"""
 
 
-@query(_bfs_sql(6), "credits")
+@query(f"WITH RECURSIVE {_BFS} SELECT film_id, cast(hops AS int) AS hops FROM r", "credits")
 def shortest_paths(t: Tables):
     credits = t.credits
     start = credits.agg(F.min("film_id").alias("film_id"))
     return G.shortest_hops(credits, start).select("film_id", "hops")
 
 
+@query(f"""WITH RECURSIVE {_BFS},
+    step AS MATERIALIZED (SELECT x.film_id, x.hops, min(struct_pack(p := b.person_id, f := b.film_id)) AS s FROM r x JOIN credits a USING (film_id)
+        JOIN credits b ON a.person_id = b.person_id JOIN r y ON y.film_id = b.film_id AND y.hops = x.hops - 1 GROUP BY ALL),
+    back(target_id, film_id, hops, via_person, from_film) AS (
+        SELECT film_id, film_id, hops, s.p, s.f FROM step
+        UNION ALL SELECT target_id, step.film_id, step.hops, s.p, s.f FROM back JOIN step ON step.film_id = back.from_film)
+    SELECT r0.film_id AS start_id, target_id, cast(hops AS int) AS step, b.film_id, via_person FROM (
+        SELECT target_id, hops, film_id, via_person FROM back
+        UNION ALL SELECT film_id, 0, (SELECT film_id FROM r WHERE hops = 0), NULL FROM r) b, (SELECT film_id FROM r WHERE hops = 0) r0""", "credits")
+def connection_paths(t: Tables):
+    """How every reachable film is connected with the first one, step by step."""
+    credits = t.credits
+    start = credits.agg(F.min("film_id").alias("film_id"))
+    reached = cut_lineage(G.shortest_hops(credits, start))
+    return G.connection_paths(reached, reached.select("start_id", F.col("film_id").alias("target_id")))
+
+
 @query("""SELECT c.person_id, count(*) AS degree, count(DISTINCT theme) AS clusters_bridged FROM credits c LEFT JOIN film_xy x ON x.film_id = c.film_id GROUP BY c.person_id""",
        "credits film_xy")
 def hub_scores(t: Tables):

@@ -154,6 +154,8 @@ def with_views(names: str, body: str) -> str:
     with WITH continues the list."""
     ctes = ",\n".join(f"{n} AS ({view_sql(n)})" for n in names.split())
     body = body.strip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

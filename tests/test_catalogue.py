@@ -122,14 +122,26 @@ def test_shortest_hops_and_path(spark):
         people = {p for f, p in credits if f in level}
         level = {f for f, p in credits if p in people} - set(hops)
         hops.update({f: max(hops.values()) + 1 for f in level})
-    reached = G.shortest_hops(df, spark.createDataFrame([(start,)], "film_id long"), max_films=20)
+    reached = G.shortest_hops(df, spark.createDataFrame([(start,)], "film_id long"))
     assert dict(pairs(reached, "film_id", "hops")) == hops and 99 not in hops
     far = max(hops, key=hops.get)
-    path = G.trace_path(reached, start, far)
+    asked = spark.createDataFrame([(start, far), (start, start), (start, 99), (far, start)], "start_id long, target_id long")
+    steps = [r.asDict() for r in G.connection_paths(reached, asked).collect()]
+    assert {(r["start_id"], r["target_id"]) for r in steps} == {(start, far), (start, start)}
+    path = sorted((r for r in steps if r["target_id"] == far), key=lambda r: r["step"])
     assert len(path) == hops[far] + 1 and path[0]["film_id"] == start
     for before, step in itertools.pairwise(path):
         assert (before["film_id"], step["via_person"]) in credits and (step["film_id"], step["via_person"]) in credits
-    assert G.trace_path(reached, start, 99) == []
+
+
+def test_paths_longer_than_six_steps(spark):
+    chain = [(film, 100 + film + d) for film in range(13) for d in (0, 1)]
+    df = spark.createDataFrame(chain, "film_id long, person_id long")
+    reached = G.shortest_hops(df, spark.createDataFrame([(0,)], "film_id long"))
+    assert dict(pairs(reached, "film_id", "hops")) == {f: f for f in range(13)}
+    steps = G.connection_paths(reached, spark.createDataFrame([(0, 12)], "start_id long, target_id long")).collect()
+    assert sorted((r.step, r.film_id, r.via_person) for r in steps) == [(i, i, 100 + i if i else None) for i in range(13)]
+    assert G.shortest_hops(df, spark.createDataFrame([(0,)], "film_id long"), max_films=3).count() == 4
 
 
 def test_recommend_matches_all_pairs(spark):

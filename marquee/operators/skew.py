@@ -5,12 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Buckets of a hot key whose count isn't known.
 SALTS = 32
 # Keys with fewer rows than this are never worth splitting.
 HOT_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
+class HotKeys(list):
+    """Hot values of a key and over how many buckets the rows of each are dealt: as many as
+    bring a bucket down to ``HOT_ROWS`` rows, two at least."""
+
+    def __init__(self, counts: dict):
+        super().__init__(counts)
+        self.salts = {key: max(2, -(-rows // HOT_ROWS)) for key, rows in counts.items()}
+
+
+def _salts(key: str, hot: list, salts: int) -> Column:
+    """Buckets of the row's key."""
+    known = getattr(hot, "salts", {})
+    pairs = [F.lit(x) for k, n in known.items() if k is not None for x in (k, n)]
+    of_value = F.element_at(F.create_map(*pairs), F.col(key)) if pairs else F.lit(None).cast("int")
+    return F.when(F.col(key).isNull(), F.lit(known.get(None, salts))).otherwise(F.coalesce(of_value, F.lit(salts)))
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> HotKeys:
     """The most frequent values of a key column, at most four per shuffle partition.
 
     A value outside the top ``H`` holds at most ``1/H`` of the rows, i.e. a quarter of an
@@ -19,7 +37,7 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= min_rows)
-    return [r[key] for r in counts.orderBy(F.desc("_rows"), key).limit(4 * partitions).collect()]
+    return HotKeys({r[key]: r["_rows"] for r in counts.orderBy(F.desc("_rows"), key).limit(4 * partitions).collect()})
 
 
 def _is_hot(key: str, hot: list) -> Column:
@@ -28,14 +46,14 @@ def _is_hot(key: str, hot: list) -> Column:
 
 
 def salt_many(df: DataFrame, key: str, hot: list, salts: int = SALTS) -> DataFrame:
-    """Adds ``_salt``: rows of hot keys are dealt over ``salts`` buckets, others get 0."""
-    dealt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+    """Adds ``_salt``: rows of hot keys are dealt over their buckets, others get 0."""
+    dealt = F.pmod(F.xxhash64(*df.columns), _salts(key, hot, salts)).cast("int")
     return df.withColumn("_salt", F.when(_is_hot(key, hot), dealt).otherwise(F.lit(0)))
 
 
 def salt_few(df: DataFrame, key: str, hot: list, salts: int = SALTS) -> DataFrame:
     """Adds ``_salt``: rows of hot keys are copied to every bucket, others get 0."""
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    every = F.sequence(F.lit(0), _salts(key, hot, salts) - 1)
     return df.withColumn("_salt", F.explode(F.when(_is_hot(key, hot), every).otherwise(F.array(F.lit(0)))))
 
 

@@ -115,3 +115,28 @@ def test_people_selection_defaults_missing_order(spark):
     cast = spark.createDataFrame([(1, 10), (2, 11), (3, None)], "person_id long, cast_order int")
     crew = spark.createDataFrame([(4, "Director"), (5, "Gaffer")], "person_id long, job string")
     assert sorted(r.person_id for r in I.select_people(cast, crew, ["Director"]).collect()) == [1, 4]
+
+
+def test_histories_keep_null_keys_and_times(spark):
+
+    rows = [(None, 1, 5), (None, 2, 5), (1, None, 3), (2, None, 1), (2, 4, 1), (2, 9, 2)]
+    df = spark.createDataFrame(rows, "k long, t long, v int").withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    history = I.scd2_history(df, "k", "ts").select("k", F.unix_timestamp("ts").alias("t"), "is_current").collect()
+    assert {tuple(r) for r in history} == {(None, 1, False), (None, 2, True), (1, None, True), (2, None, False), (2, 4, False), (2, 9, True)}
+    changes = I.scd2_changes(df, "k", "ts", ["v"]).select("k", F.unix_timestamp("ts").alias("t")).collect()
+    assert {tuple(r) for r in changes} == {(None, 1), (1, None), (2, None), (2, 9)}
+
+
+def test_salts_follow_the_counts(spark, monkeypatch):
+    from marquee.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+    many = spark.createDataFrame([(k, i) for k, n in ((1, 95), (2, 12), (None, 30), (3, 2)) for i in range(n)], "k long, i int")
+    few = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n")], "k long, name string")
+    hot = skew.hot_keys(many, "k", min_rows=10)
+    assert hot.salts == {1: 10, None: 3, 2: 2}
+    assert skew.salt_many(many, "k", hot).filter("k = 1").select("_salt").distinct().count() > 5
+    joined = skew.skew_join(many, few, ["k"], "left", hot=hot)
+    assert sorted(map(str, joined.select("k", "i", "name").collect())) == sorted(map(str, many.join(few, "k", "left").select("k", "i", "name").collect()))
+    safe = skew.skew_join(many, few, ["k"], hot=hot, null_safe=True)
+    assert safe.count() == many.count()

@@ -1,4 +1,4 @@
-"""The pipeline's stages on the smallest table, each against what its operator says about its input."""
+"""The pipeline's stages on a small table, each against what its operator says about its input."""
 
 import hashlib
 
@@ -10,7 +10,7 @@ pytest.importorskip("public_tokenizers")
 
 from marquee.llm import decontam, minhash, pii, toxicity
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")

@@ -6,11 +6,13 @@ same, so only the words above that share need a table, and of those there are at
 of an average document. Each of 30 samples picks a shingle and a level so that two documents agree with the
 probability of their weighted Jaccard similarity. Ten bands of three samples bring candidates together.
 
-Documents that share a band are compared with one document of the band only, never all with all: first each
-with the one it agrees with most, then, where that left them in different classes, with those of its other bands. Bands whose
-documents are still in several classes are gone through once more across classes: small ones pair by pair, larger
-ones split by a second band, with two documents of each part. So a document misses its class only if none of up
-to two hundred documents it is compared with belongs there, and the work stays proportional to the documents.
+Documents that share a band are compared with one document of the band to begin with: first each with the one it
+agrees with most, then, where that left them in different classes, with those of its other bands. Bands whose
+documents are still in several classes go on in rounds. In each round the document of a band with the most links
+so far, and a growing share of the others, are compared with all documents of the band in other classes; what was
+compared with all others once is done. The rounds end when every band has one class left among those not done, so
+each pair that shares a band and agrees often enough is verified or in one class already. Rows are capped per
+round, the number of rounds is not.
 Candidates are verified with the exact weighted Jaccard similarity of whole texts.
 """
 
@@ -35,9 +37,10 @@ SAMPLES = BANDS * ROWS
 AGREE = 15
 #: Share of the documents above which a word has a weight of its own.
 FREQUENT = 0.001
-#: Bands with at most so many documents in several classes have all pairs across classes compared; larger ones
-#: are split by the other bands, and each document outside the largest class is compared with two of each part.
+#: Bands with at most so many documents in several classes have all pairs across classes compared in one round.
 FEW = 6
+#: Pairs of a round, if the documents themselves don't ask for more. Sets the number of rounds, not what is compared.
+PAIRS = 100_000
 _RANDOM = np.random.default_rng(11)
 _LEVEL = _RANDOM.gamma(2.0, 1.0, 1 << 16).astype(np.float32)
 _LOG_C = np.log(_RANDOM.gamma(2.0, 1.0, 1 << 16)).astype(np.float32)
@@ -206,11 +209,8 @@ def classes(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str
     signed = cut_lineage(per_batch(rows, sign, "key binary, doc_id bigint, sig array<int>"))
     known = cut_lineage(signed.filter("sig is not null").groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("pick"), F.first("sig").alias("sig")))
 
-    def banded(df: DataFrame, of: str) -> DataFrame:
-        parts = F.array(*(F.xxhash64(F.lit(b), *(F.col("sig")[b * ROWS + r] for r in range(ROWS))) for b in range(BANDS)))
-        return df.withColumn(of, F.explode(parts))
-
-    bands = banded(known, "band").select("band", "key")
+    parts = F.array(*(F.xxhash64(F.lit(b), *(F.col("sig")[b * ROWS + r] for r in range(ROWS))) for b in range(BANDS)))
+    bands = known.select(F.posexplode(parts).alias("nth", "band"), "key")
     turn = F.struct(F.xxhash64("band", "key").alias("o"), "key")
     hubs = bands.groupBy("band").agg(F.count("*").alias("n"), F.min(turn)["key"].alias("hub")).filter("n > 1")
     bands = cut_lineage(bands.join(hubs, "band"))
@@ -219,11 +219,12 @@ def classes(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str
         """Pairs whose samples agree often enough, with how often."""
         side = lambda c: known.select(F.col("key").alias(c), F.col("sig").alias(f"sig_{c}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
-        agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda p, q: p == q), lambda e: e))
-        return both.withColumn("agree", agree).filter(F.col("agree") >= AGREE).select("a", "b", "agree")
+        both = both.withColumn("same", F.zip_with("sig_a", "sig_b", lambda p, q: p == q))
+        agree = F.size(F.filter("same", lambda e: e))
+        return both.withColumn("agree", agree).filter(F.col("agree") >= AGREE).drop("sig_a", "sig_b")
 
     pairs = bands.filter("key <> hub")
-    pairs = cut_lineage(agreeing(pairs.select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b")).distinct()))
+    pairs = cut_lineage(agreeing(pairs.select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b")).distinct()).select("a", "b", "agree"))
     ends = bands.select("key").distinct().join(known.select("key", "pick"), "key")
     # The texts that share a band with another one, one row of each.
     texts = cut_lineage(packed(rows).withColumn("pick", F.coalesce("doc_id", F.lit(-(1 << 63)))).join(ends, ["key", "pick"]).select("key", "text"))
@@ -251,22 +252,36 @@ def classes(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str
         links = links.unionByName(verified(rest))
         found = components(links)
 
-    # Bands that still hold several classes: pairs across classes that have not been looked at.
-    placed = bands.filter("n > 2").select("band", "n", "key").join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    counts = placed.groupBy("band", "root").agg(F.count("*").alias("c")).groupBy("band").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root"))["root"].alias("major"))
-    placed = cut_lineage(placed.join(counts.filter("roots > 1").select("band", "major"), "band"))
-    few = placed.filter(F.col("n") <= FEW)
-    across = few.select("band", F.col("key").alias("a"), "root").join(few.select("band", F.col("key").alias("b"), F.col("root").alias("root_b")), "band").filter("root < root_b").select("a", "b")
-    # In its own band every document of a band agrees; only the other bands split it.
-    cells = banded(placed.filter(F.col("n") > FEW).join(known.select("key", "sig"), "key"), "second").filter("second <> band").select("band", "second", "key", "root", "major")
-    turn = F.struct(F.xxhash64("second", "band", "key").alias("o"), "key", "root")
-    hubs = cells.groupBy("band", "second").agg(F.min(turn).alias("x"), F.max(turn).alias("y")).filter("x.key <> y.key").select("band", "second", F.explode(F.array("x", "y")).alias("hub"))
-    outside = cells.filter("root <> major").join(hubs, ["band", "second"]).filter("root <> hub.root").select(F.col("key").alias("a"), F.col("hub.key").alias("b"))
-    across = across.unionByName(outside).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    across = cut_lineage(agreeing(across.join(pairs, ["a", "b"], "left_anti")))
-    if not across.isEmpty():
-        links = links.unionByName(verified(across))
-        found = components(links)
+    # Bands that still hold several classes. A pair counts in the first band it shares, so none comes twice.
+    first = F.array_position(F.array(*(F.forall(F.slice("same", b * ROWS + 1, ROWS), lambda e: e) for b in range(BANDS))), True) - 1
+    place = F.pmod(F.xxhash64("key", "band"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    cap = max(PAIRS, 2 * known.count())
+    live = bands.filter("n > 2 and key <> hub").select("band", "nth", "n", "key", place.alias("place"))
+    turn, share = 0, 0
+    while True:
+        placed = live.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        split = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("band")
+        degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("links"))
+        placed = cut_lineage(placed.join(split, "band").join(degree, "key", "left"))
+        size_now = placed.count()
+        if not size_now:
+            break
+        share += max(1, min(1 << turn, cap // size_now))
+        turn += 1
+        top = placed.groupBy("band").agg(F.max(F.struct(F.coalesce("links", F.lit(0)), "place", "key"))["key"].alias("top"))
+        placed = placed.join(top, "band").withColumn("is_hub", (F.col("key") == F.col("top")) | (F.col("n") <= FEW) | (F.col("place") * F.col("n") < share))
+        placed = cut_lineage(placed.drop("top", "links"))
+        hubs = placed.filter("is_hub").select("band", F.col("key").alias("hub"), F.col("root").alias("hub_root"))
+        across = placed.join(hubs, "band").filter((F.col("root") != F.col("hub_root")) & (~F.col("is_hub") | (F.col("key") > F.col("hub"))))
+        across = across.select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b"), "nth")
+        across = agreeing(across).filter(F.col("nth") == first).select("a", "b")
+        across = cut_lineage(across.join(pairs, ["a", "b"], "left_anti"))
+        live = placed.filter("not is_hub").select("band", "nth", "n", "key", "place")
+        if not across.isEmpty():
+            more = verified(across)
+            if not more.isEmpty():
+                links = cut_lineage(links.unionByName(more))
+                found = components(links)
     named = signed.join(found.withColumnRenamed("node", "key"), "key", "left")
     return named.select("key", "doc_id", F.when(F.col("sig").isNotNull(), F.coalesce("root", "key")).alias("class_key"))
 

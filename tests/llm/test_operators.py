@@ -313,6 +313,27 @@ def test_near_duplicates(spark):
     assert minhash.members(docs.limit(0)).collect() == [] and minhash.keep_one(docs.limit(0)).collect() == []
 
 
+def test_copies_of_a_text_that_are_no_copies_of_each_other(spark):
+    """A star: every copy is near the base, no two copies are near each other."""
+    rnd = random.Random(8)
+    base = words(rnd, 400, 100_000)
+    texts = [base]
+    for i in range(2000):
+        copy = list(base)
+        for at in rnd.sample(range(400), 7):
+            copy[at] = f"c{i}x{at}"
+        texts.append(copy)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    idf = minhash.document_frequencies(docs.select("text"))
+    units = [minhash.words_of(" ".join(t)) for t in texts]
+    near = minhash.similarities([units[0]] * 2000, units[1:], idf, 5) >= 0.8
+    _, made = minhash.signatures(*minhash.weighted(units, idf, 5))
+    same = (made[1:] == made[0]).reshape(-1, minhash.BANDS, minhash.ROWS)
+    want = set(np.flatnonzero(near & (same.sum((1, 2)) >= minhash.AGREE) & same.all(2).any(1)) + 1)
+    got = {r.doc_id for r in minhash.members(docs).filter("class_id = 0").collect()}
+    assert len(want) > 1500 and want <= got
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     rnd = random.Random(3)
     idf = minhash.Idf(np.zeros(0, np.uint64), np.zeros(0, np.int64), 1)

@@ -6,6 +6,8 @@ checkpoint directory and read it back.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,28 +79,42 @@ def read_files_for_keys(t: Tables):
 
 
 def _mixed_files(t: Tables) -> str:
-    """Event documents as landed: of errors cut off in the middle, of purchases one indented
-    object per file, of the rest one object per line."""
+    """Event documents as landed: of errors cut off in the middle, of a hundredth of the purchases one indented
+    object per file, of the rest one object per line, those of purchases in a folder of their own."""
     path = scratch_path(t.spark, "mixed")
     doc = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "props": '), "props", F.lit("}"))
     broken = F.when(F.col("event_type") == "error", F.expr("left(doc, length(doc) - 4)")).otherwise(F.col("doc"))
     docs = t.events.withColumn("doc", doc).withColumn("value", broken)
+    alone = F.coalesce((F.col("event_type") == "purchase") & (F.col("event_id") % 100 == 0), F.lit(False))
     docs.filter("event_type <> 'purchase'").select("value").write.text(f"{path}/lines")
-    one = t.events.filter("event_type = 'purchase'").groupBy((F.col("event_id") % 40).alias("part")).agg(F.max_by("props", "event_id").alias("props"), F.max("event_id").alias("event_id"))
+    docs.filter("event_type = 'purchase'").filter(~alone).select("value").write.text(f"{path}/purchases")
     indented = F.concat(F.lit('{\n  "event_id": '), F.col("event_id").cast("string"), F.lit(',\n  "props": '), "props", F.lit("\n}"))
-    one.select(indented.alias("value"), "part").write.partitionBy("part").text(f"{path}/objects")
+    docs.filter(alone).select(indented.alias("value"), F.col("event_id").alias("part")).write.partitionBy("part").text(f"{path}/objects")
     return path
 
 
+def _read_mixed(t: Tables, path: str, *kinds: str):
+    parts = [readers.json_tolerant(t.spark, f"{path}/{kind}", _MIXED_SCHEMA, glob="*.txt") for kind in kinds]
+    return reduce(lambda a, b: a.unionByName(b), parts).select("event_id", F.col("props.k").alias("k"))
+
+
 _MIXED_SCHEMA = "event_id bigint, props struct<k:bigint>"
 
 
 @query("""SELECT event_id, cast(json_extract(props, '$.k') AS bigint) AS k FROM events WHERE event_type NOT IN ('error', 'purchase')
     UNION ALL SELECT max(event_id), cast(json_extract(arg_max(props, event_id), '$.k') AS bigint) FROM events WHERE event_type = 'purchase' GROUP BY event_id % 40""")
 def corrupt_record_filter(t: Tables):
+    """All purchases are landed and read; only then the last one of each remainder is taken."""
     path = _mixed_files(t)
-    parts = [readers.json_tolerant(t.spark, f"{path}/{kind}", _MIXED_SCHEMA, glob="*.txt") for kind in ("lines", "objects")]
-    return parts[0].unionByName(parts[1]).select("event_id", F.col("props.k").alias("k"))
+    bought = _read_mixed(t, path, "purchases", "objects").groupBy((F.col("event_id") % 40).alias("part"))
+    last = bought.agg(F.max_by("k", "event_id").alias("k"), F.max("event_id").alias("event_id"))
+    return _read_mixed(t, path, "lines").unionByName(last.select("event_id", "k"))
+
+
+@query("""SELECT event_id, cast(json_extract(props, '$.k') AS bigint) AS k FROM events WHERE event_type <> 'error'""")
+def corrupt_record_every_event(t: Tables):
+    """Every event that isn't cut off, the indented objects among them."""
+    return _read_mixed(t, _mixed_files(t), "lines", "purchases", "objects")
 
 
 @query("""SELECT left(doc, length(doc) - 4) AS rejected, count(*) AS n FROM (

@@ -10,6 +10,8 @@ from ..functions.scalars import uri_tail
 from .schemas import LINEAGE, SPARQL_RESULT
 
 CORRUPT = "_corrupt_record"
+#: Bytes up to which a file is tried as one object over several lines; the lines of larger ones stand for themselves.
+WHOLE = 256 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,23 +36,24 @@ def _landed_bodies(spark: SparkSession, path: str, schema: str, glob: str | None
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parse = lambda c: F.from_json(c, f"{schema}, {CORRUPT} string", options)
-    bodies = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
-    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
-    bodies = bodies.withColumn("lines", F.transform(lines, lambda x: F.struct(parse(x).alias("row"), x.alias("text"))))
-    fine = lambda x: x["row"].isNotNull() & x["row"][CORRUPT].isNull()
-    whole = F.struct(parse(F.col("value")).alias("row"), F.col("value").alias("text"))
-    # A body whose lines don't all stand for themselves may be one object over several lines, unless its
-    # first line already is one: then the rest is not part of it.
-    several = F.exists("lines", lambda x: ~fine(x)) & ~fine(F.get("lines", F.lit(0)))
-    bodies = bodies.withColumn("whole", F.when(several, whole))
-    parts = F.when(fine(F.col("whole")), F.array("whole")).otherwise(F.col("lines"))
-    found = bodies.select("source_file", F.explode(parts).alias("part"))
-    good = fine(F.col("part"))
-    return found.select("source_file", F.when(good, F.col("part.row")).alias("row"), F.when(~good, F.col("part.text")).alias("rejected"))
+    fine = F.col("row").isNotNull() & F.col("row")[CORRUPT].isNull()
+    # The place of a line in its file: the block it was read in and its number there.
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"))
+    lines = reader.text(path).select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_size").alias("size"), place.alias("place"), "value")
+    lines = lines.filter(F.trim("value") != "").withColumn("row", parse(F.col("value")))
+    # A file may be one object over several lines, unless its first line already is one: then the rest is not
+    # part of it. Only such files are put together, others stay split as Spark reads them.
+    firsts = lines.groupBy("source_file").agg(F.min_by(fine, "place").alias("fine"), F.max("size").alias("size"))
+    several = firsts.filter(~F.col("fine") & (F.col("size") <= WHOLE)).select("source_file")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]), "\n")
+    bodies = lines.join(several, "source_file", "left_semi").groupBy("source_file").agg(body.alias("value")).withColumn("row", parse(F.col("value"))).filter(fine)
+    rest = lines.join(bodies.select("source_file"), "source_file", "left_anti")
+    found = bodies.select("source_file", "value", "row").unionByName(rest.select("source_file", "value", "row"))
+    return found.select("source_file", F.when(fine, F.col("row")).alias("row"), F.when(~fine, F.col("value")).alias("rejected"))
 
 
 def json_tolerant(spark: SparkSession, path: str, schema: str, glob: str | None = None) -> DataFrame:
-    """Rows of many small landed files, each one object over one or several lines, or one
+    """Rows of landed files, each one object over one or several lines, or one
     object per line; the file is in ``source_file``. Everything is parsed by expressions, so
     every use of the result, a bare count included, sees the same rows. What can't be parsed
     is in ``json_rejected``."""

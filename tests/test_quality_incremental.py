@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marquee.operators import dedup as D
 from marquee.operators import incremental as I
 from marquee.operators import quality as Q
+from marquee.sources import readers
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -140,3 +141,19 @@ def test_salts_follow_the_counts(spark, monkeypatch):
     assert sorted(map(str, joined.select("k", "i", "name").collect())) == sorted(map(str, many.join(few, "k", "left").select("k", "i", "name").collect()))
     safe = skew.skew_join(many, few, ["k"], hot=hot, null_safe=True)
     assert safe.count() == many.count()
+
+
+def test_landed_lines_are_read_split(spark, tmp_path):
+    """A file of lines is read in several tasks; an object over several lines stays whole, junk is rejected."""
+    (tmp_path / "lines.json").write_text("".join(f'{{"id": {i}}}\n' for i in range(20_000)) + '{"id": \n')
+    (tmp_path / "object.json").write_text('\n{\n  "id":\n  -1\n}\n')
+    (tmp_path / "junk.json").write_text('{"id"\n{"id": -2}\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        good = readers.json_tolerant(spark, str(tmp_path), "id long")
+        assert good.select("id").distinct().count() == good.count() == 20_002 and good.agg(F.min("id")).first()[0] == -2
+        assert rows(readers.json_rejected(spark, str(tmp_path), "id long").select("rejected")) == [('{"id"',), ('{"id": ',)]
+        tasks = good.filter("id >= 0").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks > 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -6,8 +6,8 @@ The product of the codes gives every inner product up to a known error,
 
     |q.x - q'.x'|  <=  |q'| |x - x'| + |q - q'| |x'| + |q - q'| |x - x'|,
 
-so only candidates whose upper bound reaches the k-th largest lower bound of their tile can be among the k
-nearest. They are recomputed in double precision, and the k best of each tile are merged by one heap per query.
+so only candidates whose upper bound reaches the k-th largest lower bound of the ids of their tile can be among
+the k nearest; an id that stands in several rows has the largest of their bounds. They are recomputed in double precision, and the k best of each tile are merged by one heap per query.
 The result is exact.
 """
 
@@ -84,6 +84,9 @@ class _Block:
 def _tile(q: _Block, c: _Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best of the tile for each query: query ids, candidate ids, inner products."""
     out = []
+    by_id = np.argsort(c.ids, kind="stable")
+    firsts = np.flatnonzero(np.concatenate([[True], np.diff(c.ids[by_id]) != 0]))
+    repeated = len(firsts) < len(c.ids)
     for start in range(0, len(q.ids), 256):
         s = slice(start, start + 256)
         near = (q.codes[s] @ c.codes.T).astype(np.float64)
@@ -92,6 +95,8 @@ def _tile(q: _Block, c: _Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndar
         slack += 1e-12 * (q.norms[s, None] * c.norms + 1e-300)
         own = q.ids[s, None] == c.ids
         low = np.where(own, -np.inf, near - slack)
+        if repeated:
+            low = np.maximum.reduceat(low[:, by_id], firsts, axis=1)
         m = low.shape[1]
         floor = np.partition(low, m - k, axis=1)[:, m - k] if m > k else np.full(len(low), -np.inf)
         rows, cols = np.nonzero((near + slack >= floor[:, None]) & ~own)
@@ -100,18 +105,16 @@ def _tile(q: _Block, c: _Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndar
         for d in range(len(left)):  # in the order of the components, as a plain sum
             score += left[d][rows] * right[d][cols]
         ids = c.ids[cols]
+        if repeated:  # each id counts once, with its best score
+            order = np.lexsort((-score, ids, rows))
+            rows, ids, score = rows[order], ids[order], score[order]
+            keep = np.ones(len(rows), bool)
+            keep[1:] = (rows[1:] != rows[:-1]) | (ids[1:] != ids[:-1])
+            rows, ids, score = rows[keep], ids[keep], score[keep]
         order = np.lexsort((ids, -score, rows))
         rows, ids, score = rows[order], ids[order], score[order]
         first = np.concatenate([[0], np.flatnonzero(np.diff(rows)) + 1]) if len(rows) else np.zeros(0, int)
         rank = np.arange(len(rows)) - np.repeat(first, np.diff(np.concatenate([first, [len(rows)]])))
-        # Rows that repeat an id with the same score stand side by side and count once.
-        again = np.zeros(len(rows), bool)
-        again[1:] = (rows[1:] == rows[:-1]) & (ids[1:] == ids[:-1])
-        if again.any():
-            keep = ~again
-            rows, ids, score = rows[keep], ids[keep], score[keep]
-            first = np.concatenate([[0], np.flatnonzero(np.diff(rows)) + 1])
-            rank = np.arange(len(rows)) - np.repeat(first, np.diff(np.concatenate([first, [len(rows)]])))
         keep = rank < k
         out.append((q.ids[s][rows[keep]], ids[keep], score[keep]))
     return tuple(np.concatenate(x) for x in zip(*out))

@@ -194,6 +194,25 @@ def test_nearest_is_brute_force(spark, monkeypatch):
     assert knn.nearest(df.limit(0), F.lit(True), 3).collect() == []
 
 
+def test_nearest_with_an_id_in_many_rows(spark):
+    rnd = np.random.default_rng(4)
+    vectors = [(i, rnd.normal(size=6).tolist()) for i in range(120)]
+    for q in (0, 40, 80):  # ids that stand more than k times among the best rows, with equal and with other vectors
+        vectors += [(q + 1, (np.array(vectors[q][1]) * 3).tolist())] * 30
+        vectors += [(q + 2, (np.array(vectors[q][1]) * (4 + 0.01 * i)).tolist()) for i in range(30)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(2)
+    want = set()
+    for q in range(0, 120, 40):
+        scores = defaultdict(list)
+        for c, w in vectors:
+            if c != q:
+                scores[c].append(sum(a * b for a, b in zip(vectors[q][1], w)))
+        near = sorted((-max(s), c) for c, s in scores.items())
+        want |= {(q, i + 1, c) for i, (_, c) in enumerate(near[:20])}
+    got = knn.nearest(df, F.pmod(F.col("vec_id"), F.lit(40)) == 0, 20).collect()
+    assert len(got) == 60 and {(r.query_id, r["rank"], r.vec_id) for r in got} == want
+
+
 # -- benchmark passages ----------------------------------------------------------------------------------------
 
 

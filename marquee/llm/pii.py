@@ -1,8 +1,8 @@
 """Personal data by bootstrapped contextual extraction.
 
 Four kinds are found by their form: e-mail and IP addresses, card and phone numbers. These are the seeds. Every
-other number or address-like token is a candidate. The words around seeds and candidates, together with the shape
-of the value, are patterns; a pattern's confidence in a kind is the share of the distinct values it surrounds
+other number or address-like token is a candidate. The words around seeds and candidates are patterns, each with a
+loose class of the value (address-like, or a range of digit counts) and once more with its exact layout; a pattern's confidence in a kind is the share of the distinct values it surrounds
 that are known to be of that kind. Patterns of high confidence make their other values known, which changes the
 confidence of further patterns, and so on. The graph of patterns and values is held and scored by Spark; texts
 are read once.
@@ -70,17 +70,26 @@ def shape(value: str) -> str:
     return re.sub(r"[^\W\d_]+", "a", short)
 
 
+def looks(value: str) -> str:
+    """A class wide enough for every notation of a kind: addresses, and numbers by their count of digits."""
+    if "@" in value:
+        return "@"
+    n = sum(c.isdigit() for c in value)
+    return "few" if n < 7 else "some" if n < 16 else "many"
+
+
 def cues(text: str, start: int, end: int) -> list[str]:
-    """Patterns around a span: the word before, the two before, the word after, with the shape of the value."""
+    """Patterns around a span: the word before, the two before, the word after, each with the class of the value
+    and with its layout."""
     before = [w.lower() for w in _WORD.findall(text[max(0, start - 64) : start])[-2:]]
     after = _WORD.search(text[end : end + 48])
-    form = shape(text[start:end])
-    out = [f"<{before[-1]}|{form}"] if before else []
+    out = [f"<{before[-1]}"] if before else []
     if len(before) == 2:
-        out.append(f"<<{before[0]} {before[1]}|{form}")
+        out.append(f"<<{before[0]} {before[1]}")
     if after:
-        out.append(f">{after.group().lower()}|{form}")
-    return out
+        out.append(f">{after.group().lower()}")
+    forms = (looks(text[start:end]), shape(text[start:end]))
+    return [f"{words}|{form}" for words in out for form in forms]
 
 
 def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int | None, int, int, str, list[str]]]:
@@ -128,7 +137,8 @@ def bootstrap(scanned: DataFrame, rounds: int = 3, least_values: int = 4, confid
 
     A pattern counts with at least ``least_values`` known values of a kind and a confidence of at least
     ``confidence`` (known / (all + 1)); a value becomes known when the patterns around it leave less than
-    1 - ``certainty`` of doubt. Copies of a text count once.
+    1 - ``certainty`` of doubt. Of the two patterns of the same words the surer one counts, as they don't stand
+    for themselves. Copies of a text count once.
     """
     texts = scanned.filter(F.size("found") > 0).groupBy("key").agg(F.first("found").alias("found"))
     spans = cut_lineage(texts.select("key", F.inline("found")))
@@ -145,7 +155,8 @@ def bootstrap(scanned: DataFrame, rounds: int = 3, least_values: int = 4, confid
         best = F.array_max(F.array(*(F.struct(F.col(f"n{k}").alias("hits"), F.lit(-k).alias("k")) for k in range(len(KINDS)))))
         patterns = counts.withColumn("best", best).select("cue", (-F.col("best.k")).alias("kind"), F.col("best.hits").alias("hits"), (F.col("best.hits") / (F.col("n") + 1)).alias("sure"))
         patterns = patterns.filter((F.col("hits") >= least_values) & (F.col("sure") >= confidence))
-        judged = sides.filter("kind is null").select("value", "cue").join(patterns, "cue").groupBy("value", "kind").agg(F.sum(F.log(1 - F.col("sure"))).alias("doubt"))
+        judged = sides.filter("kind is null").select("value", "cue").join(patterns, "cue")
+        judged = judged.groupBy("value", "kind", F.substring_index("cue", "|", 1).alias("words")).agg(F.max("sure").alias("sure")).groupBy("value", "kind").agg(F.sum(F.log(1 - F.col("sure"))).alias("doubt"))
         new = judged.groupBy("value").agg(F.min(F.struct("doubt", "kind")).alias("m")).filter(F.exp("m.doubt") <= 1 - certainty)
         new = cut_lineage(new.select("value", F.col("m.kind").alias("kind")))
         if new.isEmpty():

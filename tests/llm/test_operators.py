@@ -414,6 +414,17 @@ def test_bootstrapping_finds_what_the_forms_miss(spark):
     assert pii.extract(docs.limit(0)).collect() == [] and pii.mask(docs.limit(0)).collect() == []
 
 
+def test_bootstrapping_finds_other_notations_by_their_context(spark):
+    rnd = random.Random(6)
+    texts = [f"please call +49 30 {rnd.randrange(10**6, 10**7)} today" for _ in range(200)]
+    local = ["(030) 1234567", "030/7654321", "0171 5557713"]
+    texts += [f"please call {n} today" for n in local] + [f"item {n} sold" for n in ("030/7654322", "(030) 1234569")] + ["please call 12345 today"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    added = {r.doc_id: [tuple(x) for x in r.added] for r in pii.extract(docs).collect()}
+    assert all(added[200 + i] == [(3, 12, 12 + len(n))] for i, n in enumerate(local))
+    assert not any(added[i] for i in (203, 204, 205))
+
+
 # -- language and toxicity -------------------------------------------------------------------------------------
 
 FOLDER = "/root/testdata/sf0.01"

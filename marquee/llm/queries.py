@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import prepare
 from ..sources.readers import table
-from . import bpe, decontam, knn, langid, minhash, pii, substring, suffixdedup, tokencount, toxicity
+from . import bpe, covertree, decontam, importance, knn, langid, minhash, pii, ranked, substring, suffixdedup, tokencount, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -163,3 +163,71 @@ def personal_data(docs: DataFrame) -> DataFrame:
 @query()
 def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data(table(spark, folder, "documents"))
+
+
+@query(
+    """
+    WITH v AS (SELECT row_number() OVER () AS rid, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+               WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    p AS MATERIALIZED (SELECT a.rid AS a, b.rid AS b FROM v a JOIN v b ON a.label = b.label AND a.rid <> b.rid AND len(a.e) = len(b.e)
+          WHERE list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.93),
+    reach AS (WITH RECURSIVE r AS (SELECT rid, rid AS at FROM v UNION SELECT r.rid, p.b FROM r JOIN p ON p.a = r.at) SELECT r.rid, min(v.vec_id) AS low FROM r JOIN v ON v.rid = r.at GROUP BY r.rid)
+    SELECT v.vec_id, count(b)::BIGINT AS n_links, low AS component_id, v.vec_id = low AS kept FROM v JOIN reach USING (rid) LEFT JOIN p ON p.a = v.rid GROUP BY v.rid, v.vec_id, low
+    UNION ALL
+    SELECT vec_id, 0, vec_id, true FROM embeddings
+    WHERE NOT coalesce(vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false)
+    """
+)
+def op11_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, folder, "embeddings"), 0.93)
+
+
+@query(
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS x FROM documents),
+    b AS (SELECT row_number() OVER () AS iid, item_id, list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS x FROM benchmark),
+    q AS (SELECT iid, item_id, unnest(x) AS term FROM b),
+    s AS (SELECT count(*) FILTER (len(x) > 0) AS big_n, sum(len(x))::BIGINT AS big_l FROM d),
+    t AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(x) AS term FROM d) SEMI JOIN q USING (term) GROUP BY rid, term),
+    w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM t, s GROUP BY term, big_n),
+    p AS (SELECT iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(x) * big_n) // big_l))))::BIGINT AS score
+          FROM q JOIN t USING (term) JOIN w USING (term) JOIN d USING (rid), s GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS rank FROM p WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
+    """
+)
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 10)
+
+
+#: One bit of the CRC-32, eight times over, in SQL.
+_STEP = "c"
+for _ in range(8):
+    _STEP = f"list_transform([{_STEP}], lambda c: xor(c >> 1, (c & 1) * 3988292384))[1]"
+
+
+@query(
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM documents),
+    f AS (SELECT rid, unnest(x) AS word FROM d),
+    g AS (SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+    k AS (SELECT i::UBIGINT AS i, {step} AS t FROM (SELECT i, i::BIGINT AS c FROM range(256) r(i))),
+    tab AS (SELECT list(t ORDER BY i) AS t FROM k),
+    c AS (SELECT word, xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, len(hex(encode(word))) // 2 + 1), lambda j: ('0x' || substr(hex(encode(word)), 2 * j::INTEGER - 1, 2))::BIGINT),
+                 lambda a, b: xor(a >> 8, tab.t[(xor(a, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+          FROM (SELECT word FROM f UNION SELECT word FROM g), tab),
+    sb AS (SELECT bucket, count(*) AS s FROM f JOIN c USING (word) GROUP BY bucket),
+    tb AS (SELECT bucket, count(*) AS t FROM g JOIN c USING (word) GROUP BY bucket),
+    gain AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM sb) + 10000)::DOUBLE
+                    / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM tb) + 10000)::DOUBLE)))::BIGINT AS gain FROM sb LEFT JOIN tb USING (bucket)),
+    w AS (SELECT rid, sum(gain)::BIGINT AS weight FROM f JOIN c USING (word) JOIN gain USING (bucket) GROUP BY rid),
+    z AS (SELECT doc_id, coalesce(len(x), 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                 coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+          FROM d LEFT JOIN w USING (rid)),
+    r AS (SELECT *, n_features >= 20 AS able, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS n FROM z)
+    SELECT doc_id, n_features, weight, score, CASE WHEN able AND n <= (SELECT 10 * count(*) FROM z WHERE n_features >= 20) // 100 THEN n END::BIGINT AS rank FROM r
+    """.replace("{step}", _STEP)
+)
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
@@ -66,15 +67,83 @@ def mean_vectors(df: DataFrame, group: str, vector: str) -> DataFrame:
     return vectors.groupBy(group).agg(F.count("*").alias("n"), vector_to_array(Summarizer.mean(F.col("_v"))).alias("mean_vector"))
 
 
-def kmeans(df: DataFrame, columns: list[str], k: int = 15, seed: int = 42, restarts: int = 10, out: str = "cluster") -> DataFrame:
-    """k-means over numeric columns; the cheapest of several restarts assigns the clusters."""
-    points = cut_lineage(df.withColumn("_features", array_to_vector(F.array(*[F.col(c).cast("double") for c in columns]))))
-    best = None
-    for i in range(restarts):
-        model = KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol=out).fit(points)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best.transform(points).drop("_features")
+def _spread_out(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Starting centres: each further one drawn by its squared distance to those before, then moved to the means of
+    the sample's points around them."""
+    centres = [sample[rng.integers(len(sample))]]
+    near = ((sample - centres[0]) ** 2).sum(1)
+    while len(centres) < k and near.max() > 0:
+        centres.append(sample[rng.choice(len(sample), p=near / near.sum())])
+        near = np.minimum(near, ((sample - centres[-1]) ** 2).sum(1))
+    centres = np.array(centres)
+    for _ in range(100):  # a good start saves passes over all rows
+        near = ((sample[:, None, :] - centres) ** 2).sum(2).argmin(1)
+        count = np.bincount(near, minlength=len(centres))
+        sums = np.stack([np.bincount(near, column, minlength=len(centres)) for column in sample.T], axis=1)
+        moved = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], centres)
+        if np.allclose(moved, centres, rtol=0, atol=1e-12):
+            break
+        centres = moved
+    return centres
+
+
+def kmeans(df: DataFrame, columns: list[str], k: int = 15, seed: int = 42, restarts: int = 10, out: str = "cluster", rounds: int = 200, sample: int = 4000) -> DataFrame:
+    """k-means over numeric columns; the cheapest of several restarts assigns the clusters.
+
+    All restarts advance together: each round is one pass that sums up the points of every (restart,
+    cluster). A restart is done when its centres stay where they are. Starting centres come from at
+    most ``sample`` rows, chosen by hash.
+    """
+    points = cut_lineage(df)
+    vectors = points.select(*(F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)))
+    some = vectors.distinct().orderBy(F.xxhash64(*vectors.columns), *vectors.columns).limit(sample).toPandas().to_numpy(float)
+    if not len(some):
+        return points.withColumn(out, F.lit(None).cast("int"))
+    centres = {r: _spread_out(some, k, np.random.default_rng(seed + r)) for r in range(restarts)}
+    done: dict[int, tuple] = {}
+    size = float(np.abs(some).max()) + 1e-300
+
+    names = vectors.columns
+
+    def sums(of: dict[int, np.ndarray]):
+        def work(batches):
+            total: dict[tuple[int, int], np.ndarray] = {}
+            for pdf in batches:
+                x = pdf.to_numpy(float)
+                for r, c in of.items():
+                    d = ((x[:, None, :] - c) ** 2).sum(2)
+                    near = d.argmin(1)
+                    for i in np.unique(near):
+                        mine = near == i
+                        row = np.concatenate([[mine.sum(), d[mine, i].sum()], x[mine].sum(0)])
+                        total[r, int(i)] = total.get((r, int(i)), 0) + row
+            if total:
+                rows = np.array([[*key, *row] for key, row in total.items()])
+                yield pd.DataFrame(rows, columns=["r", "i", "n", "cost", *names]).astype({"r": "int32", "i": "int32"})
+
+        kinds = ", ".join(f"{c} double" for c in ("n", "cost", *vectors.columns))
+        found = vectors.mapInPandas(work, f"r int, i int, {kinds}")
+        return found.groupBy("r", "i").agg(*(F.sum(c).alias(c) for c in ("n", "cost", *vectors.columns))).collect()  # restarts times clusters
+
+    for turn in range(rounds):
+        left = {r: c for r, c in centres.items() if r not in done}
+        if not left:
+            break
+        moved = {r: c.copy() for r, c in left.items()}
+        cost, used = dict.fromkeys(left, 0.0), dict.fromkeys(left, 0)
+        for row in sums(left):
+            moved[row["r"]][row["i"]] = [row[c] / row["n"] for c in vectors.columns]
+            cost[row["r"]] += row["cost"]
+            used[row["r"]] += 1
+        for r, c in moved.items():
+            if np.abs(c - left[r]).max() <= 1e-12 * size or turn + 1 == rounds:
+                done[r] = (-used[r], cost[r], r)
+            centres[r] = c
+    best = centres[min(done.values())[2]]
+    x = [F.col(c).cast("double") for c in columns]
+    distance = lambda c: sum((v - F.lit(float(p))) * (v - F.lit(float(p))) for v, p in zip(x, c))
+    options = [F.struct(distance(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(best)]
+    return points.withColumn(out, (F.least(*options) if len(options) > 1 else options[0])["i"])
 
 
 def _closest(x: Column, y: Column, centres: list[tuple[float, float]]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import itertools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import titled_year, typed_null, year_text
@@ -18,99 +18,103 @@ def _node_id(kind: str, key: str) -> Column:
     return F.concat(F.lit(f"{kind}_"), F.col(key).cast("string"))
 
 
-def _nodes(df: DataFrame, order: int, kind: str, node: Column, label: Column, role: Column | None = None) -> DataFrame:
-    return df.select(
-        "center_id",
-        node.alias("node_id"),
-        F.struct(
-            F.lit(order).alias("order"),
-            F.lit(kind).alias("kind"),
-            label.alias("label"),
-            (typed_null("string") if role is None else role).alias("role"),
-        ).alias("as_first"),
-    )
+_NODE = "array<struct<node_id:string,first:struct<order:int,kind:string,label:string,role:string>>>"
+_EDGE = "array<struct<source:string,target:string,label:string>>"
 
 
-def _edges(df: DataFrame, source: Column, target: Column, label: Column | None = None) -> DataFrame:
-    return df.select(
-        "center_id", source.alias("source"), target.alias("target"), (typed_null("string") if label is None else label).alias("label")
-    )
+def _node(order: int, kind: str, node: Column, label: Column, role: Column | None = None) -> Column:
+    first = F.struct(F.lit(order).alias("order"), F.lit(kind).alias("kind"), label.alias("label"), (typed_null("string") if role is None else role).alias("role"))
+    return F.struct(node.alias("node_id"), first.alias("first"))
+
+
+def _edge(source: Column, target: Column, label: Column | None = None) -> Column:
+    return F.struct(source.alias("source"), target.alias("target"), (typed_null("string") if label is None else label).alias("label"))
 
 
 class EgoParts:
     """What every film's ego graph is drawn from, all films at once.
 
-    Genre and related-film nodes appear only around films without crew connections.
+    Genre and related-film nodes appear only around films without crew connections, which
+    are stored, as they are read for that too.
     """
 
     def __init__(self, films, connections, adaptations, film_genres, genres, related, cast, crew, people):
         self.films = films.select(F.col("film_id").alias("center_id"), "title", "release_date")
-        self.connections = connections
+        self.connections = cut_lineage(connections)
         self.adaptations = adaptations
-        without = self.films.select("center_id").join(connections.select("center_id").distinct(), "center_id", "left_anti")
-        named = film_genres.join(genres, "genre_id").withColumnRenamed("film_id", "center_id")
-        self.genres = named.join(without, "center_id", "left_semi")
-        self.related = related.join(without, "center_id", "left_semi")
+        with_crew = self.connections.select("center_id").distinct()
+        named = film_genres.withColumnRenamed("film_id", "center_id").join(genres.withColumn("_known", F.lit(True)), "genre_id", "left")
+        tags = named.withColumn("_known", F.coalesce("_known", F.lit(False))).join(with_crew, "center_id", "left_anti")
+        self.related = related.withColumnRenamed("film_id", "other_id").select("center_id", "other_id", F.col("title").alias("other_title"))
+        # One row per genre; the first known genre of a film carries its related films.
+        mine = Window.partitionBy("center_id").orderBy(F.desc("_known"), "genre_id", "genre_name")
+        lists = self.related.groupBy("center_id").agg(F.collect_list(F.struct("other_id", "other_title")).alias("others"))
+        self.genres = tags.withColumn("_first", F.row_number().over(mine) == 1).join(lists, "center_id", "left")
         self.cast = profile_cast(cast, people, 10).withColumnRenamed("film_id", "center_id")
         self.crew = profile_crew(crew, people, GRAPH_JOBS).withColumnRenamed("film_id", "center_id")
 
+    def entries(self) -> DataFrame:
+        """``center_id, nodes, edges``: what each row of each part adds to a graph; every part is read once."""
+        center, person = _node_id("film", "center_id"), _node_id("person", "person_id")
+        label = F.concat(F.col("title"), F.lit(" ("), F.coalesce(F.col("year").cast("string"), F.lit("")), F.lit(")"))
+        source, genre = _node_id("source", "source_wikidata_id"), _node_id("genre", "genre_id")
+        others, known = F.when(F.col("_first"), F.col("others")), F.col("_known")
+        other_id = lambda o: F.concat(F.lit("film_"), o["other_id"].cast("string"))
+        no_node, no_edge = F.array().cast(_NODE), F.array().cast(_EDGE)
+        parts = [
+            (self.films, F.array(_node(0, "center", center, titled_year("title", "release_date"))), no_edge),
+            (
+                self.connections,
+                F.array(_node(1, "crew_bridge", person, F.col("person_name"), F.col("role")), _node(2, "crew_film", _node_id("crew_film", "film_id"), label)),
+                F.array(_edge(center, person, F.col("role")), _edge(person, _node_id("crew_film", "film_id"))),
+            ),
+            (
+                self.adaptations,
+                F.array(_node(3, "source", source, F.col("source_label")), _node(4, "source_film", _node_id("source_film", "film_id"), label)),
+                F.array(_edge(center, source), _edge(source, _node_id("source_film", "film_id"))),
+            ),
+            (
+                self.genres,
+                F.concat(
+                    F.when(known, F.array(_node(5, "genre", genre, F.col("genre_name")))).otherwise(no_node),
+                    F.coalesce(F.transform(others, lambda o: _node(6, "related", other_id(o), o["other_title"])), no_node),
+                ),
+                F.when(known, F.concat(F.array(_edge(center, genre)), F.coalesce(F.transform(others, lambda o: _edge(genre, other_id(o))), no_edge))).otherwise(no_edge),
+            ),
+            (self.cast, F.array(_node(7, "person", person, F.col("name"), F.col("character"))), F.array(_edge(center, person))),
+            (self.crew, F.array(_node(8, "person", person, F.col("name"), F.col("job"))), F.array(_edge(center, person, F.col("job")))),
+        ]
+        made = [df.select("center_id", nodes.cast(_NODE).alias("nodes"), edges.cast(_EDGE).alias("edges")) for df, nodes, edges in parts]
+        return functools.reduce(DataFrame.unionByName, made)
+
 
 def ego_nodes(p: EgoParts) -> DataFrame:
     """Typed nodes per film; a node reached in several ways keeps the first kind."""
-    film_label = lambda: F.concat(F.col("title"), F.lit(" ("), F.coalesce(F.col("year").cast("string"), F.lit("")), F.lit(")"))
-    parts = [
-        _nodes(p.films, 0, "center", _node_id("film", "center_id"), titled_year("title", "release_date")),
-        _nodes(p.connections, 1, "crew_bridge", _node_id("person", "person_id"), F.col("person_name"), F.col("role")),
-        _nodes(p.connections, 2, "crew_film", _node_id("crew_film", "film_id"), film_label()),
-        _nodes(p.adaptations, 3, "source", _node_id("source", "source_wikidata_id"), F.col("source_label")),
-        _nodes(p.adaptations, 4, "source_film", _node_id("source_film", "film_id"), film_label()),
-        _nodes(p.genres, 5, "genre", _node_id("genre", "genre_id"), F.col("genre_name")),
-        _nodes(p.related, 6, "related", _node_id("film", "film_id"), F.col("title")),
-        _nodes(p.cast, 7, "person", _node_id("person", "person_id"), F.col("name"), F.col("character")),
-        _nodes(p.crew, 8, "person", _node_id("person", "person_id"), F.col("name"), F.col("job")),
-    ]
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
+    every = p.entries().select("center_id", F.inline("nodes"))
     return (
-        united.groupBy("center_id", "node_id")
-        .agg(F.min("as_first").alias("f"))
+        every.groupBy("center_id", "node_id")
+        .agg(F.min("first").alias("f"))
         .select("center_id", "node_id", F.col("f.kind").alias("kind"), F.col("f.label").alias("label"), F.col("f.role").alias("role"))
     )
 
 
 def ego_edges(p: EgoParts) -> DataFrame:
-    center = _node_id("film", "center_id")
-    person = _node_id("person", "person_id")
-    first_genre = p.genres.groupBy("center_id").agg(F.min("genre_id").alias("genre_id"))
-    parts = [
-        _edges(p.connections, center, person, F.col("role")),
-        _edges(p.connections, person, _node_id("crew_film", "film_id")),
-        _edges(p.adaptations, center, _node_id("source", "source_wikidata_id")),
-        _edges(p.adaptations, _node_id("source", "source_wikidata_id"), _node_id("source_film", "film_id")),
-        _edges(p.genres, center, _node_id("genre", "genre_id")),
-        _edges(p.related.join(first_genre, "center_id"), _node_id("genre", "genre_id"), _node_id("film", "film_id")),
-        _edges(p.cast, center, person),
-        _edges(p.crew, center, person, F.col("job")),
-    ]
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
-    return united.distinct()
+    return p.entries().select("center_id", F.inline("edges")).distinct()
 
 
 def ego_expand(nodes: DataFrame, filmography: DataFrame) -> DataFrame:
     """New film nodes when every person of an ego graph is expanded, with how many of its
     people lead to each. Films already added by another person are not added twice."""
+    nodes = cut_lineage(nodes)  # read for its people and to leave out what it holds already
     people = nodes.filter(F.col("node_id").startswith("person_")).select(
         "center_id", F.substring_index("node_id", "_", -1).try_cast("bigint").alias("person_id")
     )
     films = filmography.select("person_id", "film_id", "title", year_text("release_date").alias("year")).distinct()
-    lists = films.groupBy("person_id").agg(F.collect_list(F.struct("film_id", "title", "year")).alias("films"))
-    reached = skew_join(people, lists, ["person_id"]).select("center_id", "person_id", F.explode("films").alias("f"))
-    label = F.concat(F.col("f.title"), F.lit(" ("), F.coalesce(F.col("f.year"), F.lit("")), F.lit(")"))
+    # Joined row by row, so that no list of a person's films is ever held.
+    reached = skew_join(people, films, ["person_id"])
+    label = F.concat(F.col("title"), F.lit(" ("), F.coalesce(F.col("year"), F.lit("")), F.lit(")"))
     added = (
-        reached.groupBy("center_id", F.concat(F.lit("pfilm_"), F.col("f.film_id").cast("string")).alias("node_id"))
+        reached.groupBy("center_id", F.concat(F.lit("pfilm_"), F.col("film_id").cast("string")).alias("node_id"))
         .agg(F.min(label).alias("label"), F.count("*").alias("people"))
     )
     return added.join(nodes.select("center_id", "node_id"), ["center_id", "node_id"], "left_anti")
@@ -196,13 +200,14 @@ def hub_scores(credits: DataFrame, clusters: DataFrame) -> DataFrame:
     )
 
 
-def recommend(relations: DataFrame, films: DataFrame, k: int = 10) -> DataFrame:
+def recommend(relations: DataFrame, films: DataFrame, k: int = 10, max_reasons: int = 100) -> DataFrame:
     """Best rated films that share something with each film, with the reasons.
 
     ``relations`` holds (film_id, reason): a person, genre or source as text. Returns
     (film_id, recommended_id, vote_average, shared, reasons). Each shared thing offers its
     ``k + 1`` best films, which contain every film it can put among a film's best ``k``;
-    the reasons of the chosen films are then looked up in full.
+    the reasons of the chosen films are then looked up: ``shared`` counts all, ``reasons`` lists the first
+    ``max_reasons`` of them, and ``recommendation_reasons`` gives the whole list as rows.
     """
     once = cut_lineage(relations.select("film_id", "reason").distinct())
     rated = skew_join(once, films.select("film_id", "vote_average"), ["film_id"])
@@ -216,11 +221,15 @@ def recommend(relations: DataFrame, films: DataFrame, k: int = 10) -> DataFrame:
         .distinct()
     )
     chosen = cut_lineage(top_per_group(offered, ["film_id"], [F.desc("vote_average"), F.col("recommended_id")], k, "position"))
-    pairs = chosen.select("film_id", "recommended_id")
+    reasons = cut_lineage(recommendation_reasons(once, chosen))
+    pair = ["film_id", "recommended_id"]
+    first = top_per_group(reasons, pair, [F.col("reason")], max_reasons)
+    listed = first.groupBy(*pair).agg(F.sort_array(F.collect_list("reason")).alias("reasons"))
+    return chosen.join(reasons.groupBy(*pair).agg(F.count("*").alias("shared")), pair).join(listed, pair)
+
+
+def recommendation_reasons(relations: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``film_id, recommended_id, reason``: everything the films of each pair share, one row each."""
+    once = relations.select("film_id", "reason").distinct()
     theirs = once.withColumnRenamed("film_id", "recommended_id")
-    explained = (
-        skew_join(skew_join(once, pairs, ["film_id"]), theirs, ["recommended_id", "reason"], "left_semi")
-        .groupBy("film_id", "recommended_id")
-        .agg(F.count("*").alias("shared"), F.sort_array(F.collect_list("reason")).alias("reasons"))
-    )
-    return chosen.join(explained, ["film_id", "recommended_id"])
+    return skew_join(skew_join(once, pairs.select("film_id", "recommended_id"), ["film_id"]), theirs, ["recommended_id", "reason"], "left_semi")

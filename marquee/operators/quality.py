@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import double_or_null, int_or_null, is_name_key, is_title_key, long_or_null, to_date10
@@ -25,8 +25,13 @@ class Rule:
 
 @dataclass(frozen=True)
 class Split:
+    """Both sides of a hard check, and how many rows were given and went to each side, counted while they were stored."""
+
     valid: DataFrame
     quarantine: DataFrame
+    raw: int
+    validated: int
+    quarantined: int
 
 
 def failed_reasons(rules: list[Rule]) -> Column:
@@ -40,11 +45,18 @@ def split(df: DataFrame, rules: list[Rule], run_date: str) -> Split:
     return _sides(df.withColumn("fail_reason", failed_reasons(rules)), run_date)
 
 
-def _sides(tagged: DataFrame, run_date: str) -> Split:
-    tagged = cut_lineage(tagged)
+def _sides(tagged: DataFrame, run_date: str, raw: Observation | None = None) -> Split:
+    """Stores the tagged rows; ``raw`` has observed the rows that came in, where these are others."""
+    seen = Observation()
+    bad = F.count_if(F.col("fail_reason").isNotNull())
+    tagged = cut_lineage(tagged.observe(seen, F.count(F.lit(1)).alias("rows"), bad.alias("bad")))
+    counts = seen.get
     return Split(
         valid=tagged.filter(F.col("fail_reason").isNull()).drop("fail_reason"),
         quarantine=tagged.filter(F.col("fail_reason").isNotNull()).withColumn("dq_run_date", F.lit(run_date)),
+        raw=counts["rows"] if raw is None else raw.get["rows"],
+        validated=counts["rows"] - counts["bad"],
+        quarantined=counts["bad"],
     )
 
 
@@ -64,13 +76,15 @@ def dedup_then_split(
     """
     if dedup_first:
         return split(latest_per_key(df, keys, **latest), rules, run_date)
+    # One pass tells keyed rows from others; rows without a key are all kept by numbering them.
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
+    raw = Observation()
     reason = failed_reasons(rules)
-    keyed = latest_per_key(df.filter(has_key), keys, **latest).withColumn("fail_reason", reason)
-    keyless = df.filter(~has_key).withColumn("fail_reason", reason).filter("fail_reason is not null")
-    return _sides(keyed.unionByName(keyless), run_date)
+    marked = df.observe(raw, F.count(F.lit(1)).alias("rows")).withColumn("_keyless", F.when(~has_key, F.monotonically_increasing_id()))
+    latest_rows = latest_per_key(marked, [*keys, "_keyless"], **latest).withColumn("fail_reason", reason)
+    return _sides(latest_rows.filter(F.col("_keyless").isNull() | F.col("fail_reason").isNotNull()).drop("_keyless"), run_date, raw)
 
 
 def complement(df: DataFrame, passes: Column) -> DataFrame:
@@ -84,21 +98,14 @@ def soft_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()])
 
 
-def summary(tables: dict[str, tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:
-    """Per table: raw, validated and quarantined counts and the bad share in percent."""
-    out = None
-    for name, sides in tables.items():
-        counts = None
-        for column, side in zip(("raw", "validated", "quarantined"), sides):
-            part = side.agg(F.count("*").alias("n")).select(F.lit(column).alias("side"), "n")
-            counts = part if counts is None else counts.unionByName(part)
-        row = counts.agg(
-            *[F.sum(F.when(F.col("side") == c, F.col("n"))).alias(c) for c in ("raw", "validated", "quarantined")]
-        ).withColumn("table_name", F.lit(name))
-        out = row if out is None else out.unionByName(row)
+def summary(spark: SparkSession, tables: dict[str, Split]) -> DataFrame:
+    """Per table: raw, validated and quarantined counts and the bad share in percent. Nothing is scanned:
+    the counts come from storing the split rows."""
+    rows = [(name, s.raw, s.validated, s.quarantined) for name, s in tables.items()]
+    out = spark.createDataFrame(rows, "table_name string, raw bigint, validated bigint, quarantined bigint")
     checked = F.col("validated") + F.col("quarantined")
     pct = F.when(checked > 0, F.round(F.col("quarantined") * 100.0 / checked, 4)).otherwise(F.lit(0.0))
-    return out.select("table_name", "raw", "validated", "quarantined", pct.alias("pct_bad"))
+    return out.withColumn("pct_bad", pct)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -202,6 +209,15 @@ def film_soft_checks(today: str, first_day: str = "2000-01-01") -> dict[str, Col
     }
 
 
+def people_soft_checks() -> dict[str, Column]:
+    return {"null_name": F.col("name").isNull()}
+
+
+def label_soft_checks(label: str) -> dict[str, Column]:
+    """For relation tables, after their hard checks."""
+    return {f"null_{label}": F.col(label).isNull()}
+
+
 def link_soft_checks(first_year: int = 2000, last_year: int = 2030) -> dict[str, Column]:
     year = int_or_null("year")
     return {

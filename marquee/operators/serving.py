@@ -181,11 +181,13 @@ def crew_connections(
     k: int = 5,
     min_votes: int = 200,
     row_limit: int | None = None,
+    about_people: tuple[str, ...] = (),
 ) -> DataFrame:
     """Each film's bridging crew and, per crew member, their ``k`` best other films.
 
     ``row_limit`` reproduces a cap on a film's rows in person order before the per-person
-    cut (150 on the page), which drops later people; ``None`` keeps everyone.
+    cut (150 on the page), which drops later people; ``None`` keeps everyone. ``about_people``
+    names further columns of the people, such as the path of their picture.
     """
     eligible = (
         films.filter(F.col("vote_count") >= min_votes)
@@ -199,7 +201,7 @@ def crew_connections(
     )
     if row_limit is not None:
         lists = lists.join(worked_on.groupBy("person_id").agg(F.count("*").alias("_films")), "person_id")
-    about = lists.join(people.select("person_id", "name"), "person_id")
+    about = lists.join(people.select("person_id", "name", *about_people), "person_id")
     centers = (
         crew.filter(F.col("job").isin(BRIDGE_JOBS))
         .groupBy(F.col("film_id").alias("center_id"), "person_id")
@@ -226,12 +228,14 @@ def crew_connections(
         "person_id",
         F.col("name").alias("person_name"),
         "role",
+        *about_people,
         F.explode("_others").alias("f"),
     ).select(
         "center_id",
         "person_id",
         "person_name",
         "role",
+        *about_people,
         F.col("f.film_id").alias("film_id"),
         F.col("f.title").alias("title"),
         year_text("f.release_date").alias("year"),

@@ -101,18 +101,8 @@ def _read_mixed(t: Tables, path: str, *kinds: str):
 _MIXED_SCHEMA = "event_id bigint, props struct<k:bigint>"
 
 
-@query("""SELECT event_id, cast(json_extract(props, '$.k') AS bigint) AS k FROM events WHERE event_type NOT IN ('error', 'purchase')
-    UNION ALL SELECT max(event_id), cast(json_extract(arg_max(props, event_id), '$.k') AS bigint) FROM events WHERE event_type = 'purchase' GROUP BY event_id % 40""")
-def corrupt_record_filter(t: Tables):
-    """All purchases are landed and read; only then the last one of each remainder is taken."""
-    path = _mixed_files(t)
-    bought = _read_mixed(t, path, "purchases", "objects").groupBy((F.col("event_id") % 40).alias("part"))
-    last = bought.agg(F.max_by("k", "event_id").alias("k"), F.max("event_id").alias("event_id"))
-    return _read_mixed(t, path, "lines").unionByName(last.select("event_id", "k"))
-
-
 @query("""SELECT event_id, cast(json_extract(props, '$.k') AS bigint) AS k FROM events WHERE event_type <> 'error'""")
-def corrupt_record_every_event(t: Tables):
+def corrupt_record_filter(t: Tables):
     """Every event that isn't cut off, the indented objects among them."""
     return _read_mixed(t, _mixed_files(t), "lines", "purchases", "objects")
 
@@ -152,6 +142,27 @@ def sink_append_evolve(t: Tables):
 
 
 
+@query("""SELECT o_orderstatus, count(*) AS rows_written, count(*) AS rows_read FROM orders GROUP BY ALL""")
+def sink_append_counts(t: Tables):
+    """What each append says it has written, beside what is in the table."""
+    path = scratch_path(t.spark, "counted")
+    states = sorted(r[0] for r in t.orders.select("o_orderstatus").distinct().collect())  # three
+    said = [(s, writers.append(t.orders.filter(F.col("o_orderstatus") == s), path)) for s in states]
+    read = t.spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("rows_read"))
+    return read.join(t.spark.createDataFrame(said, "o_orderstatus string, rows_written bigint"), "o_orderstatus")
+
+
+@query("""SELECT user_id, strftime(ts, '%Y-%m-%d') AS snapshot_date, max(epoch_us(ts)) AS last_us FROM events WHERE ts >= '2024-01-20' GROUP BY ALL""")
+def snapshots_landed(t: Tables):
+    """Daily states appended date by date in two runs and read back from some date on."""
+    path = scratch_path(t.spark, "snapshots")
+    daily = I.snapshot_per_day(t.events, "user_id", "ts", [F.col("event_id")]).select("user_id", "snapshot_date", micros("ts").alias("last_us"))
+    for late in (False, True):
+        writers.land_snapshots(daily.filter((F.col("snapshot_date") >= "2024-01-25") == F.lit(late)), path)
+    landed = t.spark.read.schema("user_id bigint, last_us bigint, snapshot_date string").parquet(path)
+    return landed.filter("snapshot_date >= '2024-01-20'").select("user_id", "snapshot_date", "last_us")
+
+
 @query("SELECT s_suppkey, s_name FROM supplier")
 def sink_overwrite_guarded(t: Tables):
     """A full table survives an empty delivery and is replaced, schema included, by a full one."""

@@ -189,6 +189,14 @@ def analytics_people(t: Tables):
     return out
 
 
+@query(f"WITH {FACTS}, {_ACTORS} " + " UNION ALL ".join(_TABLE.format(k) for k in ("rank_film_count", "rank_avg_rating", "rank_revenue")),
+       _VIEWS + " film_cast people")
+def analytics_actors(t: Tables):
+    board = cut_lineage(G.actor_leaderboard(unified(t), t.film_cast, t.people))
+    parts = [V.top_people(board, key).select(F.lit(key).alias("sort_key"), "person_id", "name", "film_count", F.col(key).alias("rank")) for key in ("rank_film_count", "rank_avg_rating", "rank_revenue")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ---- star schema -------------------------------------------------------------------------
 
 

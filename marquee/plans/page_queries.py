@@ -142,6 +142,14 @@ def crew_connections(t: Tables):
     return connections(t)
 
 
+@query(f"""WITH {_LINKS} SELECT DISTINCT center_id, person_id, role, '/' || person_id || '.jpg' AS profile_path FROM links""", _LINK_VIEWS)
+def crew_connection_profiles(t: Tables):
+    """The bridging people of each film with their pictures, as the page shows them."""
+    people = t.people.withColumn("profile_path", F.concat(F.lit("/"), F.col("person_id").cast("string"), F.lit(".jpg")))
+    shown = V.crew_connections(t.film_crew, people, t.movies, bridge(t), about_people=("profile_path",))
+    return shown.select("center_id", "person_id", "role", "profile_path").distinct()
+
+
 @query(f"""WITH {_LINKS}, capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY center_id ORDER BY person_id, vote_average DESC, film_id) AS n FROM links) WHERE n <= 150)
     SELECT {_LINK_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY center_id, person_id ORDER BY vote_average DESC, film_id) AS rn FROM capped) WHERE rn <= 5""",
        _LINK_VIEWS)

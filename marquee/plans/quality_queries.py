@@ -10,6 +10,8 @@ from ..operators import dedup as D
 from ..operators import flatten as X
 from ..operators import quality as Q
 from ..operators import skew
+from ..session import scratch_path
+from ..sources import writers
 from .registry import Tables, query
 
 RUN_DATE = "2024-02-01"
@@ -176,6 +178,74 @@ def dq_soft_counts(t: Tables):
     return Q.soft_counts(t.movies.withColumn("release_date", F.col("release_date").cast("string")), checks)
 
 
+@query("""
+    SELECT count(*) FILTER (WHERE release_date IS NULL OR release_date < DATE '2000-01-01' OR release_date > DATE '2020-01-01') AS bad_release,
+           count(*) FILTER (WHERE vote_average < 0 OR vote_average > 10) AS bad_vote, count(*) FILTER (WHERE runtime < 0) AS negative_runtime,
+           count(*) FILTER (WHERE title IS NULL) AS null_title FROM movies""", "movies")
+def dq_soft_counts_shipped(t: Tables):
+    """The film checks as they are shipped."""
+    return Q.soft_counts(t.movies.withColumn("release_date", F.col("release_date").cast("string")), Q.film_soft_checks(today="2020-01-01"))
+
+
+@query("SELECT count(*) FILTER (WHERE s_acctbal < 0) AS null_name FROM supplier")
+def dq_people_soft_counts(t: Tables):
+    people = t.supplier.select("s_suppkey", F.when(F.col("s_acctbal") >= 0, F.col("s_name")).alias("name"))
+    return Q.soft_counts(people, Q.people_soft_checks())
+
+
+_RELATED = """rel AS (SELECT CASE WHEN p_size > 5 THEN p_partkey END AS wikidata_id, CASE WHEN p_size < 45 THEN p_brand END AS item, CASE WHEN p_size % 3 > 0 THEN lower(p_brand) END AS label FROM part)"""
+
+
+@query(f"""WITH {_RELATED} SELECT kind, count(*) AS valid, count(*) FILTER (WHERE label IS NULL) AS null_label FROM rel, (SELECT unnest(['movement', 'festival', 'source', 'influence']) AS kind)
+    WHERE wikidata_id IS NOT NULL AND item IS NOT NULL GROUP BY kind""")
+def dq_label_soft_counts(t: Tables):
+    """Labels missing among the valid rows of each of the four relations."""
+    out = None
+    for kind in ("movement", "festival", "source", "influence"):
+        key, label = f"{kind}_wikidata_id", f"{kind}_label"
+        rows = t.part.select(
+            F.when(F.col("p_size") > 5, F.col("p_partkey")).alias("wikidata_id"), F.when(F.col("p_size") < 45, F.col("p_brand")).alias(key),
+            F.when(F.col("p_size") % 3 > 0, F.lower("p_brand")).alias(label),
+        )
+        side = Q.split_required(rows, ["wikidata_id", key], RUN_DATE)
+        found = Q.soft_counts(side.valid, Q.label_soft_checks(label)).select(
+            F.lit(kind).alias("kind"), F.lit(side.validated).cast("long").alias("valid"), F.col(f"null_{label}").alias("null_label")
+        )
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query(f"""WITH {_DIRTY} SELECT event_id, id, kind, concat_ws(',', CASE WHEN id IS NULL THEN 'null_id' END, CASE WHEN kind IS NULL THEN 'null_kind' END) AS fail_reason FROM dirty""")
+def dq_required_keys_rows(t: Tables):
+    """Every row of both sides, those that pass with an empty reason."""
+    sides = Q.split_required(dirty_events(t), ["id", "kind"], RUN_DATE)
+    columns = ["event_id", "id", "kind"]
+    return sides.valid.select(*columns, F.lit("").alias("fail_reason")).unionByName(sides.quarantine.select(*columns, "fail_reason"))
+
+
+@query(f"""WITH {_DIRTY}, bad AS (SELECT event_id, id, kind FROM dirty WHERE id IS NULL OR kind IS NULL), good AS (SELECT event_id, id, kind FROM dirty WHERE id IS NOT NULL AND kind IS NOT NULL)
+    SELECT 'validated' AS side, event_id, id, kind, 1 AS times, (SELECT count(*) FROM good) AS written FROM good
+    UNION ALL SELECT 'quarantine', event_id, id, kind, 2, (SELECT count(*) FROM bad) FROM bad""")
+def dq_write_split(t: Tables):
+    """The split written twice: the validated table is replaced, the quarantine grows; counts are those of the last write."""
+    sides = Q.split_required(dirty_events(t), ["id", "kind"], RUN_DATE)
+    valid, bad = scratch_path(t.spark, "validated"), scratch_path(t.spark, "quarantine")
+    for _ in range(2):
+        written = writers.write_split(sides.valid, sides.quarantine, valid, bad)
+    out = None
+    for side, path, n in zip(("validated", "quarantine"), (valid, bad), written):
+        rows = writers.read_evolved(t.spark, path).groupBy("event_id", "id", "kind").agg(F.count("*").cast("int").alias("times"))
+        part = rows.select(F.lit(side).alias("side"), "event_id", "id", "kind", "times", F.lit(n).cast("long").alias("written"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("""SELECT film_id, title, vote_count FROM movies WHERE imdb_id = (SELECT max(imdb_id) FROM movies)""", "movies")
+def dq_spot_check(t: Tables):
+    known = t.movies.agg(F.max("imdb_id")).first()[0]
+    return Q.spot_check(t.movies, "imdb_id", known, ["film_id", "title", "vote_count"])
+
+
 @query("""
     SELECT count(*) FILTER (WHERE NOT regexp_matches(imdb_id, '^tt[0-9]+$')) AS bad_imdb_id,
            count(*) FILTER (WHERE cast("startYear" AS int) NOT BETWEEN 2000 AND 2030) AS bad_year
@@ -194,12 +264,7 @@ def dq_link_soft_counts(t: Tables):
 def dq_summary(t: Tables):
     events = Q.split_required(dirty_events(t), ["id", "kind"], RUN_DATE)
     lines = Q.split(t.lineitem, [Q.Rule("small", F.col("l_quantity") >= 5)], RUN_DATE)
-    return Q.summary(
-        {
-            "events": (t.events, events.valid, events.quarantine),
-            "lines": (t.lineitem, lines.valid, lines.quarantine),
-        }
-    )
+    return Q.summary(t.spark, {"events": events, "lines": lines})
 
 
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")

@@ -49,4 +49,4 @@ def query(sql: str | None = None, views: str = "", name: str | None = None):
 
 
 def load_all() -> None:
-    from . import catalog_queries, graph_queries, load_queries, mart_queries, page_queries, quality_queries, stream_queries  # noqa: F401
+    from . import catalog_queries, flatten_queries, graph_queries, load_queries, mart_queries, page_queries, quality_queries, stream_queries  # noqa: F401

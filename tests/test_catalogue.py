@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -30,13 +31,12 @@ def test_skew_join_is_a_join(spark, how):
     assert key(safe) == key(many.join(few.withColumnRenamed("k", "k2"), F.col("k").eqNullSafe(F.col("k2")), how).drop("k2"))
 
 
-@pytest.mark.parametrize("hot_rows", [100_000, 20])
-def test_ranks_match_a_window(spark, monkeypatch, hot_rows):
-    monkeypatch.setattr(ranking, "HOT_ROWS", hot_rows)
+@pytest.mark.parametrize("buckets", [2, 7, 60])
+def test_ranks_match_a_window(spark, buckets):
     rng = random.Random(5)
     rows = [(i, rng.choice([None, 0.0, 0.0, 0.0, rng.random() * 100]), rng.randint(0, 9)) for i in range(400)]
     df = spark.createDataFrame(rows, "id int, v double, w int")
-    ranked = ranking.add_ranks(df, {"rv": "v", "rw": "w"}, buckets=7)
+    ranked = ranking.add_ranks(df, {"rv": "v", "rw": "w"}, buckets=buckets)
     whole = lambda c: F.rank().over(Window.orderBy(F.col(c).desc_nulls_last()))
     expect = df.withColumn("rv", whole("v").cast("long")).withColumn("rw", whole("w").cast("long"))
     assert pairs(ranked, "id", "rv", "rw") == pairs(expect, "id", "rv", "rw")
@@ -65,6 +65,57 @@ def test_nearest_is_exact_with_many_copies(spark, block):
     assert pairs(K.nearest(df, "id", "v", 4, block=block), "id", "neighbour", "position") == brute_neighbours(points, 4)
 
 
+def plane(n, seed=4):
+    """Points of very different density: a third of them copies of one, a tight cluster, a wide one, some far away."""
+    rng = np.random.default_rng(seed)
+    xy = np.concatenate([np.full((n // 3, 2), 0.25), rng.normal(0.7, 1e-6, (n // 4, 2)), rng.random((n // 3, 2)), rng.normal(0, 50, (n // 12, 2))])
+    return [(i, float(a), float(b)) for i, (a, b) in enumerate(xy)]
+
+
+@pytest.mark.parametrize("need, block", [(12, 16), (256, 2048)])
+def test_nearest_in_plane_is_exact(spark, need, block):
+    rows = plane(420)
+    df = spark.createDataFrame(rows, "id long, x double, y double").repartition(4)
+    got = pairs(K.nearest_in_plane(df, "id", "x", "y", 5, need=need, block=block), "id", "neighbour", "position")
+    assert got == brute_neighbours({i: (a, b) for i, a, b in rows}, 5)
+    assert K.nearest_in_plane(df.limit(0), "id", "x", "y", 5).count() == 0
+    assert K.nearest_in_plane(df.filter("id < 3"), "id", "x", "y", 5).count() == 6
+
+
+def test_points_look_into_nine_cells_whatever_their_number(spark):
+    looked = []
+    for n in (1200, 4800):
+        df = spark.createDataFrame([(i, [a, b]) for i, a, b in plane(n)[n // 3 :]], "vid long, vec array<double>")
+        grid = K.Grid(df)
+        placed = df.select("vid", "vec", grid.place(0).alias("fx"), grid.place(1).alias("fy"))
+        asked = K._levels(placed, grid, 64, 256).selectExpr("vid", "level", "shiftright(fx, 30 - level) cx", "shiftright(fy, 30 - level) cy")
+        assert asked.count() == df.count()
+        cells = K.grid_candidates(placed, asked).groupBy("level", "cx", "cy").count()
+        looked.append(asked.join(cells, ["level", "cx", "cy"]).selectExpr("avg(count)").first()[0])
+    assert max(looked) < 64 * 10 and looked[1] < 1.5 * looked[0]
+
+
+def test_lists_find_the_nearest_and_stay_of_one_size(spark):
+    rng = np.random.default_rng(3)
+    candidates = []
+    for n in (1000, 4000):
+        centre = rng.normal(size=(n // 25, 16))
+        vectors = centre[rng.integers(len(centre), size=n)] + rng.normal(size=(n, 16)) * 0.2
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, v array<double>").repartition(4)
+        own, look = K.inverted_lists(K._points(df.select("id", K._unit(F.col("v")).alias("vec")).withColumnRenamed("id", "_id"), 5), 64, 16, 8)
+        sizes = own.groupBy("list").count()
+        assert own.count() == n and sizes.agg(F.max("count")).first()[0] <= 64
+        assert look.groupBy("vid").count().agg(F.max("count")).first()[0] <= 8
+        candidates.append(look.join(sizes, "list").groupBy("vid").agg(F.sum("count").alias("n")).agg(F.avg("n")).first()[0])
+        unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+        asked = range(0, n, 50)
+        want = {(i, j) for i in asked for j in np.argsort(-(unit[i] @ unit.T))[:6].tolist() if j != i}
+        got = {(r.id, r.neighbour) for r in K.nearest_by_lists(df, "id", "v", 5, size=64, fan=16, probes=8).filter("id % 50 = 0").collect()}
+        assert len(want & got) >= 0.9 * len(want)
+    print("candidates of a vector:", candidates)
+    assert candidates[1] < 1.3 * candidates[0]
+
+
 def test_nearest_with_too_few_rows(spark):
     df = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [0.6, 0.8])], "id long, v array<double>")
     got = pairs(K.nearest(df, "id", "v", 8, "cosine"), "id", "neighbour", "value")

@@ -60,7 +60,7 @@ def test_soft_counts_keep_nulls_apart(spark):
 
 def test_summary_of_nothing(spark):
     none = spark.createDataFrame([], "a int")
-    assert tuple(Q.summary({"t": (none, none, none)}).first()) == ("t", 0, 0, 0, 0.0)
+    assert tuple(Q.summary(spark, {"t": Q.split(none, [], "x")}).first()) == ("t", 0, 0, 0, 0.0)
 
 
 def test_merge_scd1(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +32,19 @@ def components(links: DataFrame) -> DataFrame:
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``n`` numbers the least one it is connected with by the links ``a, b``."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new]
+        while (new != new[new]).any():
+            new = new[new]
+        if (new == label).all():
+            return label
+        label = new

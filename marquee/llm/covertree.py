@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .components import components
+from .components import components, forest
 
 #: Points of a block at most, blocks that a task holds at a time, points for which the top gets one more centre,
 #: centres of a top at most, points that share one copy of it.
@@ -170,22 +170,6 @@ def traverse(a: Tree, b: Tree, least: float) -> tuple[np.ndarray, np.ndarray, np
     return count_a, count_b, np.concatenate(left) if left else none, np.concatenate(right) if right else none
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of ``n`` numbers the least one it is connected with by the links ``a, b``."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        new = new[new]
-        while (new != new[new]).any():
-            new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _rows(made: list[list], schema: str) -> pa.RecordBatch:
     kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "boolean": pa.bool_()}
     names, types = zip(*(c.split() for c in schema.split(", ")))

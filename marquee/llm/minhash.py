@@ -3,17 +3,17 @@
 A shingle of five words weighs its count in the document times the mean inverse document frequency of its words.
 Document frequencies are counted over all documents; words in fewer than one document in a thousand weigh the
 same, so only the words above that share need a table, and of those there are at most a thousand times the words
-of an average document. Each of 30 samples picks a shingle and a level so that two documents agree with the
-probability of their weighted Jaccard similarity. Ten bands of three samples bring candidates together.
-
-Documents that share a band are compared with one document of the band to begin with: first each with the one it
-agrees with most, then, where that left them in different classes, with those of its other bands. Bands whose
-documents are still in several classes go on in rounds. In each round the document of a band with the most links
-so far, and a growing share of the others, are compared with all documents of the band in other classes; what was
-compared with all others once is done. The rounds end when every band has one class left among those not done, so
-each pair that shares a band and agrees often enough is verified or in one class already. Rows are capped per
-round, the number of rounds is not.
-Candidates are verified with the exact weighted Jaccard similarity of whole texts.
+of an average document. Each of 40 samples picks a shingle and a level so that two documents agree with the
+probability of their weighted Jaccard similarity. Ten bands of four samples bring candidates together.
+
+The documents of a band are compared in four steps, each of which leaves out pairs that are in one class by then:
+with one document of the band, for each document the one it agrees with most first; with the others of these; in
+bands of many documents with the one that has got the most links, which is the one that its copies differ least from;
+and at last all with all. In bands of few documents that gives the pairs that agree in enough samples and are in
+different classes. In bands of many, blocks of whole documents are compared, and only as many links come back as join
+their classes. Every pair is verified with the exact weighted Jaccard similarity of whole texts, so each pair that
+shares a band and agrees often enough is verified or in one class already. Links found later join the classes
+found before; these are not searched anew.
 """
 
 from __future__ import annotations
@@ -28,19 +28,19 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import id_and_text, packed, per_batch, text_key, unpacked
-from .components import components
+from .components import components, forest
 from .routing import Words, mix
 
-BANDS, ROWS = 10, 3
+BANDS, ROWS = 10, 4
 SAMPLES = BANDS * ROWS
-#: Samples that must agree before a pair is verified: at a similarity of 0.8, one pair in 50,000 has fewer.
-AGREE = 15
+#: Samples that must agree before a pair is verified: at a similarity of 0.8, one pair in 1,400 has fewer.
+AGREE = 24
 #: Share of the documents above which a word has a weight of its own.
 FREQUENT = 0.001
-#: Bands with at most so many documents in several classes have all pairs across classes compared in one round.
-FEW = 6
-#: Pairs of a round, if the documents themselves don't ask for more. Sets the number of rounds, not what is compared.
-PAIRS = 100_000
+#: Bands with more documents are first compared with their most linked one.
+MANY = 64
+#: Documents of a band in a block, blocks that a task holds at a time, and shingles multiplied at a time.
+BLOCK, HELD, COLUMNS = 512, 4, 4096
 _RANDOM = np.random.default_rng(11)
 _LEVEL = _RANDOM.gamma(2.0, 1.0, 1 << 16).astype(np.float32)
 _LOG_C = np.log(_RANDOM.gamma(2.0, 1.0, 1 << 16)).astype(np.float32)
@@ -68,13 +68,13 @@ class Idf:
         return np.where(self.words[at] == words, self.values[at], np.float32(2))
 
 
-def weighted(texts: list[np.ndarray], idf: Idf, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document number, shingle and weight, in the order of both; a text with fewer than ``size`` words has
-    one shingle, a text without words none."""
+def counted(texts: list[np.ndarray], idf: Idf, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document number, shingle, inverse document frequency and count, in the order of the first two; a text with
+    fewer than ``size`` words has one shingle, a text without words none."""
     lengths = np.array([len(t) for t in texts], np.int64)
     words = np.concatenate(texts) if texts else np.zeros(0, np.uint64)
     if not len(words):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.float32)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64)
     weight = np.concatenate([[0], np.cumsum(idf(words), dtype=np.float64)])
     firsts = np.cumsum(lengths) - lengths
     long = np.flatnonzero(lengths >= size)
@@ -98,7 +98,13 @@ def weighted(texts: list[np.ndarray], idf: Idf, size: int) -> tuple[np.ndarray,
     doc, h, mean = doc[order], mix(h[order]), mean[order]
     first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])]))
     times = np.diff(np.append(first, len(doc)))
-    return doc[first], h[first], (mean[first] * times).astype(np.float32)
+    return doc[first], h[first], mean[first], times
+
+
+def weighted(texts: list[np.ndarray], idf: Idf, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document number, shingle and weight."""
+    doc, shingle, mean, times = counted(texts, idf, size)
+    return doc, shingle, (mean * times).astype(np.float32)
 
 
 def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,21 +216,20 @@ def classes(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str
     known = cut_lineage(signed.filter("sig is not null").groupBy("key").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("pick"), F.first("sig").alias("sig")))
 
     parts = F.array(*(F.xxhash64(F.lit(b), *(F.col("sig")[b * ROWS + r] for r in range(ROWS))) for b in range(BANDS)))
-    bands = known.select(F.posexplode(parts).alias("nth", "band"), "key")
+    bands = known.select(F.explode(parts).alias("band"), "key")
     turn = F.struct(F.xxhash64("band", "key").alias("o"), "key")
     hubs = bands.groupBy("band").agg(F.count("*").alias("n"), F.min(turn)["key"].alias("hub")).filter("n > 1")
     bands = cut_lineage(bands.join(hubs, "band"))
 
     def agreeing(pairs: DataFrame) -> DataFrame:
-        """Pairs whose samples agree often enough, with how often."""
+        """Pairs whose samples agree often enough, each once, with how often."""
         side = lambda c: known.select(F.col("key").alias(c), F.col("sig").alias(f"sig_{c}"))
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         both = pairs.join(side("a"), "a").join(side("b"), "b")
-        both = both.withColumn("same", F.zip_with("sig_a", "sig_b", lambda p, q: p == q))
-        agree = F.size(F.filter("same", lambda e: e))
-        return both.withColumn("agree", agree).filter(F.col("agree") >= AGREE).drop("sig_a", "sig_b")
+        agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda p, q: p == q), lambda e: e))
+        return both.select("a", "b", agree.alias("agree")).filter(F.col("agree") >= AGREE)
 
-    pairs = bands.filter("key <> hub")
-    pairs = cut_lineage(agreeing(pairs.select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b")).distinct()).select("a", "b", "agree"))
+    pairs = cut_lineage(agreeing(bands.filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))))
     ends = bands.select("key").distinct().join(known.select("key", "pick"), "key")
     # The texts that share a band with another one, one row of each.
     texts = cut_lineage(packed(rows).withColumn("pick", F.coalesce("doc_id", F.lit(-(1 << 63)))).join(ends, ["key", "pick"]).select("key", "text"))
@@ -239,53 +244,162 @@ def classes(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str
         side = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
         return cut_lineage(per_batch(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"), verify, "a binary, b binary"))
 
-    def apart(pairs: DataFrame, of: DataFrame) -> DataFrame:
-        side = lambda c: of.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-        named = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-        return named.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+    def in_class(pairs: DataFrame, of: DataFrame, ends: tuple[str, ...] = ("a", "b")) -> DataFrame:
+        """``pairs`` with the roots of their ends."""
+        for c in ends:
+            pairs = pairs.join(of.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
+        return pairs
 
     best = pairs.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     links = verified(best)
+    # Each document under the one it was linked with, and that one under its own: most of a class is together by then.
+    one = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    two = one.join(one.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    rest = in_class(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), cut_lineage(two)).filter("root_a <> root_b")
+    links = cut_lineage(links.unionByName(verified(rest)))
     found = components(links)
-    rest = cut_lineage(apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), found).select("a", "b"))
-    if not rest.isEmpty():
-        links = links.unionByName(verified(rest))
-        found = components(links)
-
-    # Bands that still hold several classes. A pair counts in the first band it shares, so none comes twice.
-    first = F.array_position(F.array(*(F.forall(F.slice("same", b * ROWS + 1, ROWS), lambda e: e) for b in range(BANDS))), True) - 1
-    place = F.pmod(F.xxhash64("key", "band"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    cap = max(PAIRS, 2 * known.count())
-    live = bands.filter("n > 2 and key <> hub").select("band", "nth", "n", "key", place.alias("place"))
-    turn, share = 0, 0
-    while True:
-        placed = live.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        split = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("band")
-        degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("links"))
-        placed = cut_lineage(placed.join(split, "band").join(degree, "key", "left"))
-        size_now = placed.count()
-        if not size_now:
-            break
-        share += max(1, min(1 << turn, cap // size_now))
-        turn += 1
-        top = placed.groupBy("band").agg(F.max(F.struct(F.coalesce("links", F.lit(0)), "place", "key"))["key"].alias("top"))
-        placed = placed.join(top, "band").withColumn("is_hub", (F.col("key") == F.col("top")) | (F.col("n") <= FEW) | (F.col("place") * F.col("n") < share))
-        placed = cut_lineage(placed.drop("top", "links"))
-        hubs = placed.filter("is_hub").select("band", F.col("key").alias("hub"), F.col("root").alias("hub_root"))
-        across = placed.join(hubs, "band").filter((F.col("root") != F.col("hub_root")) & (~F.col("is_hub") | (F.col("key") > F.col("hub"))))
-        across = across.select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b"), "nth")
-        across = agreeing(across).filter(F.col("nth") == first).select("a", "b")
-        across = cut_lineage(across.join(pairs, ["a", "b"], "left_anti"))
-        live = placed.filter("not is_hub").select("band", "nth", "n", "key", "place")
-        if not across.isEmpty():
-            more = verified(across)
-            if not more.isEmpty():
-                links = cut_lineage(links.unionByName(more))
-                found = components(links)
+
+    def merged(found: DataFrame, more: DataFrame) -> DataFrame:
+        """The classes after links between them."""
+        joined = components(in_class(more, found).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+        moved = in_class(found.withColumnRenamed("root", "a"), joined, ("a",)).select("node", F.col("root_a").alias("root"))
+        return cut_lineage(moved.unionByName(joined))
+
+    def split(members: DataFrame) -> DataFrame:
+        """The members of bands that hold several classes."""
+        named = in_class(members.withColumnRenamed("key", "a"), found, ("a",)).select("band", "n", "hub", F.col("a").alias("key"), F.col("root_a").alias("root"))
+        several = named.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("band")
+        return cut_lineage(named.join(several, "band"))
+
+    live = split(bands)
+    degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("links"))
+    crowded = live.filter(F.col("n") > MANY)
+    linked = crowded.filter("key <> hub").join(degree, "key")
+    top = linked.groupBy("band").agg(F.max(F.struct("links", F.xxhash64("band", "key").alias("o"), "key", "root")).alias("m")).select("band", F.col("m.key").alias("b"), F.col("m.root").alias("root_b"))
+    second = agreeing(crowded.join(top, "band").filter("root <> root_b").select(F.col("key").alias("a"), "b"))
+    pairs = cut_lineage(second.unionByName(agreeing(few_pairs(live.filter(F.col("n") <= MANY), known))).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"))
+    found = merged(found, verified(pairs))
+    live = split(crowded.drop("root"))
+    if not live.isEmpty():
+        found = merged(found, cut_lineage(joined_in_blocks(live.join(texts, "key"), idf, threshold, size)))
     named = signed.join(found.withColumnRenamed("node", "key"), "key", "left")
     return named.select("key", "doc_id", F.when(F.col("sig").isNotNull(), F.coalesce("root", "key")).alias("class_key"))
 
 
+def few_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
+    """``a, b``: the documents of each band (``MANY`` at most) in different classes that agree in enough samples.
+    ``members`` has ``band, key, root``."""
+    sent = members.join(known.select("key", "sig"), "key").select("band", "key", "root", "sig")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        band = None
+
+        def pairs() -> pa.RecordBatch | None:
+            keys, roots, sigs = (np.concatenate(x) for x in zip(*held))
+            agree = (sigs[:, None, :] == sigs).sum(2)
+            i, j = np.nonzero((agree >= AGREE) & (roots[:, None] != roots))
+            i, j = i[i < j], j[i < j]
+            if len(i):
+                return pa.RecordBatch.from_arrays([pa.array(keys[i], pa.binary()), pa.array(keys[j], pa.binary())], names=["a", "b"])
+
+        for batch in batches:
+            bands = batch.column("band").to_numpy()
+            keys, roots = (np.array(batch.column(c).to_pylist(), object) for c in ("key", "root"))
+            sigs = batch.column("sig").flatten().to_numpy().reshape(-1, SAMPLES)
+            cuts = [0, *(np.flatnonzero(np.diff(bands)) + 1).tolist(), len(bands)]
+            for a, b in zip(cuts, cuts[1:]):
+                if bands[a] != band:
+                    made = pairs() if held else None
+                    if made is not None:
+                        yield made
+                    band, held = bands[a], []
+                held.append((keys[a:b], roots[a:b], sigs[a:b]))
+        made = pairs() if held else None
+        if made is not None:
+            yield made
+
+    return sent.repartition("band").sortWithinPartitions("band").mapInArrow(work, "a binary, b binary")
+
+
+class _Documents:
+    """Some documents of a band with their shingles; one that stands several times in a document is several."""
+
+    def __init__(self, roots: np.ndarray, texts: list[bytes], idf: Idf, size: int):
+        self.roots = roots
+        doc, shingle, mean, times = counted([words_of(t.decode()) for t in texts], idf, size)
+        self.total = np.bincount(doc, mean * times, minlength=len(texts))
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        self.doc, self.weight = np.repeat(doc, times), np.repeat(mean, times)
+        self.shingle = mix(np.repeat(shingle, times) + nth.astype(np.uint64) * _C)
+
+    def part(self, shingles: np.ndarray, values: np.ndarray | None) -> np.ndarray:
+        at = np.minimum(np.searchsorted(shingles, self.shingle), len(shingles) - 1)
+        hit = np.flatnonzero(shingles[at] == self.shingle)
+        out = np.zeros((len(self.roots), len(shingles)))
+        out[self.doc[hit], at[hit]] = 1 if values is None else values[hit]
+        return out
+
+    def near(self, other: _Documents, threshold: float) -> np.ndarray:
+        """Which documents of both sides have at least this weighted Jaccard similarity."""
+        both = np.intersect1d(self.shingle, other.shingle)
+        low = np.zeros((len(self.roots), len(other.roots)))
+        for start in range(0, len(both), COLUMNS):
+            some = both[start : start + COLUMNS]
+            low += self.part(some, self.weight) @ other.part(some, None).T
+        return low >= threshold * (self.total[:, None] + other.total - low)
+
+
+def joined_in_blocks(members: DataFrame, idf, threshold: float, size: int) -> DataFrame:
+    """``a, b``: links that join the classes (by their roots) of near documents of each band, as few as do.
+    ``members`` has ``band, n, key, root, text``, the texts compressed. The documents of a band are dealt over blocks;
+    a task holds some of them and compares them with each other and with a stream of those in later blocks."""
+    block = F.pmod(F.xxhash64(F.lit(1), "key"), F.ceil(F.col("n") / BLOCK)).cast("int")
+    sent = members.withColumn("block", block).withColumn("turn", F.floor(F.col("block") / HELD).cast("int"))
+    sent = sent.withColumn("at", F.explode(F.sequence(F.lit(0), "turn"))).select("band", "at", (F.col("turn") > F.col("at")).alias("later"), "block", "root", "text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = block = None
+        held: list[_Documents] = []
+        rows: list[tuple[bytes, bytes]] = []
+
+        def compared(later: bool) -> pa.RecordBatch | None:
+            """The rows of one block with those held; the block is held from then on, if it belongs to them."""
+            mine = _Documents(np.array([r for r, _ in rows], object), [t for _, t in rows], idf.value, size)
+            if not later:
+                held.append(mine)
+            ends: list[tuple[np.ndarray, np.ndarray]] = []
+            for other in held:
+                i, j = np.nonzero(mine.near(other, threshold) & (mine.roots[:, None] != other.roots))
+                ends.append((mine.roots[i], other.roots[j]))
+            a, b = (np.concatenate(x) for x in zip(*ends)) if ends else ([], [])
+            if not len(a):
+                return None
+            roots, number = np.unique(np.concatenate([a, b]), return_inverse=True)
+            least = forest(len(roots), number[: len(a)], number[len(a) :])
+            bound = np.flatnonzero(least != np.arange(len(least)))
+            return pa.RecordBatch.from_arrays([pa.array(roots[bound], pa.binary()), pa.array(roots[least[bound]], pa.binary())], names=["a", "b"])
+
+        later = False
+        for batch in batches:
+            texts = unpacked(batch.column("text"))
+            for band, at, is_later, nth, root, text in zip(*(batch.column(c).to_pylist() for c in ("band", "at", "later", "block", "root")), texts):
+                if ((band, at), nth) != (group, block):
+                    made = compared(later) if rows else None
+                    if made is not None:
+                        yield made
+                    if (band, at) != group:
+                        held.clear()
+                    group, block, later = (band, at), nth, is_later
+                    rows.clear()
+                rows.append((root, text))
+        made = compared(later) if rows else None
+        if made is not None:
+            yield made
+
+    return sent.repartition("band", "at").sortWithinPartitions("band", "at", "later", "block").mapInArrow(work, "a binary, b binary")
+
+
 def members(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id, class_size`` for every row; the class id is the least document id of its class.
     Rows without words are classes of their own. See ``classes`` for what counts as a word and a class."""

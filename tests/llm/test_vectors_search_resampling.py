@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from marquee.llm import covertree, importance, ranked, terms
+from marquee.llm import components, covertree, importance, ranked, terms
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -233,5 +233,5 @@ def test_trees_of_two_blocks_count_every_link(monkeypatch):
         first, second, left, right = covertree.traverse(a, b, 0.93)
         near = a.points @ b.points.T >= 0.93
         assert (first == near.sum(1)).all() and (second == near.sum(0)).all()
-        every, few = (covertree.forest(240, x, y + 150) for x, y in ((*np.nonzero(near),), (left, right)))
+        every, few = (components.forest(240, x, y + 150) for x, y in ((*np.nonzero(near),), (left, right)))
         assert (every == few).all()

@@ -3,16 +3,21 @@
 A model holds log probabilities of the letter n-grams of each language and the scripts each language uses.
 The script of a word narrows its candidate languages; its score for each of them is the sum over its n-grams.
 A Viterbi pass over the words, in which changing the language costs a penalty, labels every word, and runs of
-words with one label are the spans. All documents of a batch take each step together.
+words with one label are the spans. All documents of a batch take each step together. Documents in which no stretch
+of words speaks for another language than the best one by half the penalty are labelled without the pass: a path
+with changes has at least as many of them as stretches in other languages, or one less and two at least of
+these, so it can't win.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import unicodedata
 import uuid
 from bisect import bisect_right
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +27,11 @@ from pyspark.sql import functions as F
 from .common import id_and_text, per_batch, texts_of
 
 WORD = re.compile(r"[^\W\d_]+")
+#: What that class holds besides letters: numbers that are no decimal digits, such as fractions.
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L")
+_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+_IS_NUMBER = np.zeros(0x110000, bool)
+_IS_NUMBER[[ord(c) for c in _NUMBERS]] = True
 #: First code points of script ranges; letters between two starts belong to the first.
 SCRIPTS = [
     (0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"), (0x0600, "Arabic"),
@@ -32,8 +42,14 @@ SCRIPTS = [
     (0xD7B0, "other"), (0xF900, "Han"), (0xFB00, "Latin"), (0xFB07, "other"), (0xFF21, "Latin"), (0xFF5B, "other"), (0x20000, "Han"),
 ]
 _STARTS = [s for s, _ in SCRIPTS]
-#: Words a worker remembers before it starts anew.
-CACHE = 300_000
+#: Words and letters of words that a worker remembers before it starts anew.
+CACHE, LETTERS = 500_000, 8_000_000
+
+
+def words_in(text: str) -> list[str]:
+    """The runs of letters of a text."""
+    odd = not text.isascii() and _IS_NUMBER[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].any()
+    return (_LETTERS if odd else WORD).findall(text)
 
 
 def script(letter: str) -> str:
@@ -58,7 +74,9 @@ class Model:
             for g, n in own.items():
                 table.setdefault(g, {})[i] = math.log((n + 0.5) / total)
         self.floor = np.array(floors)
-        self.table = {g: np.array([row.get(i, floors[i]) for i in range(len(self.langs))]) - self.floor for g, row in table.items()}
+        keys = {_code(g): [row.get(i, floors[i]) - floors[i] for i in range(len(self.langs))] for g, row in table.items()}
+        self.grams = np.array(sorted(keys), np.int64)
+        self.gains = np.array([keys[k] for k in self.grams.tolist()]).reshape(-1, len(self.langs))
         self.scripts: dict[str, np.ndarray] = {}
         for i, lang in enumerate(self.langs):
             seen = scripts.get(lang, {})
@@ -67,20 +85,55 @@ class Model:
                     self.scripts.setdefault(name, np.zeros(len(self.langs), bool))[i] = True
         self.prior = max(self.langs, key=lambda x: (docs[x], x)) if self.langs else None
 
-    def score(self, word: str) -> np.ndarray:
-        """Log-likelihood ratios of a word; -50 below the rest for languages that don't use its script."""
-        own = self.scripts.get(script(word[0]))
-        if own is None:
-            return np.zeros(len(self.langs))
-        word = word.lower()
-        parts = grams(word)
-        value = self.floor * len(parts)
-        for g in parts:
-            row = self.table.get(g)
-            if row is not None:
-                value = value + row
-        value = value - value.max()
-        return np.where(own, value, value.min() - 50) if not own.all() else value
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Log-likelihood ratios of each word; -50 below the rest for languages that don't use its script."""
+        n = len(self.langs)
+        out = np.zeros((len(words), n), np.float32)
+        for start, end in _portions(words):
+            part = words[start:end]
+            text = np.frombuffer("".join(f"<{w}>" for w in part).lower().encode("utf-32-le"), np.uint32).astype(np.int64)
+            opens = np.flatnonzero(text == 60)
+            two = (text[:-1] << 21) | text[1:]
+            three = (two[:-1] << 21) | text[2:]
+            # No n-gram goes on after the end of a word.
+            at = [np.flatnonzero(text[:-1] != 62), np.flatnonzero((text[:-2] != 62) & (text[1:-1] != 62))]
+            owner = np.concatenate([np.searchsorted(opens, a, "right") - 1 for a in at])
+            codes = np.concatenate([two[at[0]], three[at[1]]])
+            place = np.minimum(np.searchsorted(self.grams, codes), max(0, len(self.grams) - 1))
+            known = np.flatnonzero(self.grams[place] == codes) if len(self.grams) else place[:0]
+            count = np.bincount(owner, minlength=len(part))
+            gains, to = self.gains[place[known]], owner[known]
+            value = np.stack([self.floor[i] * count + np.bincount(to, gains[:, i], minlength=len(part)) for i in range(n)], axis=1)
+            value -= value.max(1, keepdims=True)
+            own = self._users(np.array([ord(w[0]) for w in part]))
+            value = np.where(own, value, value.min(1, keepdims=True) - 50)
+            out[start:end] = np.where(own.any(1, keepdims=True), value, 0)
+        return out
+
+    def _users(self, letters: np.ndarray) -> np.ndarray:
+        """Which languages use the script of each letter."""
+        names = [name for _, name in SCRIPTS]
+        table = np.array([self.scripts.get(name, np.zeros(len(self.langs), bool)) for name in names])
+        return table[np.searchsorted(_STARTS, letters, "right") - 1]
+
+
+def _code(gram: str) -> int:
+    code = 0
+    for c in gram:
+        code = code << 21 | ord(c)
+    return code
+
+
+def _portions(words: list[str], letters: int = 1 << 19):
+    """Ranges of words that have about so many letters together."""
+    start = size = 0
+    for i, w in enumerate(words):
+        size += len(w) + 2
+        if size >= letters:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(words):
+        yield start, len(words)
 
 
 def learn(docs: DataFrame, may_learn: Column, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", docs_per_language: int = 4000, grams_per_language: int = 30_000) -> Model:
@@ -99,7 +152,7 @@ def learn(docs: DataFrame, may_learn: Column, lang_col: str = "lang", id_col: st
         for batch in batches:
             seen: dict[str, Counter] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                seen.setdefault(lang, Counter()).update(WORD.findall(text))
+                seen.setdefault(lang, Counter()).update(words_in(text))
             rows = []
             for lang, words in seen.items():
                 found: Counter = Counter()
@@ -127,11 +180,11 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
     order = np.argsort(-lengths, kind="stable")
     starts = (np.cumsum(lengths) - lengths)[order]
     sizes = lengths[order]
-    labels = np.zeros(total, np.int8)
+    labels = np.zeros(total, np.int16)
     if not total:
         return labels
     running = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
-    came = np.full(scores.shape, -1, np.int8)  # the label before, where it was another one
+    came = np.full(scores.shape, -1, np.int16)  # the label before, where it was another one
     value = scores[starts[: running[0]]].copy()
     last = value.copy()
     for t in range(1, sizes[0]):
@@ -161,53 +214,86 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
     return labels
 
 
+def steady(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray]:
+    """The best single language of each text with words, and whether no path with a change can be better."""
+    starts = np.cumsum(lengths) - lengths
+    best = np.add.reduceat(scores, starts, axis=0, dtype=np.float64).argmax(1)
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    own = scores[np.arange(len(scores)), best[doc]].astype(np.float64)
+    fine = np.ones(len(lengths), bool)
+    for k in range(scores.shape[1]):
+        ahead = np.cumsum(scores[:, k] - own)
+        ahead -= np.concatenate([[0.0], ahead])[starts][doc]
+        # Each text stands so much lower than the one before that the least value so far is always its own.
+        step = 2 * (np.abs(ahead).max() + 1)
+        ahead -= doc * step
+        least = np.minimum(np.minimum.accumulate(ahead), -doc * step)
+        fine &= np.maximum.reduceat(ahead - least, starts) < penalty / 2 - 1e-3
+    return best, fine
+
+
 class _Worker:
     """Word scores of one model in one Python worker."""
 
     def __init__(self, model: Model):
-        self.model, self.code, self.rows = model, {}, []
+        self.model = model
+        self._empty()
+
+    def _empty(self) -> None:
+        self.code: dict[str, int] = {}
+        self.table = np.zeros((1 << 12, len(self.model.langs)), np.float32)
+        self.letters = 0
 
     def codes(self, words: list[str]) -> np.ndarray:
-        got = list(map(self.code.get, words))
-        if None in got:
-            for i, w in enumerate(words):
-                if got[i] is None:
-                    code = self.code.get(w)
-                    if code is None:
-                        code = self.code[w] = len(self.rows)
-                        self.rows.append(self.model.score(w).astype(np.float32))
-                    got[i] = code
-        return np.array(got, np.int64)
+        new = list(set(words).difference(self.code))
+        if new:
+            start = len(self.code)
+            self.code.update(zip(new, range(start, start + len(new))))
+            self.letters += sum(map(len, new))
+            if len(self.code) > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros((max(len(self.table), len(new)), self.table.shape[1]), np.float32)])
+            self.table[start : start + len(new)] = self.model.scores(new)
+        return np.fromiter(map(self.code.__getitem__, words), np.int64, count=len(words))
 
     def label(self, texts: list[str], penalty: float) -> list[tuple[str, float, list]]:
         model = self.model
+        out: list[tuple[str, float, list]] = [("und", 0.0, [])] * len(texts)
         if not model.langs:
-            return [("und", 0.0, [])] * len(texts)
-        if len(self.rows) > CACHE:
-            self.code, self.rows = {}, []
-        words = [WORD.findall(t) for t in texts]
-        sizes = np.array([len(w) for w in words], np.int64)
-        codes = np.concatenate([self.codes(w) for w in words]) if len(words) else np.zeros(0, np.int64)
-        scores = np.array(self.rows, np.float32)[codes] if len(codes) else np.zeros((0, len(model.langs)), np.float32)
-        labels = viterbi(scores, sizes, penalty)
-        letters = np.fromiter((len(x) for w in words for x in w), np.int64, count=len(codes))
-        out, start, n = [], 0, len(model.langs)
-        for text, own, size in zip(texts, words, sizes.tolist()):
-            mine, end = labels[start : start + size], start + size
-            if not size:
-                out.append(("und", 0.0, []))
-            else:
-                share = np.bincount(mine, weights=letters[start:end], minlength=n) / letters[start:end].sum()
-                best = int(share.argmax())
-                cuts = np.flatnonzero(np.diff(mine)) + 1
-                if len(cuts):
-                    at = [m.start() for m in WORD.finditer(text)]
-                    bounds = [0, *(at[i] for i in cuts.tolist()), len(text)]
-                    spans = [(a, b, model.langs[int(mine[i])]) for a, b, i in zip(bounds, bounds[1:], [0, *cuts.tolist()])]
-                else:
-                    spans = [(0, len(text), model.langs[best])]
-                out.append((model.langs[best], min(1.0, float(share[best])), spans))
-            start = end
+            return out
+        if len(self.code) > CACHE or self.letters > LETTERS:
+            self._empty()
+        words = [words_in(t) for t in texts]
+        some = [i for i, w in enumerate(words) if w]
+        if not some:
+            return out
+        sizes = np.array([len(words[i]) for i in some], np.int64)
+        codes = self.codes(list(chain.from_iterable(words)))
+        scores = self.table[codes]
+        best, fine = steady(scores, sizes, penalty)
+        for i, b in zip(np.array(some)[fine].tolist(), best[fine].tolist()):
+            out[i] = (model.langs[b], 1.0, [(0, len(texts[i]), model.langs[b])])
+        mixed = np.flatnonzero(~fine)
+        if not len(mixed):
+            return out
+        labels = viterbi(scores[np.repeat(~fine, sizes)], sizes[mixed], penalty)
+        start = 0
+        for i, size in zip(np.array(some)[mixed].tolist(), sizes[mixed].tolist()):
+            mine, own, text = labels[start : start + size], words[i], texts[i]
+            letters = np.fromiter(map(len, own), np.int64, count=size)
+            share = np.bincount(mine, weights=letters, minlength=len(model.langs)) / letters.sum()
+            cuts = np.flatnonzero(np.diff(mine)) + 1
+            bounds, at, place = [0], 0, 0
+            for cut in cuts.tolist():  # where the first word of each further span begins
+                while place <= cut:
+                    at = text.index(own[place], at) + (len(own[place]) if place < cut else 0)
+                    place += 1
+                bounds.append(at)
+                at += len(own[cut])
+            bounds.append(len(text))
+            spans = [(a, b, model.langs[int(mine[k])]) for a, b, k in zip(bounds, bounds[1:], [0, *cuts.tolist()])]
+            top = int(share.argmax())
+            out[i] = (model.langs[top], min(1.0, float(share[top])), spans)
+            start += size
         return out
 
 

@@ -131,7 +131,20 @@ def validate_relations(bronze: Tables, run_date: str) -> tuple[Tables, Tables]:
     return valid, bad
 
 
-def flatten_documents(valid: Tables) -> Tables:
+#: The kind of document each flattened table comes from; the others come from film documents.
+ORIGIN = {
+    "people": "people", "person_aliases": "people", "film_cast": "credits", "film_crew": "credits",
+    "film_releases": "releases", "film_reviews": "reviews",
+}
+
+
+def flatten_documents(valid: Tables, system: str = "catalog", loaded_at: Column | None = None) -> Tables:
+    """Every table of the first source, each row stamped with where it came from and when it was loaded."""
+    tables = _flattened(valid)
+    return {n: lineage.stamp_silver(df, system, ORIGIN.get(n, "movies"), loaded_at) for n, df in tables.items()}
+
+
+def _flattened(valid: Tables) -> Tables:
     films, people, credits = valid["movies"], valid["people"], valid["credits"]
     genres, film_genres = X.genres(films)
     companies, film_companies = X.companies(films)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from ..functions.scalars import typed_null
 from ..operators import flatten as X
 from ..operators import gold as G
 from ..sources import schemas
+from . import build
 from .registry import Tables, query
 
 
@@ -217,3 +220,18 @@ def star_fact_release(t: Tables):
     countries = X.countries(film_documents(t), release_documents(t)).select(G.surrogate_key("country_iso").alias("country_key"), "country_iso")
     told = fact.join(films, "film_key").join(countries, "country_key")
     return told.groupBy("title", "country_iso", F.col("date_key").cast("int").alias("date_key"), "certification", "is_primary").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'people' AS table_name, 'people' AS source_endpoint, count(*) AS n, 'catalog' AS source_system, true AS loaded FROM supplier
+    UNION ALL SELECT 'movies', 'movies', count(*), 'catalog', true FROM part
+    UNION ALL SELECT 'film_production_countries', 'movies', count(*), 'catalog', true FROM part
+    UNION ALL SELECT 'film_reviews', 'reviews', count(*), 'catalog', true FROM conversations""")
+def silver_tables_stamped(t: Tables):
+    """Flattened tables carry where each row came from and when it was loaded."""
+    documents = {"movies": film_documents(t), "people": people_documents(t), "credits": credit_documents(t), "releases": release_documents(t), "reviews": review_documents(t)}
+    tables = build.flatten_documents(documents)
+    parts = [
+        tables[n].groupBy("source_system", "source_endpoint", F.col("loaded_at").isNotNull().alias("loaded")).agg(F.count("*").alias("n")).withColumn("table_name", F.lit(n))
+        for n in ("people", "movies", "film_production_countries", "film_reviews")
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)

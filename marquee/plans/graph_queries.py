@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from ..operators import clustering as C
 from ..operators import graph as G
 from ..operators import neighbours as K
+from ..operators import resolve as R
+from ..operators import serving as V
 from ..session import cut_lineage
-from .page_queries import _LINKS, adaptations, connections, filmography, related
+from .catalog_queries import films
+from .page_queries import _LINKS, filmography
 from .registry import Tables, query
 
 _ROLES = """roles AS (SELECT person_id, name, film_id, CASE WHEN lower(job) = 'director' THEN 'Director' ELSE 'Cinematographer' END AS role,
@@ -191,9 +194,12 @@ def top_neighbours(t: Tables):
 
 
 def _ego(t: Tables) -> G.EgoParts:
-    return G.EgoParts(
-        t.movies, connections(t), adaptations(t), t.film_genres, t.genres, related(t), t.film_cast, t.film_crew, t.people
-    )
+    """The parts over the catalogue's tables, which are derived once and stored."""
+    movies, crew, spine = cut_lineage(t.movies), cut_lineage(t.film_crew), cut_lineage(films(t))
+    genres_of = cut_lineage(t.film_genres)
+    links = V.crew_connections(crew, t.people, movies, R.key_bridge(spine))
+    adapted = V.co_adaptations(t.based_on, spine)
+    return G.EgoParts(movies, links, adapted, genres_of, t.genres, V.related_by_genre(movies, genres_of), t.film_cast, crew, t.people)
 
 
 _AROUND = f"""{_LINKS}, conns AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY center_id, person_id ORDER BY vote_average DESC, film_id) AS rn FROM links) WHERE rn <= 5),

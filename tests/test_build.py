@@ -140,6 +140,9 @@ def test_end_to_end(spark, tmp_path):
     assert {r.film_id: r.title for r in merged["movies"].collect()} == {1: "Film one", 2: None, 3: "Film 3", 4: "Film 4"}
     B.save({"movies": merged["movies"]}, str(tmp_path / "run2"))
     assert B.load(spark, str(tmp_path / "run2"), ["movies"])["movies"].count() == 4
+    stamps = {n: {(r.source_system, r.source_endpoint) for r in df.select("source_system", "source_endpoint").distinct().collect()} for n, df in silver.items()}
+    assert stamps["film_crew"] == {("catalog", "credits")} and stamps["genres"] == {("catalog", "movies")}
+    assert all("loaded_at" in df.columns and df.filter("loaded_at is null").isEmpty() for df in silver.values())
 
 
 def test_relations_are_replaced_unless_empty(spark):

@@ -76,7 +76,7 @@ class Model:
         self.floor = np.array(floors)
         keys = {_code(g): [row.get(i, floors[i]) - floors[i] for i in range(len(self.langs))] for g, row in table.items()}
         self.grams = np.array(sorted(keys), np.int64)
-        self.gains = np.array([keys[k] for k in self.grams.tolist()]).reshape(-1, len(self.langs))
+        self.gains = np.array([keys[k] for k in self.grams.tolist()]).reshape(len(keys), len(self.langs))
         self.scripts: dict[str, np.ndarray] = {}
         for i, lang in enumerate(self.langs):
             seen = scripts.get(lang, {})

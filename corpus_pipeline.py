@@ -1,5 +1,11 @@
 """The corpus pipeline: toxic documents out, one document of each group of near-duplicates, contaminated
-documents out, personal data masked, texts encoded."""
+documents out, personal data masked, texts encoded.
+
+All stages take null and repeated ids, null, empty and very long texts, further columns of any name that doesn't begin
+with ``_chain_``, ``_near_`` or ``_pii_`` and isn't ``_clean``, and empty tables, for which they give an empty result;
+without labelled documents nothing counts as toxic. Null and empty texts are near nothing and not contaminated: if the
+first stage keeps them, they stay to the end and have no tokens.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +22,7 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose probability of being toxic is below one half. The chain learns from the
-    labelled documents of the table it is given."""
+    labelled documents of the table it is given. Repeated rows share their fate; a probability of exactly one half goes."""
     prepare(spark)
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, chain, prefix="_chain_")
@@ -24,20 +30,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near-duplicates."""
+    """Keeps one document of each class of near-duplicates, the one with the least id (null first). Texts without
+    words are in no class."""
     prepare(spark)
     return minhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that hold no benchmark item."""
+    """Keeps the documents that hold no benchmark item. An empty benchmark keeps all."""
     prepare(spark)
     flagged = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"), keep="_clean")
     return flagged.filter("_clean").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by its kind; keeps every document."""
+    """Replaces personal data by its kind; keeps every document. Null texts stay null."""
     prepare(spark)
     return pii.mask(docs)
 

@@ -196,7 +196,7 @@ def top_neighbours(t: Tables):
 def _ego(t: Tables) -> G.EgoParts:
     """The parts over the catalogue's tables, which are derived once and stored."""
     movies, crew, spine = cut_lineage(t.movies), cut_lineage(t.film_crew), cut_lineage(films(t))
-    genres_of = cut_lineage(t.film_genres)
+    genres_of = t.film_genres
     links = V.crew_connections(crew, t.people, movies, R.key_bridge(spine))
     adapted = V.co_adaptations(t.based_on, spine)
     return G.EgoParts(movies, links, adapted, genres_of, t.genres, V.related_by_genre(movies, genres_of), t.film_cast, crew, t.people)

@@ -107,6 +107,12 @@ def corrupt_record_filter(t: Tables):
     return _read_mixed(t, _mixed_files(t), "lines", "purchases", "objects")
 
 
+@query("""SELECT event_id, cast(json_extract(props, '$.k') AS bigint) AS k FROM events WHERE event_type <> 'error'""")
+def corrupt_record_every_event(t: Tables):
+    """The same question under its later name."""
+    return corrupt_record_filter(t)
+
+
 @query("""SELECT left(doc, length(doc) - 4) AS rejected, count(*) AS n FROM (
     SELECT '{"event_id": ' || event_id || ', "props": ' || props || '}' AS doc FROM events WHERE event_type = 'error') GROUP BY ALL""")
 def corrupt_record_quarantine(t: Tables):

@@ -177,7 +177,7 @@ def document_frequencies(rows: DataFrame) -> Idf:
                 new = fresh | np.concatenate([[True], doc[1:] != doc[:-1]]) if len(words) else fresh
                 starts = np.flatnonzero(fresh)
                 held.append((words[starts], np.add.reduceat(new.astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)))
-            if len(held) > 32:
+            if len(held) > 8:  # words that slices share are held once
                 held[:] = [summed()]
         if docs:
             words, counts = summed()

@@ -21,8 +21,8 @@ from .common import LETTER, NOT_PLAIN, NUMBER, SPACE, id_and_text, per_batch, te
 
 #: How the vocabulary's own pre-tokenizer splits plain text: letters, single digits, the rest.
 SPLIT = re.compile(f"[{LETTER}]+|'(?:[stmd]|re|ve|ll)|[{NUMBER}]|[^{SPACE}{LETTER}{NUMBER}]+").findall
-#: Worker cache, in pre-tokens, beside the table.
-CACHE = 400_000
+#: Worker cache, in pre-tokens and in their characters, beside the table.
+CACHE, CHARACTERS = 400_000, 8_000_000
 
 
 class Lengths(dict):
@@ -30,14 +30,17 @@ class Lengths(dict):
 
     def __init__(self, tokenizer, table: dict[str, int]):
         super().__init__(table)
-        self.tokenizer, self.table = tokenizer, table
+        self.tokenizer, self.table, self.held = tokenizer, table, 0
 
     def __missing__(self, piece: str) -> int:
         n = len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if len(self) >= len(self.table) + CACHE:
+        if len(self) >= len(self.table) + CACHE or self.held + len(piece) > CHARACTERS:
             self.clear()
             self.update(self.table)
-        self[piece] = n
+            self.held = 0
+        if len(piece) <= CHARACTERS:
+            self[piece] = n
+            self.held += len(piece)
         return n
 
 
@@ -54,19 +57,38 @@ def tokenizer(path: str):
 _LENGTHS: dict[str, Lengths] = {}
 
 
-def _pieces(text: str) -> list[str] | None:
-    """Pre-tokens of a text, or None if the tokenizer itself has to read it whole."""
-    return None if "<|" in text or NOT_PLAIN(text) else SPLIT(text.lower())
+@functools.lru_cache(maxsize=2)
+def _special(path: str) -> re.Pattern:
+    """The special strings that stand for themselves inside a text."""
+    strings = sorted((t.content for t in tokenizer(path).get_added_tokens_decoder().values()), key=len, reverse=True)
+    return re.compile("(" + "|".join(map(re.escape, strings)) + ")" if strings else "((?!))")
 
 
-def frequent(docs: DataFrame, table_size: int = 16_384) -> list[str]:
+def pieces_of(text: str, path: str) -> list[str]:
+    """Pre-tokens of a text: by the plain pattern where it holds, else by the tokenizer's own steps."""
+    if "<|" not in text and not NOT_PLAIN(text):
+        return SPLIT(text.lower())
+    out: list[str] = []
+    coder = tokenizer(path)
+    for nth, part in enumerate(_special(path).split(text)):
+        if nth % 2:
+            out.append(part)
+        elif NOT_PLAIN(part):
+            fitted = coder.normalizer.normalize_str(part)
+            out += [fitted[a:b] for _, (a, b) in coder.pre_tokenizer.pre_tokenize_str(fitted)]
+        else:
+            out += SPLIT(part.lower())
+    return out
+
+
+def frequent(docs: DataFrame, path: str, table_size: int = 16_384) -> list[str]:
     """The most frequent pre-tokens of all texts; partitions' lists are merged in a tree on the executors."""
 
     def lists(batches):
         seen: Counter = Counter()
         for batch in batches:
             for text in texts_of(batch):
-                seen.update(_pieces(text) or ())
+                seen.update(pieces_of(text, path))
             if len(seen) > 8 * table_size:
                 seen = Counter(dict(seen.most_common(4 * table_size)))
         top = seen.most_common(table_size)
@@ -84,12 +106,12 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row, as the tokenizer file at ``path`` gives them.
 
     Null and empty texts have no tokens, repeated rows repeat, an empty table gives an empty result, further
-    columns of the input are not read. Texts with special strings, or with characters outside the plain
-    ranges, are given to the tokenizer whole.
+    columns of the input are not read. Texts of any script and length go through both tiers; special strings
+    inside a text are pre-tokens of their own.
     """
     rows = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     coder = tokenizer(path)
-    words = frequent(rows, table_size)
+    words = frequent(rows, path, table_size)
     table = {w: len(e.ids) for w, e in zip(words, coder.encode_batch(words, add_special_tokens=False))}
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
@@ -98,13 +120,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
             _LENGTHS[path] = Lengths(tokenizer(path), sent.value)
         length = _LENGTHS[path].__getitem__
         texts = texts_of(batch)
-        counts = []
-        for text in texts:
-            pieces = _pieces(text)
-            if pieces is None:
-                counts.append(len(tokenizer(path).encode(text, add_special_tokens=False).ids))
-            else:
-                counts.append(sum(map(length, pieces)))
+        counts = [sum(map(length, pieces_of(text, path))) for text in texts]
         sizes = [len(t.encode()) for t in texts]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts])],

@@ -28,7 +28,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_CANDIDATE = re.compile(r"[+(]?[0-9](?:[ ().:/-]{0,2}[0-9]){4,24}")
+_CANDIDATE = re.compile(r"[+(]?[0-9](?:[ ().:/-]{0,2}[0-9]){4,}")
 _WORD = re.compile(r"\w+")
 _FOUND = "array<struct<kind:int,start:int,end:int,value:string,cues:array<string>>>"
 
@@ -66,7 +66,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def shape(value: str) -> str:
-    short = re.sub(r"[0-9]+", lambda m: f"9{len(m.group())}", value[:40])
+    short = re.sub(r"[0-9]+", lambda m: f"9{len(m.group())}", value)
     return re.sub(r"[^\W\d_]+", "a", short)
 
 
@@ -100,9 +100,9 @@ def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int | N
     at = text.find("@")
     while at >= 0:
         s, e = at, at + 1
-        while s > 0 and at - s < 64 and not text[s - 1].isspace():
+        while s > 0 and not text[s - 1].isspace():
             s -= 1
-        while e < len(text) and e - at < 64 and not text[e].isspace():
+        while e < len(text) and not text[e].isspace():
             e += 1
         if s < at < e - 1:
             other.append((s, e))
@@ -132,13 +132,14 @@ def scan(rows: DataFrame) -> DataFrame:
     return per_batch(rows, work, f"key binary, doc_id bigint, base array<struct<kind:int,start:int,end:int>>, found {_FOUND}")
 
 
-def bootstrap(scanned: DataFrame, rounds: int = 3, least_values: int = 4, confidence: float = 0.8, certainty: float = 0.95) -> DataFrame:
+def bootstrap(scanned: DataFrame, least_values: int = 4, confidence: float = 0.8, certainty: float = 0.95) -> DataFrame:
     """``key, added``: the spans the patterns add to each text, in ``found`` of ``scan``.
 
     A pattern counts with at least ``least_values`` known values of a kind and a confidence of at least
     ``confidence`` (known / (all + 1)); a value becomes known when the patterns around it leave less than
     1 - ``certainty`` of doubt. Of the two patterns of the same words the surer one counts, as they don't stand
-    for themselves. Copies of a text count once.
+    for themselves. Copies of a text count once. Rounds go on until none makes a new value known, which comes
+    to an end since known values stay known.
     """
     texts = scanned.filter(F.size("found") > 0).groupBy("key").agg(F.first("found").alias("found"))
     spans = cut_lineage(texts.select("key", F.inline("found")))
@@ -149,7 +150,7 @@ def bootstrap(scanned: DataFrame, rounds: int = 3, least_values: int = 4, confid
     useful = graph.join(open_values, "value").select("cue").distinct()
     graph = cut_lineage(graph.join(useful, "cue"))
     known = cut_lineage(known)
-    for _ in range(rounds):
+    while True:
         sides = graph.join(known, "value", "left")
         counts = sides.groupBy("cue").agg(F.count("*").alias("n"), *(F.count_if(F.col("kind") == k).alias(f"n{k}") for k in range(len(KINDS))))
         best = F.array_max(F.array(*(F.struct(F.col(f"n{k}").alias("hits"), F.lit(-k).alias("k")) for k in range(len(KINDS)))))

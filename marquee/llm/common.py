@@ -8,9 +8,12 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str) -> DataFrame:
     """``work`` on each Arrow batch; partitions stay as they are and nothing is shuffled."""
@@ -71,3 +74,33 @@ def packed(rows: DataFrame) -> DataFrame:
 def unpacked(column: pa.Array) -> list[bytes]:
     press = zstandard.ZstdDecompressor().decompress
     return [press(t) for t in column.to_pylist()]
+
+
+def dealt_by_size(rows: DataFrame, size: Callable[[list[str]], list[int]], limit: int) -> tuple[DataFrame, int]:
+    """``rows`` (with ``text``) and the number of the part each belongs to, in ``part``, and the number of parts. The sizes of
+    a part's texts come to ``limit`` at most, but for its last text. Rows are numbered by running sums: within each
+    partition in its task, and over partitions by one total of each."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for batch in batches:
+            before = []
+            for n in size(texts_of(batch)):
+                before.append(total)
+                total += n
+            place = [TaskContext.get().partitionId()] * batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place, pa.int32()), pa.array(before, pa.int64()), pa.array([total] * batch.num_rows, pa.int64())], names=[*batch.schema.names, "_place", "_before", "_total"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    sized = cut_lineage(rows.mapInArrow(work, f"{kinds}, _place int, _before bigint, _total bigint"))
+    totals = sorted(map(tuple, sized.groupBy("_place").agg(F.max("_total")).collect()))
+    starts, at = [], 0
+    for place, total in totals:
+        starts.append((place, at))
+        at += total
+    if not starts:
+        return rows.withColumn("part", F.lit(0).cast("long")), 0
+    start = rows.sparkSession.createDataFrame(starts, "_place int, _start bigint")
+    part = F.floor((F.col("_start") + F.col("_before")) / F.lit(limit)).cast("long")
+    dealt = sized.join(F.broadcast(start), "_place").select(*rows.columns, part.alias("part"))
+    return dealt, max(1, -(-at // limit))

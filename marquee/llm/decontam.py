@@ -8,7 +8,6 @@ coverage; order doesn't matter, so reordered passages count like verbatim ones.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import defaultdict
 
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and_text, per_batch, texts_of
+from .common import dealt_by_size, id_and_text, per_batch, texts_of
 
 WORD = re.compile(r"\w+")
 #: Words of benchmark text that one broadcast may hold; a larger benchmark is taken in parts.
@@ -174,16 +173,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage
     Words are runs of letters, digits and underscores, in lower case. An item with fewer than ``least`` words
     has one seed, the whole of it; items and documents without words match nothing. Null texts have no words;
     rows of either side with null ids count like others, repeated rows repeat. The benchmark is sent to all
-    tasks in parts of at most ``MAX_WORDS`` words, so its size decides only the number of passes.
+    tasks in parts of ``MAX_WORDS`` words and one item at most, so its size decides only the number of passes.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text")).filter("text is not null").distinct()
-    n_words = items.agg(F.sum(F.size(F.split("text", r"\W+")))).first()[0] or 0
-    parts = max(1, math.ceil(2 * n_words / MAX_WORDS)) if n_words > MAX_WORDS else 1
+    items, parts = dealt_by_size(items, lambda texts: [len(words_of(t)) for t in texts], MAX_WORDS)
     out = docs if keep else None
-    for part in range(parts):
-        mine = items if parts == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part)
-        rows = sorted(((r["item"], r["text"]) for r in mine.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    for part in range(max(1, parts)):
+        rows = sorted(((r["item"], r["text"]) for r in items.filter(F.col("part") == part).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         sent = spark.sparkContext.broadcast(Seeds(rows, least))
         if keep:
             out = _flagged(out, sent, coverage, text_col, keep, fresh=part == 0)

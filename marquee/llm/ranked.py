@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from . import terms
+from .common import dealt_by_size
 from .routing import span_hashes
 
-#: Terms of the items searched for in one pass over the documents (but whole items), which bounds the broadcast.
+#: Distinct terms of the items searched for in one pass over the documents, and one item more at most: bounds the broadcast.
 MAX_TERMS = 1_000_000
 #: Postings and documents of a block, from which on it is complete.
 POSTINGS, DOCUMENTS = 1 << 21, 1 << 16
@@ -43,39 +44,14 @@ def hashes_of(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarra
         yield np.array(numbers)[part], span_hashes(data, starts, ends) if len(data) else np.zeros(0, np.uint64)
 
 
-def item_bundles(items: DataFrame, limit: int = MAX_TERMS) -> DataFrame:
-    """Items with their distinct terms, several in a row, about ``limit`` terms at most."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[int | None] = []
-        found: list[np.ndarray] = []
-
-        def bundle() -> pa.RecordBatch:
-            sizes = np.array([len(f) for f in found], np.int64)
-            row = [pa.array([ids], pa.list_(pa.int64())), pa.array([sizes.tobytes()]), pa.array([np.concatenate(found).tobytes()])]
-            return pa.RecordBatch.from_arrays(row, names=["ids", "sizes", "terms"])
-
-        held = 0
-        for batch in batches:
-            texts: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] for _ in range(batch.num_rows)]
-            for doc, h in hashes_of(batch.column("text").to_pylist()):
-                cuts = np.flatnonzero(np.diff(doc)) + 1
-                for i, part in zip(doc[np.concatenate([[0], cuts])].tolist() if len(doc) else [], np.split(h, cuts)):
-                    texts[i].append(np.unique(part))
-            for item, parts in zip(batch.column("item_id").to_pylist(), texts):
-                one = np.unique(np.concatenate(parts))
-                if not len(one):
-                    continue
-                if held and held + len(one) > limit:
-                    yield bundle()
-                    ids, found, held = [], [], 0
-                ids.append(item)
-                found.append(one)
-                held += len(one)
-        if ids:
-            yield bundle()
-
-    return items.mapInArrow(work, "ids array<bigint>, sizes binary, terms binary")
+def terms_of_items(texts: list[bytes | None]) -> list[np.ndarray]:
+    """The distinct terms of each text."""
+    found: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] for _ in texts]
+    for doc, h in hashes_of(texts):
+        cuts = np.flatnonzero(np.diff(doc)) + 1
+        for i, part in zip(doc[np.concatenate([[0], cuts])].tolist() if len(doc) else [], np.split(h, cuts)):
+            found[i].append(np.unique(part))
+    return [np.unique(np.concatenate(x)) for x in found]
 
 
 def index(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -232,12 +208,17 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    asked = cut_lineage(item_bundles(items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("binary").alias("text"))))
+    asked = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
+    asked, parts = dealt_by_size(asked, lambda texts: [len(x) for x in terms_of_items([t.encode() for t in texts])], MAX_TERMS)
     result = None
-    for nth, bundle in enumerate(asked.toLocalIterator()):  # each of a bounded size
-        found = _pass(rows, bundle, nth, k)
-        found = found if result is None else cut_lineage(found)
-        result = found if result is None else result.unionByName(found)
+    for part in range(parts):
+        mine = [(r["item_id"], r["text"].encode()) for r in asked.filter((F.col("part") == part) & F.col("text").isNotNull()).collect()]
+        terms_of = terms_of_items([text for _, text in mine])
+        mine = [(item, wanted) for (item, _), wanted in zip(mine, terms_of) if len(wanted)]
+        if not mine:
+            continue
+        found = _pass(rows, [item for item, _ in mine], [wanted for _, wanted in mine], part, k)
+        result = found if result is None else result.unionByName(cut_lineage(found))
     if result is None:
         return spark.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
     order = Window.partitionBy("slot").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
@@ -245,11 +226,10 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id
     return ranked.select("item_id", "rank", "doc_id", "score")
 
 
-def _pass(rows: DataFrame, bundle, nth: int, k: int) -> DataFrame:
-    """Each task's best documents for the items of one bundle; ``slot`` numbers the items."""
-    hashes, sizes = np.frombuffer(bundle["terms"], np.uint64), np.frombuffer(bundle["sizes"], np.int64)
-    wanted = np.unique(hashes)
-    numbers = np.searchsorted(wanted, hashes)
+def _pass(rows: DataFrame, ids: list[int | None], asked: list[np.ndarray], nth: int, k: int) -> DataFrame:
+    """Each task's best documents for some items and their terms; ``slot`` numbers the items."""
+    wanted = np.unique(np.concatenate(asked))
+    numbers = [np.searchsorted(wanted, one) for one in asked]
     blocks = cut_lineage(index(rows, wanted))
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,8 +251,7 @@ def _pass(rows: DataFrame, bundle, nth: int, k: int) -> DataFrame:
     weights = np.zeros(len(wanted), np.int64)
     for term, df in count.items():
         weights[term] = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
-    cuts = np.cumsum(sizes)[:-1]
-    shared = rows.sparkSession.sparkContext.broadcast((bundle["ids"], np.split(numbers, cuts), np.split(weights[numbers], cuts)))
+    shared = rows.sparkSession.sparkContext.broadcast((ids, numbers, [weights[one] for one in numbers]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, lists, scales = shared.value

@@ -30,7 +30,7 @@ FOLDS = 5
 #: Shares of a document's words from which a term counts as frequent; each adds a "+" to its name.
 FREQUENT = (0.01, 0.03)
 #: Words a worker remembers the features of.
-CACHE = 300_000
+CACHE = 100_000
 
 
 def terms(word: str) -> list[str]:

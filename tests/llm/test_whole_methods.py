@@ -144,8 +144,8 @@ def test_crowded_bands_lose_no_link(spark, monkeypatch):
 
 
 def test_recall_on_the_given_table(spark):
-    """Documents whose id is divisible by 50, each against all rows."""
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    """All pairs that share a shingle which at most 60 documents have, with the exact similarity."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     rows = docs.collect()
     idf = minhash.document_frequencies(docs.select("text"))
     units = [minhash.words_of(r.text) for r in rows]
@@ -153,12 +153,8 @@ def test_recall_on_the_given_table(spark):
     doc, shingle, _ = minhash.weighted(units, idf, 5)
     for d, s in zip(doc.tolist(), shingle.tolist()):
         place.setdefault(s, []).append(d)
-    own: dict[int, list[int]] = {}
-    for d, s in zip(doc.tolist(), shingle.tolist()):
-        if rows[d].doc_id % 50 == 0 and len(place[s]) < 2000:
-            own.setdefault(d, []).extend(place[s])
-    pairs = [(a, b) for a, others in own.items() for b in set(others) if b != a]
-    score = minhash.similarities([units[a] for a, _ in pairs], [units[b] for _, b in pairs], idf, 5)
+    pairs = sorted({(a, b) for docs_of in place.values() if 1 < len(docs_of) <= 60 for a in docs_of for b in docs_of if a < b})
+    score = np.concatenate([minhash.similarities([units[a] for a, _ in part], [units[b] for _, b in part], idf, 5) for part in (pairs[i : i + 500] for i in range(0, len(pairs), 500))])
     want = [p for p, s in zip(pairs, score) if s >= 0.8]
     got = {r.doc_id: r.class_id for r in minhash.members(docs).collect()}
     hits = sum(got[rows[a].doc_id] == got[rows[b].doc_id] for a, b in want)

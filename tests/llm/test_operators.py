@@ -414,6 +414,15 @@ def test_bootstrapping_finds_what_the_forms_miss(spark):
     assert pii.extract(docs.limit(0)).collect() == [] and pii.mask(docs.limit(0)).collect() == []
 
 
+def test_personal_data_is_counted_by_kind(spark):
+    texts = ["a@b.org c@d.org", "10.0.0.1 or +1 (017) 555-7713", "a@b.org 10.0.0.1 4111111111111111 +1 (017) 555-7713 +1 (017) 555-7714", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    for r in queries.personal_data(docs).collect():
+        spans = plain_spans(texts[r.doc_id] or "")
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == kind for k, *_ in spans) for kind in range(4)]
+        assert r.base_sha256 == sha(",".join(f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in spans).encode())
+
+
 def test_bootstrapping_finds_other_notations_by_their_context(spark):
     rnd = random.Random(6)
     texts = [f"please call +49 30 {rnd.randrange(10**6, 10**7)} today" for _ in range(200)]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import titled_year, typed_null, year_text
 from ..session import cut_lineage
 from .serving import GRAPH_JOBS, leading_films, profile_cast, profile_crew
-from .skew import hot_keys, skew_join, top_per_group
+from .skew import dealt_to_unfold, hot_keys, skew_join, top_per_group
 
 
 def _node_id(kind: str, key: str) -> Column:
@@ -213,23 +213,37 @@ def recommend(relations: DataFrame, films: DataFrame, k: int = 10, max_reasons:
     rated = skew_join(once, films.select("film_id", "vote_average"), ["film_id"])
     best = [F.desc("vote_average"), F.col("film_id")]
     lists = leading_films(rated, ["reason"], best, k + 1, ["film_id", "vote_average"])
+    lists = lists.select("reason", F.col("leading.film_id").alias("ids"), F.col("leading.vote_average").alias("votes"))
+    # What is offered to a film meets as lists, and is one row each only where it has met.
+    met = skew_join(once.filter("film_id is not null"), lists, ["reason"]).select("film_id", "ids", "votes")
     offered = (
-        skew_join(once, lists, ["reason"])
-        .select("film_id", F.explode("leading").alias("f"))
-        .select("film_id", F.col("f.film_id").alias("recommended_id"), F.col("f.vote_average").alias("vote_average"))
+        dealt_to_unfold(met, "film_id", once.count() * (k + 1))
+        .select("film_id", F.explode(F.arrays_zip("ids", "votes")).alias("f"))
+        .select("film_id", F.col("f.ids").alias("recommended_id"), F.col("f.votes").alias("vote_average"))
         .filter("recommended_id != film_id")
-        .distinct()
     )
-    chosen = cut_lineage(top_per_group(offered, ["film_id"], [F.desc("vote_average"), F.col("recommended_id")], k, "position"))
-    reasons = cut_lineage(recommendation_reasons(once, chosen))
+    # The same offer of several things is one place; it is dropped when the cut has left few rows.
+    place = F.dense_rank().over(Window.partitionBy("film_id").orderBy(F.desc("vote_average"), "recommended_id"))
+    chosen = cut_lineage(offered.withColumn("position", place).filter(F.col("position") <= k).distinct())
     pair = ["film_id", "recommended_id"]
-    first = top_per_group(reasons, pair, [F.col("reason")], max_reasons)
-    listed = first.groupBy(*pair).agg(F.sort_array(F.collect_list("reason")).alias("reasons"))
-    return chosen.join(reasons.groupBy(*pair).agg(F.count("*").alias("shared")), pair).join(listed, pair)
+    numbered = recommendation_reasons(once, chosen).withColumn("_nth", F.row_number().over(Window.partitionBy(*pair).orderBy("reason")))
+    listed = numbered.groupBy(*pair).agg(
+        F.sort_array(F.collect_list(F.when(F.col("_nth") <= max_reasons, F.col("reason")))).alias("reasons"), F.count("*").alias("shared")
+    )
+    return chosen.join(listed, pair).select(*chosen.columns, "shared", "reasons")
+
+
+def _marks(reason: str) -> Column:
+    """One of 64 bits for a reason."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(reason), F.lit(64)).cast("int"))
 
 
 def recommendation_reasons(relations: DataFrame, pairs: DataFrame) -> DataFrame:
     """``film_id, recommended_id, reason``: everything the films of each pair share, one row each."""
     once = relations.select("film_id", "reason").distinct()
     theirs = once.withColumnRenamed("film_id", "recommended_id")
-    return skew_join(skew_join(once, pairs.select("film_id", "recommended_id"), ["film_id"]), theirs, ["recommended_id", "reason"], "left_semi")
+    # The bits of all reasons of the recommended film leave out most of what the pair can't share before rows meet.
+    bits = theirs.groupBy("recommended_id").agg(F.bit_or(_marks("reason")).alias("_bits"))
+    marked = skew_join(pairs.select("film_id", "recommended_id"), bits, ["recommended_id"])
+    likely = skew_join(once, marked, ["film_id"]).filter(F.col("_bits").bitwiseAND(_marks("reason")) != 0).drop("_bits")
+    return skew_join(likely, theirs, ["recommended_id", "reason"], "left_semi")

@@ -209,6 +209,16 @@ def test_recommend_matches_all_pairs(spark):
     assert pairs(got, "film_id", "recommended_id", "shared", "reasons") == sorted(expect)
 
 
+def test_reasons_of_pairs_are_looked_up_by_bits_first(spark):
+    """Films of one and of very many reasons, whose bits are all set."""
+    rng = random.Random(8)
+    rel = sorted({(f, f"r{rng.randint(0, 400)}") for f in range(12) for _ in range(1 if f < 6 else 300)})
+    asked = [(f, g) for f in range(12) for g in range(12) if f != g]
+    got = G.recommendation_reasons(spark.createDataFrame(rel, "film_id long, reason string"), spark.createDataFrame(asked, "film_id long, recommended_id long"))
+    assert pairs(got, "film_id", "recommended_id", "reason") == sorted((f, g, r) for f, g in asked for h, r in rel if h == f and (g, r) in set(rel))
+    assert "bit_or" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def ego(spark):
     films = spark.createDataFrame([(1, "tt1", "One", "2001-01-01", 8.0, 900), (2, "tt2", "Two", "2002-01-01", 7.0, 800), (3, "tt3", "Lone", None, 6.0, 700)],
                                   "film_id long, imdb_id string, title string, release_date string, vote_average double, vote_count int")

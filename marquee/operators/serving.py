@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import contains_ci, typed_null, year_text
-from .skew import skew_join, top_per_group
+from ..session import cut_lineage
+from .skew import dealt_to_unfold, skew_join, top_per_group
 
 # The job names the pages show.
 CREW_JOBS = ["Director", "Screenplay", "Writer", "Director of Photography", "Original Music Composer", "Producer"]
@@ -159,12 +160,14 @@ def leading_films(df: DataFrame, keys: list[str], order: list, k: int, fields: l
 def related_by_genre(films: DataFrame, film_genres: DataFrame, k: int = 15, min_votes: int = 500) -> DataFrame:
     """Most voted films that share a genre with each film."""
     voted = films.filter(F.col("vote_count") >= min_votes).select("film_id", "title", "vote_count")
-    tagged = film_genres.select("film_id", "genre_id").distinct()
+    tagged = cut_lineage(film_genres.select("film_id", "genre_id").distinct())
     lists = leading_films(
         tagged.join(voted, "film_id"), ["genre_id"], [F.desc("vote_count"), F.col("film_id")], k + 1, ["film_id", "title", "vote_count"]
     )
+    # The lists unfold at the film they are for, so a genre of very many films is no task's.
+    met = skew_join(tagged.select(F.col("film_id").alias("center_id"), "genre_id").filter("center_id is not null"), lists, ["genre_id"])
     reached = (
-        skew_join(tagged.withColumnRenamed("film_id", "center_id"), lists, ["genre_id"])
+        dealt_to_unfold(met.select("center_id", "leading"), "center_id", tagged.count() * (k + 1))
         .select("center_id", F.explode("leading").alias("f"))
         .select("center_id", "f.film_id", "f.title", "f.vote_count")
         .filter("film_id != center_id")
@@ -253,12 +256,13 @@ def nested_by(df: DataFrame, keys: list[str], fields: list[str], out: str, order
 def co_adaptations(based_on: DataFrame, films: DataFrame, k: int = 60) -> DataFrame:
     """Other films made from the same source material, by source then year."""
     known = films.select(F.col("tconst").alias("imdb_id"), F.col("id").alias("film_id"), "title", "year")
-    adapted = based_on.select("imdb_id", "source_wikidata_id", "source_label").distinct().join(known, "imdb_id")
+    adapted = cut_lineage(based_on.select("imdb_id", "source_wikidata_id", "source_label").distinct().join(known, "imdb_id"))
     by_year = [F.col("year").asc_nulls_last(), F.col("film_id")]
     once = adapted.select("source_wikidata_id", "film_id", "title", "year").distinct()
     lists = leading_films(once, ["source_wikidata_id"], by_year, k + 1, ["film_id", "title", "year"])
+    centers = adapted.select(F.col("film_id").alias("center_id"), "source_wikidata_id", "source_label").filter("center_id is not null")
     reached = (
-        skew_join(adapted.select(F.col("film_id").alias("center_id"), "source_wikidata_id", "source_label"), lists, ["source_wikidata_id"])
+        dealt_to_unfold(skew_join(centers, lists, ["source_wikidata_id"]), "center_id", adapted.count() * (k + 1))
         .select("center_id", "source_wikidata_id", "source_label", F.explode("leading").alias("f"))
         .select("center_id", "source_wikidata_id", "source_label", "f.film_id", "f.title", "f.year")
         .filter("film_id != center_id")

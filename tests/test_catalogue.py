@@ -219,6 +219,23 @@ def test_reasons_of_pairs_are_looked_up_by_bits_first(spark):
     assert "bit_or" in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_lists_unfold_in_parts(spark, monkeypatch):
+    """All films share one thing: its list unfolds over many tasks, none of which takes over ``UNFOLDED`` rows by much."""
+    monkeypatch.setattr(skew, "UNFOLDED", 100)
+    films = [(i, f"t{i}", f"f{i}", 500 + i, 2000 + i % 7) for i in range(60)]
+    movies = spark.createDataFrame(films, "film_id long, imdb_id string, title string, vote_count int, year int")
+    tagged = spark.createDataFrame([(i, "g") for i in range(60)] + [(i, "h") for i in range(30)], "film_id long, genre_id string")
+    related = V.related_by_genre(movies, tagged, 5)
+    assert pairs(related, "center_id", "film_id", "position") == sorted((c, f, n) for c in range(60) for n, f in enumerate([f for f in range(59, 50, -1) if f != c][:5], 1))
+    catalog = movies.select(F.col("imdb_id").alias("tconst"), F.col("film_id").alias("id"), "title", "year")
+    based = spark.createDataFrame([(f"t{i}", "s", "label") for i in range(60)], "imdb_id string, source_wikidata_id string, source_label string")
+    adapted = V.co_adaptations(based, catalog, 5)
+    order = sorted(range(60), key=lambda f: (2000 + f % 7, f))
+    assert pairs(adapted, "center_id", "film_id", "position") == sorted((c, f, n) for c in range(60) for n, f in enumerate([f for f in order if f != c][:5], 1))
+    for found, least in ((related, 5), (adapted, 4)):
+        assert found.rdd.getNumPartitions() >= least
+
+
 def ego(spark):
     films = spark.createDataFrame([(1, "tt1", "One", "2001-01-01", 8.0, 900), (2, "tt2", "Two", "2002-01-01", 7.0, 800), (3, "tt3", "Lone", None, 6.0, 700)],
                                   "film_id long, imdb_id string, title string, release_date string, vote_average double, vote_count int")

@@ -209,6 +209,17 @@ def test_recommend_matches_all_pairs(spark):
     assert pairs(got, "film_id", "recommended_id", "shared", "reasons") == sorted(expect)
 
 
+@pytest.mark.parametrize("cells", [7, 100, 4_000_000])
+def test_rows_are_sent_to_few_blocks(spark, monkeypatch, cells):
+    """Of 170 points in blocks of 2 each is sent to 11 blocks of 16, not to 85; the values of a block needn't be held at once."""
+    monkeypatch.setattr(K, "CELLS", cells)
+    rng = random.Random(12)
+    points = {i: (rng.random(), rng.random()) for i in range(170)}
+    df = spark.createDataFrame([(i, list(p)) for i, p in points.items()], "id long, v array<double>")
+    assert pairs(K.nearest(df, "id", "v", 4, block=2), "id", "neighbour", "position") == brute_neighbours(points, 4)
+    assert [K._blocks(n, 2) for n in (0, 1, 5, 100, 170)] == [1, 1, 3, 8, 11]
+
+
 def test_reasons_of_pairs_are_looked_up_by_bits_first(spark):
     """Films of one and of very many reasons, whose bits are all set."""
     rng = random.Random(8)

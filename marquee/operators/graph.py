@@ -18,6 +18,8 @@ def _node_id(kind: str, key: str) -> Column:
     return F.concat(F.lit(f"{kind}_"), F.col(key).cast("string"))
 
 
+#: Nodes or edges of an ego graph, about, before repeats are dropped.
+AROUND = 200
 _NODE = "array<struct<node_id:string,first:struct<order:int,kind:string,label:string,role:string>>>"
 _EDGE = "array<struct<source:string,target:string,label:string>>"
 
@@ -87,10 +89,15 @@ class EgoParts:
         made = [df.select("center_id", nodes.cast(_NODE).alias("nodes"), edges.cast(_EDGE).alias("edges")) for df, nodes, edges in parts]
         return functools.reduce(DataFrame.unionByName, made)
 
+    def unfolded(self, column: str) -> DataFrame:
+        """The entries' nodes or edges, one row each, those of a film in one task, so that repeats need no further shuffle."""
+        met = dealt_to_unfold(self.entries().select("center_id", column), "center_id", self.films.count() * AROUND)
+        return met.select("center_id", F.inline(column))
+
 
 def ego_nodes(p: EgoParts) -> DataFrame:
     """Typed nodes per film; a node reached in several ways keeps the first kind."""
-    every = p.entries().select("center_id", F.inline("nodes"))
+    every = p.unfolded("nodes")
     return (
         every.groupBy("center_id", "node_id")
         .agg(F.min("first").alias("f"))
@@ -99,7 +106,7 @@ def ego_nodes(p: EgoParts) -> DataFrame:
 
 
 def ego_edges(p: EgoParts) -> DataFrame:
-    return p.entries().select("center_id", F.inline("edges")).distinct()
+    return p.unfolded("edges").distinct()
 
 
 def ego_expand(nodes: DataFrame, filmography: DataFrame) -> DataFrame:

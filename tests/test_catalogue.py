@@ -276,6 +276,14 @@ def test_ego_graph_kinds_and_fallback(spark):
     assert ("pfilm_2", 1) in pairs(grown.filter("center_id = 1"), "node_id", "people")
 
 
+def test_ego_graphs_unfold_in_parts(spark, monkeypatch):
+    """Three films are dealt over as many tasks as their graphs need, however few bytes they are."""
+    monkeypatch.setattr(skew, "UNFOLDED", 50)
+    parts = ego(spark)[3]
+    for found in (G.ego_nodes(parts), G.ego_edges(parts)):
+        assert found.rdd.getNumPartitions() == 3 * G.AROUND // 50
+
+
 # ---- people ------------------------------------------------------------------------
 
 

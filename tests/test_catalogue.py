@@ -319,6 +319,32 @@ def test_fuzzy_links_are_the_best_of_all_pairs(spark):
     assert pairs(got, "tmdb_person_id", "nconst") == sorted((p, n) for p, (_, n) in best.items())
 
 
+@pytest.mark.parametrize("side, block_pairs", [(7, 12), (7, 0), (60, 100)])
+def test_crowded_films_take_the_way_of_fewer_rows(spark, side, block_pairs):
+    from marquee.functions.names import _similarity
+
+    rng = random.Random(side)
+    names = ["".join(rng.choice("abcdefgh ") for _ in range(12)).strip() + "z" for _ in range(side)]
+    worn = [n[:3] + "x" + n[4:] for n in names]
+    a = [(f, i, n) for f in ("tt1", "tt2") for i, n in enumerate(names)] + [("tt1", 900, names[0]), ("tt3", 901, "alone")]
+    b = [(f, f"nm{i:02d}", n) for f in ("tt1", "tt2") for i, n in enumerate(worn)] + [("tt2", "nm00a", worn[0]), ("tt4", "nm99", "alone")]
+    credits = spark.createDataFrame(a, "tconst string, person_id long, name_a string")
+    principals = spark.createDataFrame(b, "tconst string, nconst string, name_b string")
+    ways = {(r.tconst, r._by_pieces) for r in R.crowded_films(credits, principals, 90.0, block_pairs).collect()}
+    assert ways == {("tt1", side == 60), ("tt2", side == 60)}
+    columns = ("tconst", "name_a", "name_b")
+    plain = pairs(R.candidate_names(credits, principals), *columns)
+    assert len(plain) >= 2 * side and plain == pairs(R.candidate_names(credits, principals, block_pairs=block_pairs), *columns)
+    best = {}
+    for f, p, n in a:
+        for g, k, m in b:
+            if f == g and (s := _similarity(n, m)) >= 90:
+                best[p] = min(best.get(p, (0, "~")), (-s, k))
+    for limit in (10_000, block_pairs):
+        got = R.fuzzy_links(credits, principals, block_pairs=limit)
+        assert pairs(got, "tmdb_person_id", "nconst") == sorted((p, n) for p, (_, n) in best.items())
+
+
 def test_conflicts_and_scope(spark):
     direct = spark.createDataFrame([(1, "nm1", "imdb_id_direct", 1.0), (5, "nm5", "imdb_id_direct", 1.0), (6, "nm5", "imdb_id_direct", 1.0)], "tmdb_person_id long, nconst string, method string, confidence double")
     fuzzy = spark.createDataFrame([(2, "nm1", 95.0), (3, "nm3", 92.0), (4, "nm3", 99.0)], "tmdb_person_id long, nconst string, score double")

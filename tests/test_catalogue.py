@@ -345,6 +345,15 @@ def test_crowded_films_take_the_way_of_fewer_rows(spark, side, block_pairs):
         assert pairs(got, "tmdb_person_id", "nconst") == sorted((p, n) for p, (_, n) in best.items())
 
 
+def test_people_who_meet_on_many_films_are_one_pair(spark):
+    films = [f"tt{i}" for i in range(20)]
+    credits = spark.createDataFrame([(f, p, "ann lee") for f in films for p in (1, 2)], "tconst string, person_id long, name_a string")
+    principals = spark.createDataFrame([(f, "nm1", "anne lee") for f in films], "tconst string, nconst string, name_b string")
+    for block_pairs in (0, 1, 10_000):
+        met = R._named_pairs(credits, principals, 90.0, block_pairs)
+        assert pairs(met, *met.columns) == [(1, "nm1", "ann lee", "anne lee"), (2, "nm1", "ann lee", "anne lee")]
+
+
 def test_conflicts_and_scope(spark):
     direct = spark.createDataFrame([(1, "nm1", "imdb_id_direct", 1.0), (5, "nm5", "imdb_id_direct", 1.0), (6, "nm5", "imdb_id_direct", 1.0)], "tmdb_person_id long, nconst string, method string, confidence double")
     fuzzy = spark.createDataFrame([(2, "nm1", 95.0), (3, "nm3", 92.0), (4, "nm3", 99.0)], "tmdb_person_id long, nconst string, score double")

@@ -71,7 +71,8 @@ def read_jsonl_enforced(t: Tables):
 def read_files_for_keys(t: Tables):
     """One folder per supplier; only those of the wanted suppliers count."""
     path = scratch_path(t.spark, "keyed")
-    t.lineitem.select("l_suppkey", F.col("l_suppkey").alias("key"), "l_linenumber").repartition("key").write.partitionBy("key").json(path)
+    rows = t.lineitem.select("l_suppkey", F.col("l_suppkey").alias("key"), "l_linenumber")
+    writers.dealt_by_files(rows, "key").write.partitionBy("key").json(path)
     wanted = t.supplier.filter("s_acctbal > 5000").select("s_suppkey")
     landed = t.spark.read.schema("l_suppkey bigint, l_linenumber int, key bigint").json(path)
     kept = readers.files_of_keys(landed, wanted, "s_suppkey", "key")

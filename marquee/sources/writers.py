@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+# Files that one task writes when each key has its own.
+FILES = 100
+
 
 def append(df: DataFrame, path: str) -> int:
     """Appends and returns the number of rows written, observed during the write."""
@@ -46,6 +49,13 @@ def land_json(df: DataFrame, path: str, max_records: int = 10_000, partition_by:
     writer.json(path)
 
 
+def dealt_by_files(df: DataFrame, key: str) -> DataFrame:
+    """``df`` by ``key``, over as many partitions as a file for each value needs. The number is given, as adaptive
+    execution goes by bytes and would have one task open the files of very many small keys one after the other."""
+    files = df.select(key).distinct().count()
+    return df.repartition(max(1, -(-files // FILES)), key)
+
+
 def land_tsv(df: DataFrame, path: str, gzip: bool = True) -> None:
     r"""Tab-separated dump with ``\N`` for null and no quoting."""
     options = {"sep": "\t", "header": True, "nullValue": "\\N", "quote": "", "emptyValue": ""}

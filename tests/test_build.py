@@ -165,3 +165,11 @@ def test_quarantine_grows_columns(spark, tmp_path):
     assert writers.write_split(a, a, v, q) == (1, 1) and writers.write_split(b, b, v, q) == (1, 1)
     assert spark.read.parquet(v).count() == 1
     assert sorted(map(tuple, writers.read_evolved(spark, q).select("id", "extra").collect())) == [(1, None), (2, 5)]
+
+
+def test_many_small_keys_are_written_by_several_tasks(spark):
+    rows = spark.range(900).select((F.col("id") % 450).alias("key"), "id")
+    dealt = writers.dealt_by_files(rows, "key").select("key", F.spark_partition_id().alias("part")).distinct().collect()
+    assert len(dealt) == 450 and len({r.part for r in dealt}) == 5
+    assert writers.dealt_by_files(rows.limit(0), "key").count() == 0
+    assert writers.dealt_by_files(rows.select(F.lit(None).cast("long").alias("key"), "id"), "key").count() == 900

@@ -107,11 +107,13 @@ def alternate_titles(akas: DataFrame, bridge: DataFrame, k: int = 8) -> DataFram
 
 def filmography(crew: DataFrame, cast: DataFrame, films: DataFrame, k: int = 10, min_votes: int = 200) -> DataFrame:
     """Newest films of each person, from both sides of the camera."""
-    behind = crew.filter(F.col("job").isin(CREW_JOBS)).select("film_id", "person_id", "job", typed_null("string").alias("character"))
-    before = cast.select("film_id", "person_id", typed_null("string").alias("job"), "character")
-    credits = behind.union(before).distinct()
+    # Only one side has a job, so no credit is in both and each side is freed of repeats on its own.
+    behind = crew.filter(F.col("job").isin(CREW_JOBS)).select("film_id", "person_id", "job").distinct()
+    before = cast.select("film_id", "person_id", "character").distinct()
+    credits = behind.unionByName(before, allowMissingColumns=True)
     voted = films.filter(F.col("vote_count") >= min_votes).select("film_id", "title", "release_date")
-    rows = skew_join(credits, voted, ["film_id"])
+    # A task holds its films, of which there are far fewer than credits; the credits stream past unsorted.
+    rows = skew_join(credits, voted.hint("shuffle_hash"), ["film_id"])
     order = [
         F.col("release_date").desc_nulls_last(),
         F.col("film_id"),

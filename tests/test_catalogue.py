@@ -388,3 +388,27 @@ def test_plans(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_orderstatus")
     merged = plan_of(merge_scd1(orders, orders, ["o_orderkey", "o_orderstatus"], ["o_orderstatus"]))
     assert "NestedLoop" not in merged and "LeftAnti" in merged
+
+
+def _unbroadcast(spark, plan):
+    """The physical plan as text, as it is for tables too large to broadcast."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_filmography_streams_credits_once(spark):
+    crew = spark.createDataFrame([(1, 7, "Director"), (1, 7, "Director"), (1, 7, "Writer"), (2, 7, "Editor"), (None, 7, "Writer"), (2, None, "Writer")], "film_id int, person_id int, job string")
+    cast = spark.createDataFrame([(1, 7, "Role"), (1, 7, "Role"), (2, 7, None), (2, 7, None), (3, 7, "Role")], "film_id int, person_id int, character string")
+    films = spark.createDataFrame([(1, "one", "2001-01-01", 300), (2, "two", None, 300), (3, "three", "2002-01-01", 10)], "film_id int, title string, release_date string, vote_count int")
+    found = {tuple(r) for r in V.filmography(crew, cast, films).collect()}
+    assert found == {
+        (7, 1, 1, "one", "2001-01-01", "Director", None), (7, 2, 1, "one", "2001-01-01", "Writer", None), (7, 3, 1, "one", "2001-01-01", None, "Role"),
+        (7, 4, 2, "two", None, None, None), (None, 1, 2, "two", None, "Writer", None),
+    }
+    # Credits are neither sorted for the join nor freed of repeats a second time.
+    plan = _unbroadcast(spark, lambda: V.filmography(crew.distinct(), cast.distinct(), films))
+    assert "SortMergeJoin" not in plan and plan.count("HashAggregate") == 4

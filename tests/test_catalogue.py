@@ -412,3 +412,13 @@ def test_filmography_streams_credits_once(spark):
     # Credits are neither sorted for the join nor freed of repeats a second time.
     plan = _unbroadcast(spark, lambda: V.filmography(crew.distinct(), cast.distinct(), films))
     assert "SortMergeJoin" not in plan and plan.count("HashAggregate") == 4
+
+
+def test_relations_of_films_are_neither_sorted_nor_sent_twice(spark):
+    relations = spark.createDataFrame([("tt1", "Q1", "b"), ("tt1", "Q1", "b"), ("tt1", "Q2", "a"), ("tt1", "Q3", None), ("tt9", "Q1", "b"), (None, "Q1", "b")], "imdb_id string, id string, label string")
+    bridge = spark.createDataFrame([("tt1", 1), ("tt1", 2), ("tt2", 3), (None, 4)], "tconst string, film_id int")
+    labels = lambda: R.label_sets(R.relation_bridge(relations, bridge, "id", "label"), "label", "labels")
+    assert {(r.film_id, tuple(r.labels)) for r in labels().collect()} == {(1, ("a", "b")), (2, ("a", "b"))}
+    plan = _unbroadcast(spark, labels)
+    # Each side to its key once, then one row a film and task.
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 3

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTER, NOT_PLAIN, NUMBER, SPACE, id_and_text, per_batch, texts_of
+from .common import LETTER, NOT_PLAIN, NUMBER, SPACE, id_and_text, per_batch, slices, texts_of
 
 #: No pair; larger than any rank shifted by POS bits.
 NONE = np.int64(1) << 62
@@ -28,7 +28,7 @@ POS = 32
 #: Pieces up to so many bytes are merged side by side.
 SHORT = 64
 #: Distinct pieces a worker remembers before it starts anew.
-CACHE = 400_000
+CACHE = 200_000
 
 
 #: Fixed value: the usual pattern of such vocabularies; for plain Latin text ``re`` runs it as PLAIN_PIECES.
@@ -180,7 +180,11 @@ class Ranks:
         return [i for i in ids if i >= 0]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of each text: every match of the pattern on its own."""
+        """Token ids of each text: every match of the pattern on its own. The pieces of a text take many times its
+        size, so only some texts are in pieces at a time."""
+        return list(chain.from_iterable(self._encode(texts[part]) for part in slices(texts)))
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
         if len(self.cache) > CACHE:
             self.cache.clear()
         split = [(self.find if NOT_PLAIN(t) else self.find_plain)(t) for t in texts]

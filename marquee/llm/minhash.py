@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import id_and_text, packed, per_batch, text_key, unpacked
+from .common import id_and_text, packed, per_batch, slices, text_key, unpacked
 from .components import components, forest
 from .routing import Words, mix
 
@@ -41,6 +41,8 @@ FREQUENT = 0.001
 MANY = 64
 #: Documents of a band in a block, blocks that a task holds at a time, and shingles multiplied at a time.
 BLOCK, HELD, COLUMNS = 512, 4, 4096
+#: Bytes of compressed texts that are unpacked at a time.
+PRESSED = 1 << 18
 _RANDOM = np.random.default_rng(11)
 _LEVEL = _RANDOM.gamma(2.0, 1.0, 1 << 16).astype(np.float32)
 _LOG_C = np.log(_RANDOM.gamma(2.0, 1.0, 1 << 16)).astype(np.float32)
@@ -141,17 +143,6 @@ def similarities(left: list[np.ndarray], right: list[np.ndarray], idf: Idf, size
     return low / np.maximum(total - low, 1e-300)
 
 
-def _slices(texts: list[str | None], limit: int = 1 << 20) -> Iterator[slice]:
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size > limit:
-            yield slice(start, i + 1)
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
-
-
 def document_frequencies(rows: DataFrame) -> Idf:
     """Counts over all rows; partitions count on their own first, and only words above the share come back."""
 
@@ -167,7 +158,7 @@ def document_frequencies(rows: DataFrame) -> Idf:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             docs += len(texts)
-            for part in _slices(texts):
+            for part in slices(texts):
                 rows = [words_of(t) for t in texts[part]]
                 words = np.concatenate(rows)
                 doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
@@ -206,7 +197,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column("text").to_pylist()
         made: list[list[int] | None] = [None] * len(texts)
-        for part in _slices(texts):
+        for part in slices(texts):
             doc, out = signatures(*weighted([words_of(t) for t in texts[part]], idf.value, size))
             for i, row in zip(doc.tolist(), out.tolist()):
                 made[part.start + i] = row
@@ -235,8 +226,10 @@ def classes(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str
     texts = cut_lineage(packed(rows).withColumn("pick", F.coalesce("doc_id", F.lit(-(1 << 63)))).join(ends, ["key", "pick"]).select("key", "text"))
 
     def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
-        left, right = ([t.decode() for t in unpacked(batch.column(c))] for c in ("text_a", "text_b"))
-        score = [similarities([words_of(t) for t in left[p]], [words_of(t) for t in right[p]], idf.value, size) for p in _slices(left)]
+        sides, score = [batch.column(c) for c in ("text_a", "text_b")], []
+        for part in slices(sides[0].to_pylist(), PRESSED):
+            left, right = ([words_of(t.decode()) for t in unpacked(c[part])] for c in sides)
+            score.append(similarities(left, right, idf.value, size))
         good = pa.array(np.concatenate(score) >= threshold)
         return pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"])
 
@@ -365,7 +358,7 @@ def joined_in_blocks(members: DataFrame, idf, threshold: float, size: int) -> Da
 
         def compared(later: bool) -> pa.RecordBatch | None:
             """The rows of one block with those held; the block is held from then on, if it belongs to them."""
-            mine = _Documents(np.array([r for r, _ in rows], object), [t for _, t in rows], idf.value, size)
+            mine = _Documents(np.array([r for r, _ in rows], object), unpacked(pa.array([t for _, t in rows])), idf.value, size)
             if not later:
                 held.append(mine)
             ends: list[tuple[np.ndarray, np.ndarray]] = []
@@ -382,8 +375,7 @@ def joined_in_blocks(members: DataFrame, idf, threshold: float, size: int) -> Da
 
         later = False
         for batch in batches:
-            texts = unpacked(batch.column("text"))
-            for band, at, is_later, nth, root, text in zip(*(batch.column(c).to_pylist() for c in ("band", "at", "later", "block", "root")), texts):
+            for band, at, is_later, nth, root, text in zip(*(batch.column(c).to_pylist() for c in ("band", "at", "later", "block", "root", "text"))):
                 if ((band, at), nth) != (group, block):
                     made = compared(later) if rows else None
                     if made is not None:

@@ -507,3 +507,18 @@ def test_plain_classes_are_the_unicode_ones():
         if not common.NOT_PLAIN(c):
             for inside, pattern in ((common.LETTER, r"\p{L}"), (common.NUMBER, r"\p{N}"), (common.SPACE, r"\s")):
                 assert bool(re.fullmatch(f"[{inside}]", c)) == bool(regex.fullmatch(pattern, c)), hex(code)
+
+
+def test_bpe_holds_few_pieces_at_a_time():
+    import tracemalloc
+
+    import public_tokenizers as tokenizers
+
+    coder = bpe.Ranks(queries.tokenizer_file("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
+    texts = ["one two " * 12_500] * 60  # 6 MB
+    tracemalloc.start()
+    ids = coder.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) == 60 and len({tuple(x) for x in ids}) == 1 and coder.decode(ids[0]).decode() == texts[0]
+    assert peak < 50e6

@@ -83,6 +83,14 @@ def test_repeated_words(spark, rows, docs, crowd, monkeypatch):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept.decode()) for r in got.collect()) == want
 
 
+def test_texts_are_sent_once_for_crowded_and_other_anchors(spark, docs, monkeypatch):
+    made, cut = [], routing._cut
+    monkeypatch.setattr(routing.repeated, "__defaults__", (1,))
+    monkeypatch.setattr(routing, "_cut", lambda *a, **k: made.append(cut(*a, **k)) or made[-1])
+    assert substring.remove_repeats(docs, 9).count() == docs.count()
+    assert len(made) == 1
+
+
 @pytest.mark.parametrize("module, kind, windows", [(suffixdedup, np.uint8, (9, 12, 40)), (substring, np.uint64, (1, 3, 7, 12))])
 def test_indexes_on_random_segments(module, kind, windows):
     rnd = random.Random(5)

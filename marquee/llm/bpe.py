@@ -10,8 +10,8 @@ the same tree on their own. Distinct pieces are encoded once per worker, in a ca
 from __future__ import annotations
 
 import base64
-import functools
 import re
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -20,13 +20,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTER, NOT_PLAIN, NUMBER, SPACE, id_and_text, per_batch, slices, texts_of
+from .common import LETTER, NOT_PLAIN, NUMBER, SPACE, id_and_text, kept, per_batch, slices, texts_of
 
 #: No pair; larger than any rank shifted by POS bits.
 NONE = np.int64(1) << 62
 POS = 32
-#: Pieces up to so many bytes are merged side by side.
-SHORT = 64
+#: Pieces up to so many bytes are merged side by side, as many as have so many bytes together.
+SHORT, TOGETHER = 64, 1 << 17
 #: Distinct pieces a worker remembers before it starts anew.
 CACHE = 200_000
 
@@ -55,7 +55,7 @@ class Ranks:
                     self.pair[a << self.bits | b] = rank
         self.keys = np.array(sorted(self.pair), np.int64)
         self.ranks = np.array([self.pair[k] for k in self.keys.tolist()], np.int64)
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}  # the ids of a piece as 32-bit integers
 
     def of_pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Ranks of pairs of ids; NONE where the pair isn't a token or ``b`` is -1."""
@@ -74,8 +74,8 @@ class Ranks:
             else:
                 out[i] = tuple(self._merge_long(piece))
         for width, mine in rows.items():
-            for start in range(0, len(mine), 8192):
-                part = mine[start : start + 8192]
+            for start in range(0, len(mine), TOGETHER // width):
+                part = mine[start : start + TOGETHER // width]
                 for i, ids in zip(part, self._merge_side_by_side([pieces[i] for i in part], width)):
                     out[i] = ids
         return out
@@ -180,29 +180,33 @@ class Ranks:
         return [i for i in ids if i >= 0]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of each text: every match of the pattern on its own. The pieces of a text take many times its
-        size, so only some texts are in pieces at a time."""
-        return list(chain.from_iterable(self._encode(texts[part]) for part in slices(texts)))
+        """Token ids of each text: every match of the pattern on its own."""
+        ids = np.arange(max(self.token) + 1).astype(object)
+        return [ids[np.frombuffer(x, np.int32)].tolist() for x in self.coded(texts)]
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
+    def coded(self, texts: list[str]) -> list[bytes]:
+        """Token ids of each text as 32-bit integers. The pieces of a text take many times its size, so only some texts
+        are in pieces at a time."""
+        return list(chain.from_iterable(self._coded(texts[part]) for part in slices(texts)))
+
+    def _coded(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE:
             self.cache.clear()
         split = [(self.find if NOT_PLAIN(t) else self.find_plain)(t) for t in texts]
         known = [list(map(self.cache.get, pieces)) for pieces in split]
         short = [i for i, row in enumerate(known) if None in row]
         new = list({p for i in short for p, ids in zip(split[i], known[i]) if ids is None})
-        self.cache.update(zip(new, self.encode_pieces([p.encode() for p in new])))
+        self.cache.update(zip(new, (array("i", ids).tobytes() for ids in self.encode_pieces([p.encode() for p in new]))))
         for i in short:
             known[i] = map(self.cache.__getitem__, split[i])
-        return [list(chain.from_iterable(row)) for row in known]
+        return [b"".join(row) for row in known]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
 
-@functools.lru_cache(maxsize=2)
 def ranks(path: str, pattern: str) -> Ranks:
-    return Ranks(path, pattern)
+    return kept(("bpe", path, pattern), lambda: Ranks(path, pattern))
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
@@ -215,13 +219,13 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = ranks(path, pattern)
-        ids = coder.encode(texts_of(batch))
-        out = [batch.column("doc_id"), _lists(ids)]
+        coded = coder.coded(texts_of(batch))
+        out = [batch.column("doc_id"), _lists(coded)]
         if decode:
-            out.append(pa.array([coder.decode(x) for x in ids], pa.binary()))
+            out.append(pa.array([coder.decode(np.frombuffer(x, np.int32).tolist()) for x in coded], pa.binary()))
         return pa.RecordBatch.from_arrays(out, names=["doc_id", "ids", "decoded"][: len(out)])
 
-    return per_batch(id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long")), work, schema)
+    return per_batch(id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long")), work, schema, ("bpe", path, pattern))
 
 
 def decode_documents(rows: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -232,10 +236,9 @@ def decode_documents(rows: DataFrame, path: str, pattern: str) -> DataFrame:
         made = [coder.decode(x or []) for x in batch.column("ids").to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made, pa.binary())], names=["doc_id", "decoded"])
 
-    return per_batch(rows.select("doc_id", "ids"), work, "doc_id bigint, decoded binary")
+    return per_batch(rows.select("doc_id", "ids"), work, "doc_id bigint, decoded binary", ("bpe", path, pattern))
 
 
-def _lists(ids: list[list[int]]) -> pa.Array:
-    ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-    flat = np.fromiter(chain.from_iterable(ids), np.int32, count=int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+def _lists(coded: list[bytes]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in coded])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)))

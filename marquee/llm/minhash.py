@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import id_and_text, packed, per_batch, slices, text_key, unpacked
+from .common import id_and_text, let_go, packed, per_batch, slices, text_key, unpacked
 from .components import components, forest
 from .routing import Words, mix
 
@@ -147,6 +147,7 @@ def document_frequencies(rows: DataFrame) -> Idf:
     """Counts over all rows; partitions count on their own first, and only words above the share come back."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         docs = 0
 
@@ -175,6 +176,8 @@ def document_frequencies(rows: DataFrame) -> Idf:
             for start in range(0, len(words), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(words[start : start + (1 << 16)].view(np.int64)), pa.array(counts[start : start + (1 << 16)])], names=["word", "n"])
             yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([docs], pa.int64())], names=["word", "n"])
+        held.clear()
+        let_go()
 
     counted = cut_lineage(rows.select("text").mapInArrow(count, "word bigint, n bigint"))
     n_docs = counted.filter("word is null").agg(F.sum("n")).first()[0] or 0
@@ -285,6 +288,7 @@ def few_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
     sent = members.join(known.select("key", "sig"), "key").select("band", "key", "root", "sig")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held: list[tuple[np.ndarray, ...]] = []
         band = None
 
@@ -352,6 +356,7 @@ def joined_in_blocks(members: DataFrame, idf, threshold: float, size: int) -> Da
     sent = sent.withColumn("at", F.explode(F.sequence(F.lit(0), "turn"))).select("band", "at", (F.col("turn") > F.col("at")).alias("later"), "block", "root", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         group = block = None
         held: list[_Documents] = []
         rows: list[tuple[bytes, bytes]] = []

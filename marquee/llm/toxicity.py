@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and_text, per_batch, texts_of
+from .common import id_and_text, let_go, per_batch, texts_of
 
 WORD = re.compile(r"[^\W\d_]{2,}")
 FOLDS = 5
@@ -154,6 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("qu
     shrunk = per_batch(sample, shrink, f"_labelled bigint, words array<string>, {ys}")
 
     def learn(batches):
+        let_go()
         ids, words, marked, names = [], [], [], {}
         for batch in batches:
             ids += batch.column("_labelled").to_pylist()

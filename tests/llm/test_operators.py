@@ -530,3 +530,46 @@ def test_bpe_holds_few_pieces_at_a_time():
     tracemalloc.stop()
     assert len(ids) == 60 and len({tuple(x) for x in ids}) == 1 and coder.decode(ids[0]).decode() == texts[0]
     assert peak < 50e6
+
+
+def test_workers_let_go_of_what_other_steps_have_kept(spark, docs):
+    tokenizers = pytest.importorskip("public_tokenizers")
+    path = queries.tokenizer_file("byte_bpe_multi_50k.tiktoken")
+
+    def kept(batch):
+        import pyarrow as pa
+
+        n = bpe.ranks.cache_info().currsize if hasattr(bpe.ranks, "cache_info") else len(common._KEPT)
+        return pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
+
+    spread = docs.repartition(16, F.rand(1))
+    bpe.encode_documents(spread, path, tokenizers.PATTERN).collect()
+    assert {r.n for r in common.per_batch(spread, kept, "n bigint").collect()} == {0}
+    coder = bpe.ranks(path, tokenizers.PATTERN)
+    common.let_go(("bpe", path, tokenizers.PATTERN))
+    assert bpe.ranks(path, tokenizers.PATTERN) is coder
+    common.let_go()
+    assert bpe.ranks(path, tokenizers.PATTERN) is not coder
+
+
+def test_bpe_texts_are_held_as_packed_ids():
+    import tracemalloc
+
+    tokenizers = pytest.importorskip("public_tokenizers")
+    coder = bpe.Ranks(queries.tokenizer_file("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
+    texts = ["".join(f" {i}x{k}" for i in range(2_000)) for k in range(40)]
+    tracemalloc.start()
+    coded = coder.coded(texts)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert [len(x) // 4 for x in coded] == [len(x) for x in coder.encode(texts)] and {bytes(v) for v in coder.cache.values()}
+    assert held < 6 * sum(map(len, coded))
+
+
+def test_powers_are_as_many_as_the_texts_need():
+    small, large = routing._Powers(), routing._Powers()
+    want = large(100_000)
+    assert len(small(10)[0]) == 10 and len(small.up) <= 1 << 12
+    for n in (5_000, 20, 100_000):
+        assert all((a == b[:n]).all() for a, b in zip(small(n), want))
+    assert len(small.down) <= 200_000

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import titled_year, typed_null, year_text
 from ..session import cut_lineage
+from . import skew
 from .serving import GRAPH_JOBS, leading_films, profile_cast, profile_crew
 from .skew import dealt_to_unfold, hot_keys, skew_join, top_per_group
 
@@ -20,6 +21,8 @@ def _node_id(kind: str, key: str) -> Column:
 
 #: Nodes or edges of an ego graph, about, before repeats are dropped.
 AROUND = 200
+#: Graphs of a person in one list, about.
+LISTED = 10_000
 _NODE = "array<struct<node_id:string,first:struct<order:int,kind:string,label:string,role:string>>>"
 _EDGE = "array<struct<source:string,target:string,label:string>>"
 
@@ -89,15 +92,18 @@ class EgoParts:
         made = [df.select("center_id", nodes.cast(_NODE).alias("nodes"), edges.cast(_EDGE).alias("edges")) for df, nodes, edges in parts]
         return functools.reduce(DataFrame.unionByName, made)
 
-    def unfolded(self, column: str) -> DataFrame:
-        """The entries' nodes or edges, one row each, those of a film in one task, so that repeats need no further shuffle."""
-        met = dealt_to_unfold(self.entries().select("center_id", column), "center_id", self.films.count() * AROUND)
-        return met.select("center_id", F.inline(column))
+    def unfolded(self, column: str, early: bool = False) -> DataFrame:
+        """The entries' nodes or edges, one row each, those of a film in one task, so that repeats need no further shuffle.
+        ``early`` ones unfold before they are sent: of those, only the kinds and columns that are read further on are sent."""
+        unfold = lambda df: df.select("center_id", F.inline(column))
+        entries = self.entries().select("center_id", column)
+        met = dealt_to_unfold(unfold(entries) if early else entries, "center_id", self.films.count() * AROUND)
+        return met if early else unfold(met)
 
 
 def ego_nodes(p: EgoParts) -> DataFrame:
     """Typed nodes per film; a node reached in several ways keeps the first kind."""
-    every = p.unfolded("nodes")
+    every = p.unfolded("nodes", early=True)
     return (
         every.groupBy("center_id", "node_id")
         .agg(F.min("first").alias("f"))
@@ -109,22 +115,50 @@ def ego_edges(p: EgoParts) -> DataFrame:
     return p.unfolded("edges").distinct()
 
 
+def _centers_by_person(people: DataFrame, asked: DataFrame) -> DataFrame:
+    """``person_id, centers``: the graphs each person is in, as lists of ``LISTED`` or so."""
+    chunk = F.pmod(F.xxhash64("center_id"), F.ceil(F.col("_centers") / LISTED)).alias("_chunk")
+    # A list leaves nulls out, so graphs without an id have lists of their own.
+    none = F.array_repeat(F.lit(None).cast(people.schema["center_id"].dataType), F.count("*").cast("int"))
+    return (
+        skew_join(people, asked, ["person_id"])
+        .groupBy("person_id", chunk, F.col("center_id").isNull())
+        .agg(F.when(F.count("center_id") == 0, none).otherwise(F.sort_array(F.collect_list("center_id"))).alias("centers"))
+        .select("person_id", "centers")
+    )
+
+
 def ego_expand(nodes: DataFrame, filmography: DataFrame) -> DataFrame:
     """New film nodes when every person of an ego graph is expanded, with how many of its
-    people lead to each. Films already added by another person are not added twice."""
-    nodes = cut_lineage(nodes)  # read for its people and to leave out what it holds already
-    people = nodes.filter(F.col("node_id").startswith("person_")).select(
-        "center_id", F.substring_index("node_id", "_", -1).try_cast("bigint").alias("person_id")
-    )
+    people lead to each. Films already added by another person are not added twice.
+
+    A person's films are few, so the lists of graphs go to the films and unfold there, those of a film
+    that very many graphs reach over several tasks; only lists are shuffled, and each label once per list.
+    """
+    person, film = F.col("node_id").startswith("person_"), F.col("node_id").startswith("pfilm_")
+    # Read for its people and to leave out the films it holds already.
+    nodes = cut_lineage(nodes.select("center_id", "node_id").filter(person | film))
+    people = nodes.filter(person).select("center_id", F.substring_index("node_id", "_", -1).try_cast("bigint").alias("person_id"))
+    asked = people.groupBy("person_id").agg(F.count("*").alias("_centers"))
     films = filmography.select("person_id", "film_id", "title", year_text("release_date").alias("year")).distinct()
-    # Joined row by row, so that no list of a person's films is ever held.
-    reached = skew_join(people, films, ["person_id"])
     label = F.concat(F.col("title"), F.lit(" ("), F.coalesce(F.col("year"), F.lit("")), F.lit(")"))
-    added = (
-        reached.groupBy("center_id", F.concat(F.lit("pfilm_"), F.col("film_id").cast("string")).alias("node_id"))
-        .agg(F.min(label).alias("label"), F.count("*").alias("people"))
-    )
-    return added.join(nodes.select("center_id", "node_id"), ["center_id", "node_id"], "left_anti")
+    node = F.concat(F.lit("pfilm_"), F.col("film_id").cast("string"))
+    work = skew_join(films, asked, ["person_id"]).select("person_id", node.alias("node_id"), label.alias("label"), "_centers")
+    rows = F.sum("_centers").over(Window.partitionBy("node_id"))
+    work = cut_lineage(work.withColumn("_parts", F.ceil(rows / skew.UNFOLDED).cast("int")).drop("_centers"))
+
+    lists = skew_join(_centers_by_person(people, asked), work, ["person_id"]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    mine = F.filter("centers", lambda c: F.pmod(F.xxhash64(c), F.col("_parts")) == F.col("_part"))
+    dealt = lists.select("node_id", "label", "_part", F.when(F.col("_parts") == 1, F.col("centers")).otherwise(mine).alias("centers"))
+    total = work.join(asked, "person_id").agg(F.sum("_centers")).first()[0] or 0
+    reached = dealt_to_unfold(dealt, ["node_id", "_part"], total).select("node_id", "label", "_part", F.explode("centers").alias("center_id"))
+    added = reached.groupBy("center_id", "node_id", "_part", "label").agg(F.count("*").alias("people"))
+    named = work.groupBy("node_id").agg(F.count_distinct(F.struct("label")).alias("_labels"))
+    if not named.filter("_labels > 1").isEmpty():
+        added = added.groupBy("center_id", "node_id", "_part").agg(F.min("label").alias("label"), F.sum("people").alias("people"))
+    added = added.select("center_id", "node_id", "label", "people")
+    held = nodes.filter(film)
+    return added if held.isEmpty() else added.join(held, ["center_id", "node_id"], "left_anti")
 
 
 # ---- paths ------------------------------------------------------------------------

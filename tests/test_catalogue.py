@@ -284,6 +284,37 @@ def test_ego_graphs_unfold_in_parts(spark, monkeypatch):
         assert found.rdd.getNumPartitions() == 3 * G.AROUND // 50
 
 
+def test_expanded_films_match_all_rows(spark, monkeypatch):
+    """Graphs go to films as short lists: a person of many graphs, a film that most graphs reach, films of
+    several titles or none, graphs without an id, films that a graph holds already."""
+    stored, cut = [], G.cut_lineage
+    monkeypatch.setattr(G, "cut_lineage", lambda df: cut(df) if stored.append(df.columns) is None else None)
+    monkeypatch.setattr(skew, "UNFOLDED", 20)
+    monkeypatch.setattr(G, "LISTED", 4)
+    rng = random.Random(11)
+    around = {(c, p) for c in [None, *range(40)] for p in range(12) if p == 0 or rng.random() < 0.2}
+    work = {(p, f) for p in range(14) for f in range(9) if f == 0 or rng.random() < 0.3}
+    titles = {0: ["A"], 1: ["B", "C"], 2: [None], 3: [None, "D"]}
+    rows = [(p, f, t, None if f == 4 else f"20{10 + f}-01-01") for p, f in sorted(work) for t in titles.get(f, [f"T{f}"]) if t != "B" or p % 2]
+    made = lambda several: [r for r in rows if several or (len(titles.get(r[1], [1])) == 1)]
+    nodes = [(c, f"person_{p}", "person", "x" * 50, None) for c, p in around] + [(c, f"film_{c}", "center", "x", None) for c in range(40)]
+    for several, held in ((True, {(3, 0), (None, 0), (5, 7)}), (False, set())):
+        expect = {}
+        for p, f, t, d in made(several):
+            for c in (c for c, q in around if q == p and ((c, f) not in held or c is None)):
+                label, n = expect.get((c, f), (None, 0))
+                new = t and f"{t} ({d[:4] if d else ''})"
+                expect[c, f] = (min(x for x in (label, new) if x) if label or new else None, n + 1)
+        df = spark.createDataFrame(nodes + [(c, f"pfilm_{f}", "person_film", "x", None) for c, f in held], "center_id long, node_id string, kind string, label string, role string")
+        got = G.ego_expand(df, spark.createDataFrame(made(several) * 2, "person_id long, film_id long, title string, release_date string"))
+        found = {(r.center_id, r.node_id): (r.label, r.people) for r in got.collect()}
+        assert got.columns == ["center_id", "node_id", "label", "people"] and len(found) == got.count()
+        assert found == {(c, f"pfilm_{f}"): x for (c, f), x in expect.items()}
+    met = sum(q == p for p, _, _, _ in made(False) for _, q in around)
+    assert got.rdd.getNumPartitions() == -(-met // 20)  # one shuffle, whose parts are given by the rows that lists unfold to
+    assert stored and all("kind" not in columns and "role" not in columns for columns in stored)
+
+
 # ---- people ------------------------------------------------------------------------
 
 

@@ -241,17 +241,82 @@ def hub_scores(credits: DataFrame, clusters: DataFrame) -> DataFrame:
     )
 
 
+#: Votes of so many decimals travel as whole numbers.
+_SCALE = 1000
+#: Mark of a column of reasons in which no list was cut.
+WHOLE = "whole"
+
+
+def _packed(leading: Column) -> Column:
+    """Films of a list as one number each, from which ``_unpacked`` gives the same ids and votes back; null where a list
+    has an id or a vote that doesn't fit."""
+    whole = lambda f: F.rint(f["vote_average"].cast("double") * _SCALE).try_cast("int").cast("bigint")
+    fits = lambda f: f["film_id"].between(0, (1 << 31) - 1) & ((whole(f) / F.lit(float(_SCALE))) == f["vote_average"])
+    return F.when(F.forall(leading, lambda f: F.coalesce(fits(f), F.lit(False))), F.transform(leading, lambda f: whole(f) * (1 << 31) + f["film_id"]))
+
+
+def _unpacked(p: Column) -> Column:
+    film_id = F.pmod(p, F.lit(1 << 31))
+    return F.struct(film_id.alias("film_id"), (((p - film_id) / F.lit(float(1 << 31))) / F.lit(float(_SCALE))).alias("vote_average"))
+
+
 def recommend(relations: DataFrame, films: DataFrame, k: int = 10, max_reasons: int = 100) -> DataFrame:
     """Best rated films that share something with each film, with the reasons.
 
     ``relations`` holds (film_id, reason): a person, genre or source as text. Returns
-    (film_id, recommended_id, vote_average, shared, reasons). Each shared thing offers its
-    ``k + 1`` best films, which contain every film it can put among a film's best ``k``;
-    the reasons of the chosen films are then looked up: ``shared`` counts all, ``reasons`` lists the first
-    ``max_reasons`` of them, and ``recommendation_reasons`` gives the whole list as rows.
+    (film_id, recommended_id, vote_average, position, shared, reasons). Each shared thing offers its
+    ``k`` best other films, which contain every film it can put among a film's best ``k``. So every thing that a film
+    shares with one of its best offers that one too, and what offered it are all the reasons: ``shared`` counts all,
+    ``reasons`` lists the first ``max_reasons`` of them, and ``recommendation_reasons`` gives the whole list as rows.
     """
+    voted = films.select("film_id", "vote_average")
+    if not voted.filter("film_id is not null").groupBy("film_id").count().filter("count > 1").isEmpty():
+        return _recommend_repeated(relations, voted, k, max_reasons)
+    # By film alone, so that repeats go and votes come with one shuffle.
+    known = relations.select("film_id", "reason").filter("film_id is not null and reason is not null").repartition("film_id").distinct()
+    # A task holds its films, of which there are far fewer than relations.
+    once = cut_lineage(skew_join(known, voted.withColumn("_rated", F.lit(True)).hint("shuffle_hash"), ["film_id"], "left"))
+    best = [F.desc("vote_average"), F.col("film_id")]
+    lists = leading_films(once.filter("_rated"), ["reason"], best, k + 1, ["film_id", "vote_average"])
+    plain = F.transform("leading", lambda f: F.struct(f["film_id"].alias("film_id"), f["vote_average"].alias("vote_average")))
+    lists = lists.select("reason", plain.alias("leading"))
+    kinds = dict(once.dtypes)
+    packable = kinds["film_id"] in ("int", "bigint") and kinds["vote_average"] == "double"
+    lists = lists.withColumn("packed", _packed(F.col("leading")) if packable else F.lit(None).cast("array<bigint>"))
+    lists = lists.withColumn("leading", F.when(F.col("packed").isNull(), F.col("leading")))
+    # What is offered to a film meets as lists, and is one row each only where it has met.
+    others = lambda c, film_id: F.slice(F.filter(c, lambda f: film_id(f) != F.col("film_id")), 1, k)
+    met = skew_join(once.select("film_id", "reason"), lists, ["reason"]).select(
+        "film_id", "reason",
+        others("packed", lambda p: F.pmod(p, F.lit(1 << 31))).alias("packed"), others("leading", lambda f: f["film_id"]).alias("leading"),
+    )
+    met = met.filter((F.size("packed") > 0) | (F.size("leading") > 0))
+    unpacked = F.transform("packed", _unpacked).cast(lists.schema["leading"].dataType)
+    offered = (
+        dealt_to_unfold(met, "film_id", once.count() * k)
+        .select("film_id", "reason", F.explode(F.coalesce("leading", unpacked)).alias("f"))
+        .select("film_id", "reason", F.col("f.film_id").alias("recommended_id"), F.col("f.vote_average").alias("vote_average"))
+    )
+    # The same offer of several things is one place.
+    place = F.dense_rank().over(Window.partitionBy("film_id").orderBy(F.desc("vote_average"), "recommended_id"))
+    chosen = offered.withColumn("position", place).filter(F.col("position") <= k)
+    cut = not once.groupBy("film_id").count().filter(F.col("count") > max_reasons).isEmpty()
+    found = _listed(chosen, ["film_id", "recommended_id", "vote_average", "position"], max_reasons)
+    return found if cut else found.withColumn("reasons", F.col("reasons").alias("reasons", metadata={WHOLE: True}))
+
+
+def _listed(reasons: DataFrame, keys: list[str], max_reasons: int) -> DataFrame:
+    """How many reasons each pair has, and the first of them."""
+    numbered = reasons.withColumn("_nth", F.row_number().over(Window.partitionBy("film_id", "recommended_id").orderBy("reason")))
+    first = F.collect_list(F.when(F.col("_nth") <= max_reasons, F.col("reason")))
+    return numbered.groupBy(*keys).agg(F.count("*").alias("shared"), F.sort_array(first).alias("reasons"))
+
+
+def _recommend_repeated(relations: DataFrame, films: DataFrame, k: int, max_reasons: int) -> DataFrame:
+    """``recommend`` where films are listed more than once: a list then holds fewer films than places, so the reasons of
+    the chosen films are looked up."""
     once = cut_lineage(relations.select("film_id", "reason").distinct())
-    rated = skew_join(once, films.select("film_id", "vote_average"), ["film_id"])
+    rated = skew_join(once, films, ["film_id"])
     best = [F.desc("vote_average"), F.col("film_id")]
     lists = leading_films(rated, ["reason"], best, k + 1, ["film_id", "vote_average"])
     lists = lists.select("reason", F.col("leading.film_id").alias("ids"), F.col("leading.vote_average").alias("votes"))
@@ -267,10 +332,7 @@ def recommend(relations: DataFrame, films: DataFrame, k: int = 10, max_reasons:
     place = F.dense_rank().over(Window.partitionBy("film_id").orderBy(F.desc("vote_average"), "recommended_id"))
     chosen = cut_lineage(offered.withColumn("position", place).filter(F.col("position") <= k).distinct())
     pair = ["film_id", "recommended_id"]
-    numbered = recommendation_reasons(once, chosen).withColumn("_nth", F.row_number().over(Window.partitionBy(*pair).orderBy("reason")))
-    listed = numbered.groupBy(*pair).agg(
-        F.sort_array(F.collect_list(F.when(F.col("_nth") <= max_reasons, F.col("reason")))).alias("reasons"), F.count("*").alias("shared")
-    )
+    listed = _listed(recommendation_reasons(once, chosen), pair, max_reasons)
     return chosen.join(listed, pair).select(*chosen.columns, "shared", "reasons")
 
 

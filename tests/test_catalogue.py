@@ -209,6 +209,35 @@ def test_recommend_matches_all_pairs(spark):
     assert pairs(got, "film_id", "recommended_id", "shared", "reasons") == sorted(expect)
 
 
+def best_by_all_pairs(rel, votes, k):
+    by = {f: {r for g, r in rel if g == f and r is not None} for f, _ in rel}
+    out = []
+    for f in (f for f in by if f is not None):
+        near = sorted((g for g in votes if g in by and g != f and by[f] & by[g]), key=lambda g: (votes[g] is None, -(votes[g] or 0), g))
+        out += [(f, g, votes[g], n, sorted(by[f] & by[g])) for n, g in enumerate(near[:k], 1)]
+    return sorted(out)
+
+
+def test_recommended_films_bring_their_reasons(spark, monkeypatch):
+    """What offered a film is all it shares, so nothing is stored and looked up after the choice. Ids and votes travel
+    as one number where they fit: here large ids and votes that are null, negative or no short decimals are among them."""
+    stored, cut = [], G.cut_lineage
+    monkeypatch.setattr(G, "cut_lineage", lambda df: cut(df) if stored.append(df.columns) is None else None)
+    rng = random.Random(16)
+    ids = [*range(25), 1 << 31, (1 << 40) + 3]
+    odd = [None, -7.25, 0.1 + 0.2, 1e300, 75462.67, 8.125]
+    rel = [(rng.choice(ids), f"r{rng.choice([0, 0, 0, 1, 2, 3, 4, 5, 6, 7])}") for _ in range(90)] + [(None, "r1"), (3, None), (99, "r2")]
+    votes = {f: odd[f % 6] if f in (2, 6, 9, 11, 19) else rng.randint(0, 40) / 8 for f in ids}
+    films = spark.createDataFrame([*votes.items(), (None, 1.0), (None, 2.0)], "film_id long, vote_average double")
+    got = G.recommend(spark.createDataFrame(rel, "film_id long, reason string"), films, 3, 2)
+    found = sorted((r.film_id, r.recommended_id, r.vote_average, r.position, r.shared, r.reasons) for r in got.collect())
+    assert found == [(f, g, v, n, len(why), why[:2]) for f, g, v, n, why in best_by_all_pairs(rel, votes, 3)]
+    assert len(stored) == 1
+    lists = spark.createDataFrame([([(1, 7.253), (5, -75462.67)],), ([(1, 0.1 + 0.2)],), ([(1 << 31, 1.0)],), ([(1, None)],)], "l array<struct<film_id:long,vote_average:double>>")
+    there = [(r.p, r.back) for r in lists.select(G._packed(F.col("l")).alias("p")).select("p", F.transform("p", G._unpacked).alias("back")).collect()]
+    assert there[0][1] == [(1, 7.253), (5, -75462.67)] and [p for p, _ in there[1:]] == [None] * 3
+
+
 @pytest.mark.parametrize("cells", [7, 100, 4_000_000])
 def test_rows_are_sent_to_few_blocks(spark, monkeypatch, cells):
     """Of 170 points in blocks of 2 each is sent to 11 blocks of 16, not to 85; the values of a block needn't be held at once."""

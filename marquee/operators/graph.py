@@ -342,7 +342,25 @@ def _marks(reason: str) -> Column:
 
 
 def recommendation_reasons(relations: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``film_id, recommended_id, reason``: everything the films of each pair share, one row each."""
+    """``film_id, recommended_id, reason``: everything the films of each pair share, one row each.
+
+    Pairs as ``recommend`` returns them bring their reasons along, so only those whose list was cut are looked up.
+    """
+    pair = ["film_id", "recommended_id"]
+    if not {"shared", "reasons"} <= set(pairs.columns):
+        return _shared_reasons(relations, pairs)
+    whole = pairs.schema["reasons"].metadata.get(WHOLE, False)
+    # Read for both kinds of lists.
+    pairs = pairs if whole else cut_lineage(pairs.select(*pair, "shared", "reasons"))
+    listed = F.size("reasons") == F.col("shared")
+    known = pairs.filter(F.lit(True) if whole else listed).select(*pair, F.explode(F.array_distinct("reasons")).alias("reason"))
+    if whole or (rest := pairs.filter(~listed)).isEmpty():
+        return known
+    return known.unionByName(_shared_reasons(cut_lineage(relations.select("film_id", "reason").distinct()), rest))
+
+
+def _shared_reasons(relations: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The reasons of any pairs, looked up."""
     once = relations.select("film_id", "reason").distinct()
     theirs = once.withColumnRenamed("film_id", "recommended_id")
     # The bits of all reasons of the recommended film leave out most of what the pair can't share before rows meet.

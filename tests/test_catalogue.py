@@ -238,6 +238,19 @@ def test_recommended_films_bring_their_reasons(spark, monkeypatch):
     assert there[0][1] == [(1, 7.253), (5, -75462.67)] and [p for p, _ in there[1:]] == [None] * 3
 
 
+@pytest.mark.parametrize("most", [1, 100])
+def test_reasons_of_recommended_films_are_not_looked_up_again(spark, most):
+    """Only of those pairs whose list was cut, which there are where a film has more reasons than are listed."""
+    rng = random.Random(17)
+    rel = [(rng.randint(0, 20), f"r{rng.randint(0, 5)}") for _ in range(70)]
+    votes = {f: rng.randint(0, 40) / 8 for f in range(21)}
+    relations = spark.createDataFrame(rel, "film_id long, reason string")
+    chosen = G.recommend(relations, spark.createDataFrame(list(votes.items()), "film_id long, vote_average double"), 3, most)
+    got = G.recommendation_reasons(relations, chosen)
+    assert pairs(got, "film_id", "recommended_id", "reason") == sorted((f, g, r) for f, g, _, _, why in best_by_all_pairs(rel, votes, 3) for r in why)
+    assert ("bit_or" in got._jdf.queryExecution().executedPlan().toString()) == (most == 1)
+
+
 @pytest.mark.parametrize("cells", [7, 100, 4_000_000])
 def test_rows_are_sent_to_few_blocks(spark, monkeypatch, cells):
     """Of 170 points in blocks of 2 each is sent to 11 blocks of 16, not to 85; the values of a block needn't be held at once."""
